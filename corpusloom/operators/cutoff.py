@@ -57,15 +57,22 @@ def _up_to_nth(rows: DataFrame, keys: Sequence[str], n: int) -> Column:
     return F.struct(*_columns(keys)) <= first.agg(F.max(F.struct(*_columns(keys)))).scalar()
 
 
-def nth_key(rows: DataFrame, keys: Sequence[str], n: int, direct: int = DIRECT_ROWS) -> Row | None:
-    """The n-th smallest key, or None if there are no more than n rows. Keys must be unique."""
+def nth_key(
+    rows: DataFrame, keys: Sequence[str], n: int, direct: int = DIRECT_ROWS, total: int | None = None
+) -> Row | None:
+    """The n-th smallest key, or None if there are no more than n rows. Keys must be unique.
+
+    ``total`` is the number of rows, where it is known already.
+    """
     window = rows.select(*_columns(keys))
     schema = window.schema
     rank, salt, stalled = n, 0, 0
-    total = window.count()
+    total = window.count() if total is None else total
     if total <= n:
         return None
-    while rank > direct and total > direct:
+    # A range of so few keys is sorted as it is.
+    few = max(direct, PIVOTS)
+    while rank > direct and total > few:
         salt, before = salt + 1, total
         step = max(1, total // PIVOTS)
         # Which keys are sampled depends on their hash, so a retried task picks the same ones.
@@ -104,7 +111,9 @@ def nth_key(rows: DataFrame, keys: Sequence[str], n: int, direct: int = DIRECT_R
     return best["bound"]
 
 
-def cap_scanned(rows: DataFrame, keys: Sequence[str], n: int | None, direct: int = DIRECT_ROWS) -> DataFrame:
+def cap_scanned(
+    rows: DataFrame, keys: Sequence[str], n: int | None, direct: int = DIRECT_ROWS, total: int | None = None
+) -> DataFrame:
     """The first ``n`` rows by key; ``None`` keeps all rows."""
     if n is None:
         return rows
@@ -112,12 +121,17 @@ def cap_scanned(rows: DataFrame, keys: Sequence[str], n: int | None, direct: int
         return rows.where(F.lit(False))
     if n <= direct:
         return rows.where(_up_to_nth(rows, keys, n))
-    bound = nth_key(rows, keys, n, direct)
+    bound = nth_key(rows, keys, n, direct, total)
     return rows if bound is None else rows.where(_up_to(keys, bound, rows.select(*_columns(keys)).schema))
 
 
 def cap_kept(
-    rows: DataFrame, keys: Sequence[str], n: int | None, keep: Column, direct: int = DIRECT_ROWS
+    rows: DataFrame,
+    keys: Sequence[str],
+    n: int | None,
+    keep: Column,
+    direct: int = DIRECT_ROWS,
+    total: int | None = None,
 ) -> DataFrame:
     """The first ``n`` rows by key among those that satisfy ``keep``.
 
@@ -131,19 +145,22 @@ def cap_kept(
         return rows.where(F.lit(False))
     if n <= direct:
         return kept.where(_up_to_nth(kept, keys, n))
+    total = rows.count() if total is None else total
+    if total <= n:
+        return kept
     schema = rows.select(*_columns(keys)).schema
     reach = 2 * n
     while True:
-        edge = nth_key(rows, keys, reach, direct)
+        edge = nth_key(rows, keys, reach, direct, total)
         if edge is None:
-            head = kept
+            head, passed = kept, None
             break
         head = rows.where(_up_to(keys, edge, schema)).where(keep)
         passed = head.count()
         if passed >= n:
             break
         reach *= max(2, math.ceil(1.25 * n / max(passed, 1)))
-    bound = nth_key(head, keys, n, direct)
+    bound = nth_key(head, keys, n, direct, passed)
     return head if bound is None else rows.where(_up_to(keys, bound, schema)).where(keep)
 
 

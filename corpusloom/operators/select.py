@@ -37,19 +37,24 @@ def keyed(rows: DataFrame, spec: SourceSpec) -> tuple[DataFrame, tuple[str, ...]
 
 
 def text_rows(
-    rows: DataFrame, spec: SourceSpec, min_chars: int = MIN_CHARS, direct: int = DIRECT_ROWS
+    rows: DataFrame,
+    spec: SourceSpec,
+    min_chars: int = MIN_CHARS,
+    direct: int = DIRECT_ROWS,
+    total: int | None = None,
 ) -> DataFrame:
     """``(source, row_key, text)`` of one source: rendered, filtered and capped.
 
     A lazy source caps the rows it keeps; a batch source caps the rows it scans.
+    ``total`` is the number of rows, where it is known already.
     """
     rows, keys = keyed(rows, spec)
     text = render_text(rows, spec)
     keep = long_enough(text, min_chars)
     if spec.streaming:
-        capped = cap_kept(rows, keys, spec.batch_cap, keep, direct)
+        capped = cap_kept(rows, keys, spec.batch_cap, keep, direct, total)
     else:
-        capped = cap_scanned(rows, keys, spec.batch_cap, direct).where(keep)
+        capped = cap_scanned(rows, keys, spec.batch_cap, direct, total).where(keep)
     return capped.select(F.lit(spec.name).alias("source"), row_key(keys).alias("row_key"), text.alias("text"))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +28,7 @@ PIECE_PATTERN = "[^ \\n\\t\\r]+"
 SLOTS = 1 << 16
 # Longer pieces are looked up by digest, which bounds the size of the id table.
 LONG_PIECE_BYTES = 64
+ID_TABLE = "_id_table"
 
 
 @dataclass(frozen=True)
@@ -45,9 +47,16 @@ class SpecialIds:
 
 
 class Tokenizer:
-    """Base: ``ids(text, max_length)`` gives the ids, ``count(text, max_length)`` how many."""
+    """Base: ``ids(text, max_length)`` gives the ids, ``count(text, max_length)`` how many.
+
+    ``attach(rows)`` adds the columns in ``helpers`` that ``ids`` needs, if any.
+    """
 
     special = SpecialIds()
+    helpers: tuple[str, ...] = ()
+
+    def attach(self, rows: DataFrame) -> DataFrame:
+        return rows
 
     def ids(self, text: Column, max_length: int = MAX_SEQ_LENGTH) -> Column:
         raise NotImplementedError
@@ -122,13 +131,15 @@ class VocabTokenizer(Tokenizer):
 
     vocabulary: DataFrame
     special: SpecialIds = field(default_factory=SpecialIds)
+    helpers = (ID_TABLE,)
 
-    def ids(self, text: Column, max_length: int = MAX_SEQ_LENGTH) -> Column:
-        table = id_table(self.vocabulary).scalar()
+    def attach(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(ID_TABLE, id_table(self.vocabulary).scalar())
 
+    def ids(self, text: Column, max_length: int = MAX_SEQ_LENGTH) -> Column:
         def piece_id(piece: Column) -> Column:
             key = _lookup_key(piece)
-            return F.coalesce(F.get(table, _slot(key))[key], F.lit(UNKNOWN_ID))
+            return F.coalesce(F.get(F.col(ID_TABLE), _slot(key))[key], F.lit(UNKNOWN_ID))
 
         body = F.transform(F.slice(pieces(text), 1, max_length - 1), piece_id)
         return F.concat(F.array(F.lit(self.special.bos)), body)
@@ -151,15 +162,13 @@ class PluggedTokenizer(Tokenizer):
     def ids(self, text: Column, max_length: int = MAX_SEQ_LENGTH) -> Column:
         load = self.load
 
-        def encode(batches: Iterator) -> Iterator:
-            import pandas as pd
-
+        @F.pandas_udf("array<int>")
+        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             call = load()
             for texts in batches:
                 yield pd.Series([list(ids)[:max_length] for ids in call(texts.tolist())], dtype=object)
 
-        encode.__annotations__ = {}
-        return F.pandas_udf(encode, "array<int>", F.PandasUDFType.SCALAR_ITER)(text)
+        return encode(text)
 
 
 def tokenize(
@@ -173,7 +182,7 @@ def tokenize(
 
     The length test uses the tokenizer's count where that is cheaper than the ids.
     """
-    column = F.col(text)
+    rows, column = tokenizer.attach(rows), F.col(text)
     if type(tokenizer).count is not Tokenizer.count:
         rows = rows.where(tokenizer.count(column, max_length) >= min_tokens)
         encoded = rows.withColumn("input_ids", tokenizer.ids(column, max_length))
@@ -181,7 +190,7 @@ def tokenize(
         encoded = rows.withColumn("input_ids", tokenizer.ids(column, max_length))
         encoded = encoded.where(F.size("input_ids") >= min_tokens)
     mask = F.transform("input_ids", lambda _: F.lit(1))
-    return encoded.withColumn("attention_mask", mask).drop(text)
+    return encoded.withColumn("attention_mask", mask).drop(text, *tokenizer.helpers)
 
 
 def map_batches(rows: DataFrame, function: Callable, schema: str) -> DataFrame:

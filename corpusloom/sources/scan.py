@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -67,6 +68,26 @@ def union_sources(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def count_scanned(sources: list[tuple[SourceSpec, DataFrame]]) -> dict[str, int]:
+    """Rows of several sources, counted together in one job."""
+    if not sources:
+        return {}
+    counts = [rows.agg(F.lit(s.name).alias("source"), F.count(F.lit(1)).alias("rows")) for s, rows in sources]
+    return {r["source"]: r["rows"] for r in union_sources(counts).collect()}
+
+
+@contextmanager
+def _tolerating(spec: SourceSpec, failed: dict[str, str], tolerant: bool) -> Iterator[None]:
+    """Note a source's failure and go on, if asked to."""
+    try:
+        yield
+    except Exception as error:
+        if not tolerant:
+            raise
+        log.warning("source %s left out: %s", spec.name, error)
+        failed[spec.name] = str(error)
+
+
 def build_corpus(
     spark: SparkSession,
     specs: Iterable[SourceSpec],
@@ -82,17 +103,16 @@ def build_corpus(
     ``tolerant``, a source that cannot be opened or rendered is reported in
     ``failed`` and left out; it is an error if no source is left.
     """
-    frames, failed = [], {}
+    opened, failed = {}, {}
     for spec in check_catalog(specs):
-        try:
+        with _tolerating(spec, failed, tolerant):
             given = (tables or {}).get(spec.name)
-            rows = select_part(given, spec) if given is not None else scan(spark, spec, tolerant)
-            frames.append(text_rows(rows, spec, min_chars, direct))
-        except Exception as error:
-            if not tolerant:
-                raise
-            log.warning("source %s left out: %s", spec.name, error)
-            failed[spec.name] = str(error)
+            opened[spec] = select_part(given, spec) if given is not None else scan(spark, spec, tolerant)
+    totals = count_scanned([(s, rows) for s, rows in opened.items() if (s.batch_cap or 0) > direct])
+    frames = []
+    for spec, rows in opened.items():
+        with _tolerating(spec, failed, tolerant):
+            frames.append(text_rows(rows, spec, min_chars, direct, totals.get(spec.name)))
     if not frames:
         raise ValueError(f"no source could be opened: {failed}")
     return Corpus(union_sources(frames), failed)

@@ -50,7 +50,7 @@ class SourceSpec:
     key_columns: tuple[str, ...] = ()
     path: str | None = None
     reader: str = "parquet"
-    reader_options: Mapping[str, str] = field(default_factory=dict)
+    reader_options: Mapping[str, str] = field(default_factory=dict, hash=False)
     subset_column: str | None = None
     split_column: str | None = None
 

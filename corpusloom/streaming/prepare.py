@@ -40,7 +40,7 @@ def lazy_rows(
     text = render_text(rows, spec)
     keep = long_enough(text, min_chars) & (tokenizer.count(text, max_length) >= min_tokens)
     ids = tokenizer.ids(text, max_length).alias("input_ids")
-    chosen = cap_kept(rows, keys, cap, keep, direct)
+    chosen = tokenizer.attach(cap_kept(rows, keys, cap, keep, direct))
     tokens = chosen.select(F.lit(spec.name).alias("source"), row_key(keys).alias("row_key"), ids)
     return tokens.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
 

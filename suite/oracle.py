@@ -89,13 +89,10 @@ _BYTE_IDS = (
 _CTES["byte_tokens"] = f"""SELECT source, row_key, h, {_BYTE_IDS} AS ids FROM (SELECT *, {_HEX} AS x FROM docs)
       WHERE octet_length(encode(text)) + 1 >= 32"""
 _CTES["placed"] = "SELECT *, row_number() OVER (ORDER BY h, source, row_key) AS row_index, count(*) OVER () AS row_total FROM docs"
-_CTES["pieces"] = """SELECT source, row_key, unnest(list_zip(p, range(1, length(p) + 1)), recursive := true)
-      FROM (SELECT source, row_key, regexp_extract_all(text, '[^ \\n\\t\\r]+') AS p FROM docs)"""
 _CTES["vocab"] = """SELECT piece, (row_number() OVER (ORDER BY n DESC, piece) + 2)::INTEGER AS id, n
       FROM (SELECT piece, count(*) AS n FROM (
         SELECT unnest(regexp_extract_all(text, '[^ \\n\\t\\r]+')) AS piece FROM docs) GROUP BY piece)
       ORDER BY n DESC, piece LIMIT 31997"""
-del _CTES["pieces"]
 
 _NEEDS = {
     "gsm": ["pairs"], "boxed": ["pairs"], "orca": ["pairs"],
@@ -213,10 +210,10 @@ ORACLE = {
       {_ids('list_transform(ids, lambda i: 1)')} AS attention_mask FROM byte_tokens"""),
     "tokenize_plugged": _with("byte_tokens", f"SELECT source, row_key, {_ids('ids')} AS input_ids FROM byte_tokens"),
     "vocabulary": _with("vocab", "SELECT piece, id, n FROM vocab"),
-    "tokenize_vocab": _with("vocab", """SELECT source, row_key, '1,' || string_agg(coalesce(id, 0), ',' ORDER BY at) AS input_ids
-      FROM (SELECT source, row_key, length(p) AS n, unnest(p[1:2047]) AS piece, generate_subscripts(p[1:2047], 1) AS at
+    "tokenize_vocab": _with("vocab", """SELECT source, row_key, '1,' || string_agg(coalesce(id, 0)::VARCHAR, ',' ORDER BY spot) AS input_ids
+      FROM (SELECT source, row_key, length(p) AS n_pieces, unnest(p[1:2047]) AS piece, generate_subscripts(p[1:2047], 1) AS spot
         FROM (SELECT source, row_key, regexp_extract_all(text, '[^ \\n\\t\\r]+') AS p FROM docs))
-      LEFT JOIN vocab USING (piece) WHERE n + 1 >= 32 GROUP BY source, row_key"""),
+      LEFT JOIN vocab USING (piece) WHERE n_pieces + 1 >= 32 GROUP BY source, row_key"""),
     "map_rows": _with("docs", "SELECT row_key, length(text) AS n FROM docs"),
     "batch_drop_last": _with("placed", """SELECT (row_index - 1) // 16 AS batch_id, ((row_index - 1) % 16)::INTEGER AS batch_row,
       source, row_key FROM placed WHERE (row_index - 1) // 16 < row_total // 16"""),

@@ -146,33 +146,34 @@ def render_dispatch(spark, sf_dir):
 
 @query
 def render_chat(spark, sf_dir):
-    return _rendered(src.chat(spark, sf_dir), src.spec("chat"))
+    return _rendered(src.chat(src.conversations(spark, sf_dir)), src.spec("chat"))
 
 
 @query
 def render_reasoning(spark, sf_dir):
-    rows = src.gsm(spark, sf_dir).unionByName(src.boxed(spark, sf_dir)).unionByName(src.pairs(spark, sf_dir))
+    talk = src.conversations(spark, sf_dir)
+    rows = union_sources([src.gsm(talk), src.boxed(talk), src.pairs(talk)])
     return _rendered(rows, src.spec("gsm"))
 
 
 @query
 def render_final_answer(spark, sf_dir):
-    return _rendered(src.gsm(spark, sf_dir), src.spec("gsm"))
+    return _rendered(src.gsm(src.conversations(spark, sf_dir)), src.spec("gsm"))
 
 
 @query
 def render_boxed(spark, sf_dir):
-    return _rendered(src.boxed(spark, sf_dir), src.spec("boxed"))
+    return _rendered(src.boxed(src.conversations(spark, sf_dir)), src.spec("boxed"))
 
 
 @query
 def render_general(spark, sf_dir):
-    return _rendered(src.pairs(spark, sf_dir), src.spec("gsm"))
+    return _rendered(src.pairs(src.conversations(spark, sf_dir)), src.spec("gsm"))
 
 
 @query
 def render_system(spark, sf_dir):
-    return _rendered(src.orca(spark, sf_dir), src.spec("orca"))
+    return _rendered(src.orca(src.conversations(spark, sf_dir)), src.spec("orca"))
 
 
 @query
@@ -405,15 +406,15 @@ def lm_collate(spark, sf_dir):
 # Streams
 
 
-def _document_schema(spark: SparkSession, sf_dir: str):
-    return src.table(spark, sf_dir, "documents").schema
+def _document_stream(spark: SparkSession, sf_dir: str, spec: SourceSpec) -> DataFrame:
+    spec = replace(spec, path=sf_dir, reader_options={"pathGlobFilter": "documents.parquet"})
+    return scan_stream(spark, spec, src.table(spark, sf_dir, "documents").schema)
 
 
 @query
 def stream_prepare(spark, sf_dir):
-    spec = _file_spec(replace(src.spec("web_en"), max_samples=500), sf_dir, "documents")
-    out = new_folder(spark, "stream")
-    stream = scan_stream(spark, spec, _document_schema(spark, sf_dir))
+    spec, out = replace(src.spec("web_en"), max_samples=500), new_folder(spark, "stream")
+    stream = _document_stream(spark, sf_dir, spec)
     streams.start_prepare(stream, spec, ByteTokenizer(), out, f"{out}/checkpoint").awaitTermination()
     return streams.read_batches(spark, out).select("source", "row_key", _joined("input_ids"))
 
@@ -432,7 +433,7 @@ def stream_resume(spark, sf_dir):
 
 @query
 def stream_shuffle(spark, sf_dir):
-    spec, out = _file_spec(DOCUMENTS, sf_dir, "documents"), new_folder(spark, "shuffle")
-    stream = scan_stream(spark, spec, _document_schema(spark, sf_dir))
-    streams.start_shuffle(stream, spec, out, f"{out}/checkpoint").awaitTermination()
+    out = new_folder(spark, "shuffle")
+    stream = _document_stream(spark, sf_dir, DOCUMENTS)
+    streams.start_shuffle(stream, DOCUMENTS, out, f"{out}/checkpoint").awaitTermination()
     return streams.read_batches(spark, out).select(F.col("batch").cast("long"), "row_index", "source", "row_key")

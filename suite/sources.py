@@ -39,13 +39,16 @@ def spec(name: str) -> SourceSpec:
     return next(s for s in catalog() if s.name == name)
 
 
-def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations")
+
+
+def pairs(talk: DataFrame) -> DataFrame:
     """Each user turn with the assistant turn right after it, keyed by the user turn.
 
     The join is on the unique pair (conversation, turn), so one huge conversation
     spreads over all tasks.
     """
-    talk = table(spark, sf_dir, "conversations")
     asked = talk.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("question"))
     replied = talk.where("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
@@ -53,41 +56,38 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asked.join(replied, ["conv_id", "turn"])
 
 
-def gsm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs(spark, sf_dir).withColumn("answer", F.concat("answer", F.lit(ANSWER_TAG), F.col("turn").cast("string")))
+def gsm(talk: DataFrame) -> DataFrame:
+    tag = F.concat(F.lit(ANSWER_TAG), F.col("turn").cast("string"))
+    return pairs(talk).withColumn("answer", F.concat("answer", tag))
 
 
-def boxed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def boxed(talk: DataFrame) -> DataFrame:
     tag = F.concat(F.lit(BOX_TAG), F.col("turn").cast("string"), F.lit("}"))
-    return pairs(spark, sf_dir).withColumn("answer", F.concat("answer", tag))
+    return pairs(talk).withColumn("answer", F.concat("answer", tag))
 
 
-def orca(spark: SparkSession, sf_dir: str) -> DataFrame:
-    talk = table(spark, sf_dir, "conversations")
+def orca(talk: DataFrame) -> DataFrame:
     system = talk.where("role = 'system'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("system_prompt"))
-    return pairs(spark, sf_dir).join(system, "conv_id", "left")
+    return pairs(talk).join(system, "conv_id", "left")
 
 
-def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+def chat(talk: DataFrame) -> DataFrame:
     """One row per conversation. A conversation is one training text, so it is one row."""
-    talk = table(spark, sf_dir, "conversations")
     turns = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
-    return talk.groupBy("conv_id").agg(turns.alias("turns")).select(
-        "conv_id", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
-        .alias("messages")
-    )
+    messages = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
+    return talk.groupBy("conv_id").agg(turns.alias("turns")).select("conv_id", messages.alias("messages"))
 
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    documents = table(spark, sf_dir, "documents")
+    documents, talk = table(spark, sf_dir, "documents"), conversations(spark, sf_dir)
     return {
         "web_en": documents,
         "web_de": documents,
         "code": table(spark, sf_dir, "pages"),
-        "gsm": gsm(spark, sf_dir),
-        "boxed": boxed(spark, sf_dir),
-        "orca": orca(spark, sf_dir),
-        "chat": chat(spark, sf_dir),
+        "gsm": gsm(talk),
+        "boxed": boxed(talk),
+        "orca": orca(talk),
+        "chat": chat(talk),
         "qa": table(spark, sf_dir, "benchmark"),
     }
 
