@@ -5,6 +5,8 @@ All three use the row hash, so they give one answer for any partitioning.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,15 +22,20 @@ def with_hash(rows: DataFrame, seed: int = SEED) -> DataFrame:
     return rows.withColumn(HASH, row_hash(F.col("source"), F.col("row_key"), seed))
 
 
-def shuffle_seeded(rows: DataFrame, seed: int = SEED, partitions: int | None = None) -> DataFrame:
+def shuffle_seeded(
+    rows: DataFrame, seed: int = SEED, partitions: int | None = None, within: Sequence[str] = ()
+) -> DataFrame:
     """All rows in hash order, partition after partition.
 
     Hashes are uniform, so the range of each partition is known without the
-    sampling pass a range exchange needs: one exchange, then a local sort.
+    sampling pass a range exchange needs: one exchange, then a local sort. With
+    ``within``, each partition is sorted by those columns first, as a writer that
+    partitions its files by them needs it.
     """
     parts = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     place = F.floor(hash_number(F.col(HASH)) * F.lit(parts) / F.lit(float(1 << 32))).cast("int")
-    return with_hash(rows, seed).repartitionById(parts, place).sortWithinPartitions(HASH, "source", "row_key")
+    placed = with_hash(rows, seed).repartitionById(parts, place)
+    return placed.sortWithinPartitions(*within, HASH, "source", "row_key")
 
 
 def global_index(rows: DataFrame, seed: int = SEED) -> DataFrame:

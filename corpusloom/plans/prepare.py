@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from corpusloom.operators.order import HASH, shuffle_seeded, split_label
+from corpusloom.operators.order import HASH, shuffle_seeded, split_hash
 from corpusloom.operators.report import require_rows
 from corpusloom.operators.tokens import Tokenizer, tokenize
 from corpusloom.sources.scan import build_corpus
@@ -30,8 +29,8 @@ def prepare_rows(
     only exchange, and it moves truncated token rows, not texts.
     """
     tokens = tokenize(text_rows, tokenizer, max_length=max_length, min_tokens=min_tokens)
-    shuffled = shuffle_seeded(tokens, seed, partitions)
-    return shuffled.withColumn("split", split_label(F.col(HASH), test_share)).drop(HASH)
+    labelled = split_hash(tokens, test_share, seed)
+    return shuffle_seeded(labelled, seed, partitions, within=["split"]).drop(HASH)
 
 
 def prepare(

@@ -7,8 +7,8 @@ retried write leaves the same table.
 from __future__ import annotations
 
 import logging
-import time
 from collections.abc import Sequence
+from time import sleep
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -82,7 +82,7 @@ def publish_snapshot(
             error = str(failure)
             log.warning("publishing %s, attempt %d of %d: %s", version, tried, attempts, error)
             if tried < attempts:
-                time.sleep(delay)
+                sleep(delay)
     record = spark.createDataFrame([(version, tried, success, error)], MANIFEST).coalesce(1)
     append_history(record, f"{root}/manifest", version)
     return success
