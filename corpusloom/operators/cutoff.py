@@ -168,18 +168,25 @@ def content_key(rows: DataFrame, chunk: int = 100_000) -> DataFrame:
     """Give rows without a key one: ``content_key`` (hash of all columns) and ``copy_no``.
 
     Equal rows are interchangeable, so they are counted first (partial aggregation
-    absorbs any hot value) and written out again as numbered copies. Large groups
-    of copies are spread over tasks in chunks.
+    absorbs any hot value) and written out again as numbered copies. Only groups of
+    more than ``chunk`` copies are spread over tasks, a chunk at a time.
     """
-    columns = rows.columns
-    hashed = rows.groupBy(*[_key(c) for c in columns]).agg(F.count(F.lit(1)).alias("copies"))
-    hashed = hashed.withColumn("content_key", F.md5(F.to_json(F.struct(*[_key(c) for c in columns]),
-                                                              {"ignoreNullFields": "false"})))
+    columns = [_key(c) for c in rows.columns]
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    whole_row = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    counted = counted.withColumn("content_key", F.md5(whole_row))
+
+    def numbered(groups: DataFrame, start: Column, end: Column) -> DataFrame:
+        return groups.select(*columns, "content_key", F.explode(F.sequence(start, end)).alias("copy_no"))
+
+    few = counted.where(F.col("copies") <= chunk)
+    many = counted.where(F.col("copies") > chunk)
     starts = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(chunk).cast("long"))
-    spread = hashed.withColumn("start", F.explode(starts))
-    spread = spread.repartition("content_key", "start")
-    numbers = F.sequence(F.col("start"), F.least(F.col("start") + chunk, F.col("copies")) - 1)
-    return spread.withColumn("copy_no", F.explode(numbers)).select(*[_key(c) for c in columns], "content_key", "copy_no")
+    chunks = many.withColumn("start", F.explode(starts)).repartition("content_key", "start")
+    last = F.least(F.col("start") + chunk, F.col("copies")) - 1
+    return numbered(few, F.lit(0).cast("long"), F.col("copies") - 1).unionByName(
+        numbered(chunks, F.col("start"), last)
+    )
 
 
 def lowest_by_hash(

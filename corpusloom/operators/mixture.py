@@ -18,6 +18,15 @@ def catalog_table(spark: SparkSession, specs: Iterable[SourceSpec]) -> DataFrame
     return spark.createDataFrame(rows, "source string, category string, weight double")
 
 
+def count_per_source(rows: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Rows per catalog source; a source without rows shows 0."""
+    counts = rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
+    # Only catalog sources are kept, so either broadcast side has one row per catalog entry.
+    known = counts.join(F.broadcast(catalog.select("source")), "source")
+    listed = catalog.select("source").join(F.broadcast(known), "source", "left")
+    return listed.select("source", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
 def quotas(specs: Iterable[SourceSpec], budget: int) -> dict[str, int]:
     """Rows per source for a total budget, in proportion to the weights."""
     specs = list(specs)
@@ -41,14 +50,12 @@ def mixture_report(
     spark = rows.sparkSession
     catalog = catalog_table(spark, specs)
     shares = spark.createDataFrame([(k, float(v)) for k, v in declared.items()], "category string, declared_share double")
-    counts = rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
-    # All three tables hold one row per catalog source or category.
-    per_source = catalog.join(F.broadcast(counts), "source", "left")
+    per_source = catalog.join(F.broadcast(count_per_source(rows, catalog)), "source")
     total = per_source.agg(F.sum("rows")).scalar()
     weights = catalog.agg(F.sum("weight")).scalar()
     report = per_source.groupBy("category").agg(
         F.count(F.lit(1)).alias("sources"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.sum("rows").alias("rows"),
         F.round(F.sum("weight") / weights, 6).alias("weight_share"),
     )
     report = report.withColumn("observed_share", F.round(F.col("rows") / total, 6))

@@ -3,37 +3,16 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from corpusloom.operators.mixture import catalog_table
-from corpusloom.spec import SourceSpec
-
-
-def count_per_source(rows: DataFrame, specs: Iterable[SourceSpec]) -> DataFrame:
-    """Rows per catalog source; a source without rows shows 0."""
-    counts = rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
-    catalog = catalog_table(rows.sparkSession, specs).select("source")
-    # One row per catalog source on either side.
-    return catalog.join(F.broadcast(counts), "source", "left").select(
-        "source", F.coalesce("rows", F.lit(0)).alias("rows")
-    )
-
 
 def count_rows(rows: DataFrame, name: str = "rows") -> DataFrame:
     """The number of rows, as a one-row table."""
     return rows.agg(F.count(F.lit(1)).alias(name))
 
 
-def require_rows(rows: DataFrame) -> DataFrame:
-    """Return ``rows``, or raise if there are none. Reads one row."""
-    if rows.isEmpty():
-        raise ValueError("no source gave any rows")
-    return rows
-
-
 def count_split(rows: DataFrame) -> DataFrame:
     """Rows per split."""
     return rows.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))

@@ -55,6 +55,10 @@ class Tokenizer:
     special = SpecialIds()
     helpers: tuple[str, ...] = ()
 
+    @property
+    def counts_cheaply(self) -> bool:
+        return type(self).count is not Tokenizer.count
+
     def attach(self, rows: DataFrame) -> DataFrame:
         return rows
 
@@ -72,11 +76,14 @@ class ByteTokenizer(Tokenizer):
     special: SpecialIds = field(default_factory=SpecialIds)
 
     def ids(self, text: Column, max_length: int = MAX_SEQ_LENGTH) -> Column:
+        first = F.array(F.lit(self.special.bos))
+        if max_length <= 1:
+            return first
         head = F.substring(F.encode(text, "utf-8"), 1, max_length - 1)
         # One Latin-1 character per byte, so that the split yields the bytes.
         singles = F.split(F.decode(head, "ISO-8859-1"), "")
-        body = F.transform(F.filter(singles, lambda c: c != ""), lambda c: F.ascii(c) + F.lit(FIRST_PIECE_ID))
-        return F.concat(F.array(F.lit(self.special.bos)), body)
+        body = F.transform(singles, lambda c: F.ascii(c) + F.lit(FIRST_PIECE_ID))
+        return F.when(text == "", first).otherwise(F.concat(first, body))
 
     def count(self, text: Column, max_length: int = MAX_SEQ_LENGTH) -> Column:
         return F.least(F.octet_length(text) + F.lit(1), F.lit(max_length))
@@ -171,6 +178,25 @@ class PluggedTokenizer(Tokenizer):
         return encode(text)
 
 
+def enough_tokens(
+    rows: DataFrame, tokenizer: Tokenizer, text: str = "text", max_length: int = MAX_SEQ_LENGTH,
+    min_tokens: int = MIN_TOKENS_BATCH,
+) -> DataFrame:
+    """Text rows with at least ``min_tokens`` tokens, by the tokenizer's count."""
+    return rows.where(tokenizer.count(F.col(text), max_length) >= min_tokens)
+
+
+def encode(rows: DataFrame, tokenizer: Tokenizer, text: str = "text", max_length: int = MAX_SEQ_LENGTH) -> DataFrame:
+    """Replace the text by ``input_ids`` and ``attention_mask``."""
+    encoded = tokenizer.attach(rows).withColumn("input_ids", tokenizer.ids(F.col(text), max_length))
+    return with_mask(encoded.drop(text, *tokenizer.helpers))
+
+
+def with_mask(rows: DataFrame) -> DataFrame:
+    """Add ``attention_mask``: 1 for each token."""
+    return rows.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
+
+
 def tokenize(
     rows: DataFrame,
     tokenizer: Tokenizer,
@@ -180,17 +206,12 @@ def tokenize(
 ) -> DataFrame:
     """Replace the text by ``input_ids`` and ``attention_mask``; drop short rows.
 
-    The length test uses the tokenizer's count where that is cheaper than the ids.
+    Short rows are dropped before they are encoded, if the tokenizer can count
+    without encoding.
     """
-    rows, column = tokenizer.attach(rows), F.col(text)
-    if type(tokenizer).count is not Tokenizer.count:
-        rows = rows.where(tokenizer.count(column, max_length) >= min_tokens)
-        encoded = rows.withColumn("input_ids", tokenizer.ids(column, max_length))
-    else:
-        encoded = rows.withColumn("input_ids", tokenizer.ids(column, max_length))
-        encoded = encoded.where(F.size("input_ids") >= min_tokens)
-    mask = F.transform("input_ids", lambda _: F.lit(1))
-    return encoded.withColumn("attention_mask", mask).drop(text, *tokenizer.helpers)
+    if tokenizer.counts_cheaply:
+        return encode(enough_tokens(rows, tokenizer, text, max_length, min_tokens), tokenizer, text, max_length)
+    return encode(rows, tokenizer, text, max_length).where(F.size("input_ids") >= min_tokens)
 
 
 def map_batches(rows: DataFrame, function: Callable, schema: str) -> DataFrame:

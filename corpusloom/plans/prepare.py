@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.operators.batches import assign_batches, collate
 from corpusloom.operators.order import HASH, shuffle_seeded, split_hash
-from corpusloom.operators.report import require_rows
-from corpusloom.operators.tokens import Tokenizer, tokenize
-from corpusloom.sources.scan import build_corpus
+from corpusloom.operators.tokens import Tokenizer, encode, enough_tokens, tokenize, with_mask
+from corpusloom.sources.scan import build_corpus, stored_bytes
 from corpusloom.sources.sinks import write_corpus
 from corpusloom.spec import MAX_SEQ_LENGTH, MIN_TOKENS_BATCH, SEED, TEST_SHARE, SourceSpec
 
+# Stored files are compressed; their rows take about this many times the space in a shuffle.
+EXPANSION = 3
+PARTITION_BYTES = 256 << 20
+
 
 def prepare_rows(
     text_rows: DataFrame,
@@ -25,14 +30,56 @@ def prepare_rows(
 ) -> DataFrame:
     """Token rows in shuffled order with their split.
 
-    Tokenizing, filtering and the split run in the scan stage; the shuffle is the
-    only exchange, and it moves truncated token rows, not texts.
+    The shuffle is the only exchange. If the tokenizer can count without encoding,
+    the exchange moves texts, which are smaller than their ids, and encoding runs
+    in evenly filled partitions whatever the layout of the input files.
     """
-    tokens = tokenize(text_rows, tokenizer, max_length=max_length, min_tokens=min_tokens)
-    labelled = split_hash(tokens, test_share, seed)
+    if not tokenizer.counts_cheaply:
+        tokens = tokenize(text_rows, tokenizer, max_length=max_length, min_tokens=min_tokens).drop("attention_mask")
+        return with_mask(_shuffled(tokens, test_share, seed, partitions))
+    texts = enough_tokens(text_rows, tokenizer, max_length=max_length, min_tokens=min_tokens)
+    return encode(_shuffled(texts, test_share, seed, partitions), tokenizer, max_length=max_length)
+
+
+def _shuffled(rows: DataFrame, test_share: float, seed: int, partitions: int | None) -> DataFrame:
+    labelled = split_hash(rows, test_share, seed)
     return shuffle_seeded(labelled, seed, partitions, within=["split"]).drop(HASH)
 
 
+def batch_rows(
+    text_rows: DataFrame,
+    tokenizer: Tokenizer,
+    batch_size: int,
+    max_length: int = MAX_SEQ_LENGTH,
+    min_tokens: int = MIN_TOKENS_BATCH,
+    seed: int = SEED,
+    drop_last: bool = True,
+    mask_by_position: bool = False,
+) -> DataFrame:
+    """Padded batches of a fixed size, straight from text rows.
+
+    Two exchanges: one to number the rows, one to bring each batch together. Both
+    move texts if the tokenizer can count without encoding.
+    """
+    if tokenizer.counts_cheaply:
+        texts = enough_tokens(text_rows, tokenizer, max_length=max_length, min_tokens=min_tokens)
+        placed = assign_batches(texts, batch_size, seed, drop_last).repartition("batch_id")
+        tokens = encode(placed, tokenizer, max_length=max_length)
+    else:
+        tokens = tokenize(text_rows, tokenizer, max_length=max_length, min_tokens=min_tokens)
+        tokens = assign_batches(tokens, batch_size, seed, drop_last)
+    return collate(tokens, tokenizer.special.pad, mask_by_position)
+
+
+def shuffle_width(spark: SparkSession, specs: Iterable[SourceSpec]) -> int:
+    """Partitions of about 256 MB for the shuffle, from the size of the source files.
+
+    At least ``spark.sql.shuffle.partitions``.
+    """
+    wanted = math.ceil(stored_bytes(spark, specs) * EXPANSION / PARTITION_BYTES)
+    return max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def prepare(
     spark: SparkSession,
     specs: Iterable[SourceSpec],
@@ -40,8 +87,11 @@ def prepare(
     path: str,
     tables: Mapping[str, DataFrame] | None = None,
     tolerant: bool = True,
+    partitions: int | None = None,
     **options: object,
 ) -> DataFrame:
     """Build the corpus, prepare it and write it to ``path``; returns the written table."""
-    corpus = build_corpus(spark, specs, tables, tolerant)
-    return write_corpus(prepare_rows(require_rows(corpus.rows), tokenizer, **options), path)
+    specs = list(specs)
+    rows = build_corpus(spark, specs, tables, tolerant).require_rows()
+    width = partitions or shuffle_width(spark, specs)
+    return write_corpus(prepare_rows(rows, tokenizer, partitions=width, **options), path)

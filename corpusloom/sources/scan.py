@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,7 @@ from corpusloom.spec import MIN_CHARS, SourceSpec, check_catalog
 
 log = logging.getLogger(__name__)
 
+FEW_SPLITS = 16
 TEXT_ROW = "source string, row_key string, text string"
 # Reader options of a tolerant scan: skip what is damaged or gone, keep the rest.
 TOLERANT = {"ignoreCorruptFiles": "true", "ignoreMissingFiles": "true"}
@@ -55,13 +57,46 @@ def scan_stream(
     return select_part(reader.load(spec.path), spec)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Spread a scan of few splits over all cores, for CPU-bound work on small files.
+
+    At most 16 splits (about 2 GB) are moved; larger scans have tasks enough and
+    stay as they are.
+    """
+    splits, cores = rows.rdd.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if splits < min(cores, FEW_SPLITS) else rows
+
+
+def stored_bytes(spark: SparkSession, specs: Iterable[SourceSpec]) -> int:
+    """Size of the sources' files, from the file listing; sources without a listing count 0."""
+    total = 0
+    for spec in specs:
+        if spec.path:
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            try:
+                total += files.load(spec.path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+            except AnalysisException:
+                log.warning("source %s has no files to size", spec.name)
+    return total
+
+
 @dataclass
 class Corpus:
     """Text rows of all sources that could be opened, and why the others could not."""
 
-    rows: DataFrame
+    sources: list[DataFrame]
     failed: dict[str, str] = field(default_factory=dict)
 
+    @property
+    def rows(self) -> DataFrame:
+        return union_sources(self.sources)
+
+    def require_rows(self) -> DataFrame:
+        """The rows of all sources; an error if there are none. Looks for one row, source by source."""
+        if all(rows.isEmpty() for rows in self.sources):
+            raise ValueError("no source gave any rows")
+        return self.rows
+
 
 def union_sources(frames: Iterable[DataFrame]) -> DataFrame:
     """All rows of all sources in one plan; duplicates are kept."""
@@ -115,4 +150,4 @@ def build_corpus(
             frames.append(text_rows(rows, spec, min_chars, direct, totals.get(spec.name)))
     if not frames:
         raise ValueError(f"no source could be opened: {failed}")
-    return Corpus(union_sources(frames), failed)
+    return Corpus(frames, failed)

@@ -19,10 +19,10 @@ from corpusloom.operators.cutoff import DIRECT_ROWS, cap_kept
 from corpusloom.operators.order import HASH, global_index
 from corpusloom.operators.select import keyed, long_enough, row_key
 from corpusloom.operators.tokens import Tokenizer
-from corpusloom.sources.sinks import append_history, read_history
+from corpusloom.sources.sinks import append_history, read_if_written
 from corpusloom.spec import MAX_SEQ_LENGTH, MIN_CHARS, MIN_TOKENS_LAZY, SEED, SourceSpec
 
-BATCH_RECORD = "batch long, source string, rows long, timestamp timestamp"
+BATCH_RECORD = "batch long, source string, rows long, rows_so_far long, timestamp timestamp"
 
 
 def lazy_rows(
@@ -45,22 +45,23 @@ def lazy_rows(
     return tokens.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
 
 
-def _write_batch(rows: DataFrame, out: str, batch_id: int, source: str) -> None:
+def _rows_before(spark: SparkSession, out: str, batch_id: int) -> int:
+    """Rows written up to the batch before, as its history row tells."""
+    last = read_if_written(spark, f"{out}/history/entry={batch_id - 1}", BATCH_RECORD) if batch_id > 0 else None
+    return 0 if last is None else last.agg(F.coalesce(F.max("rows_so_far"), F.lit(0))).first()[0]
+
+
+def _write_batch(rows: DataFrame, out: str, batch_id: int, source: str, before: int) -> None:
     spark, path = rows.sparkSession, f"{out}/rows/batch={batch_id}"
     rows.write.mode("overwrite").parquet(path)
     written = spark.read.schema(rows.schema).parquet(path).agg(F.count(F.lit(1)).alias("rows"))
     record = written.select(
         F.lit(batch_id).cast("long").alias("batch"), F.lit(source).alias("source"), "rows",
-        F.current_timestamp().alias("timestamp"),
+        (F.col("rows") + before).alias("rows_so_far"), F.current_timestamp().alias("timestamp"),
     )
     append_history(record, f"{out}/history", batch_id)
 
 
-def _rows_before(spark: SparkSession, out: str, batch_id: int) -> int:
-    earlier = read_history(spark, f"{out}/history", BATCH_RECORD).where(F.col("batch") < batch_id)
-    return earlier.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-
-
 def _run(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
@@ -76,8 +77,9 @@ def start_prepare(
     cap = spec.stream_cap
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        left = None if cap is None else max(cap - _rows_before(batch.sparkSession, out, batch_id), 0)
-        _write_batch(lazy_rows(batch, spec, tokenizer, left, **options), out, batch_id, spec.name)
+        before = _rows_before(batch.sparkSession, out, batch_id)
+        left = None if cap is None else max(cap - before, 0)
+        _write_batch(lazy_rows(batch, spec, tokenizer, left, **options), out, batch_id, spec.name, before)
 
     return _run(stream, handle, checkpoint)
 
@@ -90,7 +92,8 @@ def start_shuffle(stream: DataFrame, spec: SourceSpec, out: str, checkpoint: str
         texts = rows.select(
             F.lit(spec.name).alias("source"), row_key(keys).alias("row_key"), render_text(rows, spec).alias("text")
         )
-        _write_batch(global_index(texts, seed).drop(HASH, "row_total"), out, batch_id, spec.name)
+        before = _rows_before(batch.sparkSession, out, batch_id)
+        _write_batch(global_index(texts, seed).drop(HASH, "row_total"), out, batch_id, spec.name, before)
 
     return _run(stream, handle, checkpoint)
 

@@ -20,7 +20,7 @@ from corpusloom.operators.tokens import (
     map_batches,
     tokenize,
 )
-from corpusloom.plans.prepare import prepare
+from corpusloom.plans.prepare import batch_rows, prepare
 from corpusloom.session import new_folder
 from corpusloom.sources import sinks
 from corpusloom.sources.scan import build_corpus, scan, scan_stream, union_sources
@@ -309,7 +309,7 @@ def mixture_report(spark, sf_dir):
 @query
 def count_per_source(spark, sf_dir):
     corpus = build_corpus(spark, src.catalog(), src.tables(spark, sf_dir), tolerant=False)
-    return report.count_per_source(corpus.rows, [*src.catalog(), SourceSpec("empty")])
+    return mixture.count_per_source(corpus.rows, mixture.catalog_table(spark, [*src.catalog(), SourceSpec("empty")]))
 
 
 @query
@@ -357,20 +357,20 @@ def publish_outcomes(spark, sf_dir):
 
 @query
 def tokenize_bytes(spark, sf_dir):
-    tokens = tokenize(src.document_rows(spark, sf_dir), ByteTokenizer())
+    tokens = tokenize(src.document_rows(spark, sf_dir, spread=True), ByteTokenizer())
     return tokens.select("source", "row_key", _joined("input_ids"), _joined("attention_mask"))
 
 
 @query
 def tokenize_vocab(spark, sf_dir):
-    rows = src.document_rows(spark, sf_dir)
+    rows = src.document_rows(spark, sf_dir, spread=True)
     tokens = tokenize(rows, VocabTokenizer(build_vocabulary(rows)))
     return tokens.select("source", "row_key", _joined("input_ids"))
 
 
 @query
 def vocabulary(spark, sf_dir):
-    return build_vocabulary(src.document_rows(spark, sf_dir))
+    return build_vocabulary(src.document_rows(spark, sf_dir, spread=True))
 
 
 @query
@@ -378,7 +378,7 @@ def tokenize_plugged(spark, sf_dir):
     def load():
         return lambda texts: [[1, *[b + 3 for b in text.encode("utf-8")]] for text in texts]
 
-    tokens = tokenize(src.document_rows(spark, sf_dir), PluggedTokenizer(load))
+    tokens = tokenize(src.document_rows(spark, sf_dir, spread=True), PluggedTokenizer(load))
     return tokens.select("source", "row_key", _joined("input_ids"))
 
 
@@ -398,8 +398,7 @@ def batch_drop_last(spark, sf_dir):
 
 @query
 def lm_collate(spark, sf_dir):
-    tokens = tokenize(src.document_rows(spark, sf_dir), ByteTokenizer())
-    rows = batches.collate(batches.assign_batches(tokens, BATCH_SIZE))
+    rows = batch_rows(src.document_rows(spark, sf_dir), ByteTokenizer(), BATCH_SIZE)
     return rows.select("batch_id", "batch_row", _joined("input_ids"), _joined("attention_mask"), _joined("labels"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.sources import scan
 from corpusloom.spec import SourceSpec
 
 ANSWER_TAG, BOX_TAG = " #### ", " \\boxed{"
@@ -92,9 +93,11 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as text rows."""
-    return table(spark, sf_dir, "documents").select("source", F.col("doc_id").cast("string").alias("row_key"), "text")
+def document_rows(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """All documents as text rows; ``spread`` for CPU-bound work on them."""
+    documents = table(spark, sf_dir, "documents")
+    rows = documents.select("source", F.col("doc_id").cast("string").alias("row_key"), "text")
+    return scan.spread(rows) if spread else rows
 
 
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

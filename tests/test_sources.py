@@ -4,12 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import report, runs
+from corpusloom.operators.mixture import catalog_table, count_per_source
 from corpusloom.operators.select import every_nth, long_enough
-from corpusloom.operators.tokens import ByteTokenizer
+from corpusloom.operators.tokens import ByteTokenizer, PluggedTokenizer
+from corpusloom.plans import prepare as plan
 from corpusloom.plans.prepare import prepare, prepare_rows
 from corpusloom.session import new_folder, shared_folder
 from corpusloom.sources import sinks
-from corpusloom.sources.scan import build_corpus, scan
+from corpusloom.sources.scan import build_corpus, scan, stored_bytes
 from corpusloom.spec import SourceSpec, check_catalog, default_catalog
 
 TEXT = "a text that is long enough"
@@ -108,13 +110,14 @@ def test_damaged_file_keeps_the_other_rows(spark, good, tmp_path):
 def test_no_rows_is_an_error(spark, good):
     rows = spark.createDataFrame([(1, "short")], "id long, text string")
     with pytest.raises(ValueError, match="no source gave any rows"):
-        report.require_rows(build_corpus(spark, [good], {"good": rows}).rows)
+        build_corpus(spark, [good], {"good": rows}).require_rows()
 
 
 def test_duplicates_are_kept_and_counted(spark, good):
     other = SourceSpec("other", path=good.path, key_columns=("id",), max_samples=5)
     rows = build_corpus(spark, [good, other]).rows
-    counts = {r.source: r.rows for r in report.count_per_source(rows, [good, other, SourceSpec("none")]).collect()}
+    catalog = catalog_table(spark, [good, other, SourceSpec("none")])
+    counts = {r.source: r.rows for r in count_per_source(rows, catalog).collect()}
     assert counts == {"good": 20, "other": 5, "none": 0}
     assert report.count_rows(rows).first().rows == 25
 
@@ -185,6 +188,28 @@ def test_prepare_end_to_end(spark, good, capsys):
     assert capsys.readouterr().out.count("Exchange") == 1
 
 
+def test_shuffle_width_follows_the_files(spark, good, monkeypatch, tmp_path):
+    size = sum(f.stat().st_size for f in (tmp_path / "good").glob("*.parquet"))
+    assert stored_bytes(spark, [good, SourceSpec("no path"), SourceSpec("gone", path=str(tmp_path / "gone"))]) >= size > 0
+    assert plan.shuffle_width(spark, [good]) == 8
+    monkeypatch.setattr(plan, "PARTITION_BYTES", size / 10)
+    assert plan.shuffle_width(spark, [good]) >= 30
+
+
+def test_plugged_tokens_keep_the_shuffled_order(spark, good):
+    rows = spark.range(200).select("id", F.concat(F.lit(TEXT), F.col("id").cast("string")).alias("text"))
+
+    def load():
+        return lambda texts: [[1, *[b + 3 for b in text.encode()]] for text in texts]
+
+    native, plugged = (
+        prepare(spark, [good], tokenizer, new_folder(spark, "corpus"), {"good": rows}, min_tokens=1, partitions=1)
+        .where("split = 'train'").select("row_key", "input_ids").collect()
+        for tokenizer in (ByteTokenizer(), PluggedTokenizer(load))
+    )
+    assert native == plugged
+
+
 def test_written_rows_keep_the_shuffled_order(spark, good):
     from corpusloom.operators.order import shuffle_seeded
 
