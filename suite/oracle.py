@@ -81,10 +81,10 @@ _BUCKET = "(('0x' || substr({h}, 1, 8))::BIGINT % 10000)"
 _SPLIT = f"CASE WHEN {_BUCKET.format(h='h')} < 100 THEN 'test' ELSE 'train' END"
 
 _HEX = "substr(hex(encode(text)), 1, 4094)"
-_DIGIT = "(strpos('0123456789ABCDEF', substr(x, {at}, 1)) - 1)"
+_DIGIT = "(strpos('0123456789ABCDEF', pair[{at}]) - 1)"
 _BYTE_IDS = (
-    f"[1] || list_transform(range(0, length(x) // 2), "
-    f"lambda i: 3 + 16 * {_DIGIT.format(at='2 * i + 1')} + {_DIGIT.format(at='2 * i + 2')})"
+    f"[1] || list_transform(regexp_extract_all(x, '..'), "
+    f"lambda pair: 3 + 16 * {_DIGIT.format(at=1)} + {_DIGIT.format(at=2)})"
 )
 _CTES["byte_tokens"] = f"""SELECT source, row_key, h, {_BYTE_IDS} AS ids FROM (SELECT *, {_HEX} AS x FROM docs)
       WHERE octet_length(encode(text)) + 1 >= 32"""
