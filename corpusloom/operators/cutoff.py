@@ -23,8 +23,8 @@ from corpusloom.functions.hashing import hash_shard
 
 # Up to this many rows, a per-task top-n merged in one task is cheap on any cluster.
 DIRECT_ROWS = 10_000
-# Expected number of sampled keys per narrowing step.
-PIVOTS = 2_000
+# Fewest keys to sample per narrowing step; usually as many as DIRECT_ROWS.
+MIN_PIVOTS = 500
 
 
 def _key(name: str) -> Column:
@@ -57,6 +57,16 @@ def _up_to_nth(rows: DataFrame, keys: Sequence[str], n: int) -> Column:
     return F.struct(*_columns(keys)) <= first.agg(F.max(F.struct(*_columns(keys)))).scalar()
 
 
+def _sample(window: DataFrame, keys: Sequence[str], total: int, pivots: int, salt: int) -> list[Row]:
+    """About ``pivots`` keys, sorted.
+
+    Which keys are sampled depends on their hash, so a retried task picks the same ones.
+    """
+    step = max(1, total // pivots)
+    chosen = F.pmod(F.xxhash64(*_columns(keys), F.lit(salt)), F.lit(step)) == 0
+    return window.where(chosen).distinct().orderBy(*_columns(keys)).collect()
+
+
 def nth_key(
     rows: DataFrame, keys: Sequence[str], n: int, direct: int = DIRECT_ROWS, total: int | None = None
 ) -> Row | None:
@@ -71,13 +81,10 @@ def nth_key(
     if total <= n:
         return None
     # A range of so few keys is sorted as it is.
-    few = max(direct, PIVOTS)
+    few = max(direct, MIN_PIVOTS)
     while rank > direct and total > few:
         salt, before = salt + 1, total
-        step = max(1, total // PIVOTS)
-        # Which keys are sampled depends on their hash, so a retried task picks the same ones.
-        chosen = F.pmod(F.xxhash64(*_columns(keys), F.lit(salt)), F.lit(step)) == 0
-        pivots = window.where(chosen).distinct().orderBy(*_columns(keys)).collect()
+        pivots = _sample(window, keys, total, few, salt)
         if not pivots:
             continue  # another salt picks other keys
         slack = 4 * math.sqrt(len(pivots))
@@ -148,14 +155,17 @@ def cap_kept(
     total = rows.count() if total is None else total
     if total <= n:
         return kept
-    schema = rows.select(*_columns(keys)).schema
+    key_rows = rows.select(*_columns(keys))
+    schema = key_rows.schema
+    pivots = _sample(key_rows, keys, total, max(direct, MIN_PIVOTS), salt=0)
     reach = 2 * n
     while True:
-        edge = nth_key(rows, keys, reach, direct, total)
-        if edge is None:
+        # A head of about ``reach`` rows; any head with enough rows that pass will do.
+        edge = math.ceil(reach / total * len(pivots))
+        if edge >= len(pivots):
             head, passed = kept, None
             break
-        head = rows.where(_up_to(keys, edge, schema)).where(keep)
+        head = rows.where(_up_to(keys, pivots[edge], schema)).where(keep)
         passed = head.count()
         if passed >= n:
             break

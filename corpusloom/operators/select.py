@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from corpusloom.functions.render import render_text
 from corpusloom.functions.text import stripped_length
 from corpusloom.operators.cutoff import DIRECT_ROWS, cap_kept, cap_scanned, content_key
+from corpusloom.session import new_folder
+from corpusloom.sources.sinks import stage
 from corpusloom.spec import MIN_CHARS, SourceSpec
 
 
@@ -48,13 +50,20 @@ def text_rows(
     A lazy source caps the rows it keeps; a batch source caps the rows it scans.
     ``total`` is the number of rows, where it is known already.
     """
+    cap = spec.batch_cap
+    if cap is not None and cap > direct and total is None:
+        total = rows.count()
+    binding = cap is not None and (total is None or total > cap)
     rows, keys = keyed(rows, spec)
+    if binding and cap > direct and not spec.key_columns:
+        # The cap reads the keys several times: group equal rows only once.
+        rows = stage(rows, new_folder(rows.sparkSession, "keyed"), "rows")
     text = render_text(rows, spec)
     keep = long_enough(text, min_chars)
     if spec.streaming:
-        capped = cap_kept(rows, keys, spec.batch_cap, keep, direct, total)
+        capped = cap_kept(rows, keys, cap, keep, direct, total)
     else:
-        capped = cap_scanned(rows, keys, spec.batch_cap, direct, total).where(keep)
+        capped = cap_scanned(rows, keys, cap, direct, total).where(keep)
     return capped.select(F.lit(spec.name).alias("source"), row_key(keys).alias("row_key"), text.alias("text"))
 
 
