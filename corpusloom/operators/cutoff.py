@@ -151,7 +151,7 @@ def cap_kept(
     if n <= 0:
         return rows.where(F.lit(False))
     if n <= direct:
-        return kept.where(_up_to_nth(kept, keys, n))
+        return rows.where(_up_to_nth(kept, keys, n)).where(keep)
     total = rows.count() if total is None else total
     if total <= n:
         return kept

@@ -19,7 +19,7 @@ CHECKPOINT_PATTERN = r"^(?:.*/)?checkpoint-(\d+)$"
 def with_step(checkpoints: DataFrame, path: str = "path") -> DataFrame:
     """Add the step that a checkpoint's path names; other paths are left out."""
     step = F.regexp_extract(path, CHECKPOINT_PATTERN, 1)
-    return checkpoints.where(step != "").withColumn("step", step.cast("long"))
+    return checkpoints.where(step != "").withColumn("step", step.try_cast("long"))
 
 
 def latest_checkpoint(checkpoints: DataFrame, explicit: DataFrame | None = None) -> DataFrame:

@@ -175,7 +175,8 @@ class PluggedTokenizer(Tokenizer):
             for texts in batches:
                 yield pd.Series([list(ids)[:max_length] for ids in call(texts.tolist())], dtype=object)
 
-        return encode(text)
+        # Not because its result varies: the optimizer must not copy the call into filters on its result.
+        return encode.asNondeterministic()(text)
 
 
 def enough_tokens(

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusloom.operators.batches import assign_batches, collate
 from corpusloom.operators.order import HASH, shuffle_seeded, split_hash
 from corpusloom.operators.tokens import Tokenizer, encode, enough_tokens, tokenize, with_mask
+from corpusloom.session import new_folder
 from corpusloom.sources.scan import build_corpus, stored_bytes
-from corpusloom.sources.sinks import write_corpus
+from corpusloom.sources.sinks import stage, write_corpus
 from corpusloom.spec import MAX_SEQ_LENGTH, MIN_TOKENS_BATCH, SEED, TEST_SHARE, SourceSpec
 
 # Stored files are compressed; their rows take about this many times the space in a shuffle.
@@ -59,7 +60,8 @@ def batch_rows(
     """Padded batches of a fixed size, straight from text rows.
 
     Two exchanges: one to number the rows, one to bring each batch together. Both
-    move texts if the tokenizer can count without encoding.
+    move texts if the tokenizer can count without encoding. Otherwise the token rows
+    are staged, because numbering reads its input twice.
     """
     if tokenizer.counts_cheaply:
         texts = enough_tokens(text_rows, tokenizer, max_length=max_length, min_tokens=min_tokens)
@@ -67,6 +69,7 @@ def batch_rows(
         tokens = encode(placed, tokenizer, max_length=max_length)
     else:
         tokens = tokenize(text_rows, tokenizer, max_length=max_length, min_tokens=min_tokens)
+        tokens = stage(tokens, new_folder(tokens.sparkSession, "tokens"), "rows")
         tokens = assign_batches(tokens, batch_size, seed, drop_last)
     return collate(tokens, tokenizer.special.pad, mask_by_position)
 

@@ -18,7 +18,7 @@ from corpusloom.functions.render import render_text
 from corpusloom.operators.cutoff import DIRECT_ROWS, cap_kept
 from corpusloom.operators.order import HASH, global_index
 from corpusloom.operators.select import keyed, long_enough, row_key
-from corpusloom.operators.tokens import Tokenizer
+from corpusloom.operators.tokens import Tokenizer, with_mask
 from corpusloom.sources.sinks import append_history, read_if_written
 from corpusloom.spec import MAX_SEQ_LENGTH, MIN_CHARS, MIN_TOKENS_LAZY, SEED, SourceSpec
 
@@ -37,12 +37,18 @@ def lazy_rows(
 ) -> DataFrame:
     """Rendered, tokenized rows of one source, capped on the rows that pass both filters."""
     rows, keys = keyed(rows, spec)
-    text = render_text(rows, spec)
-    keep = long_enough(text, min_chars) & (tokenizer.count(text, max_length) >= min_tokens)
-    ids = tokenizer.ids(text, max_length).alias("input_ids")
-    chosen = tokenizer.attach(cap_kept(rows, keys, cap, keep, direct))
-    tokens = chosen.select(F.lit(spec.name).alias("source"), row_key(keys).alias("row_key"), ids)
-    return tokens.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
+    texts = rows.select(*keys, render_text(rows, spec).alias("_text"))
+    text, ids = F.col("_text"), tokenizer.ids(F.col("_text"), max_length)
+    keep = long_enough(text, min_chars)
+    if tokenizer.counts_cheaply:
+        keep = keep & (tokenizer.count(text, max_length) >= min_tokens)
+        chosen = cap_kept(texts, keys, cap, keep, direct)
+        encoded = tokenizer.attach(chosen).withColumn("input_ids", ids)
+    else:
+        encoded = tokenizer.attach(texts.where(keep)).withColumn("input_ids", ids)
+        encoded = cap_kept(encoded, keys, cap, F.size("input_ids") >= min_tokens, direct)
+    named = encoded.select(F.lit(spec.name).alias("source"), row_key(keys).alias("row_key"), "input_ids")
+    return with_mask(named)
 
 
 def _rows_before(spark: SparkSession, out: str, batch_id: int) -> int:

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators.tokens import ByteTokenizer
+from corpusloom.operators.tokens import ByteTokenizer, PluggedTokenizer
 from corpusloom.session import new_folder
 from corpusloom.sources.scan import scan_stream
 from corpusloom.sources.sinks import read_history
@@ -54,6 +54,15 @@ def test_cap_counts_over_batches(spark, folder, cap, direct):
     assert history.agg(F.sum("rows")).first()[0] == min(cap, 20)
 
 
+def test_plugged_tokenizer_streams_the_same(spark, folder):
+    add(spark, folder, 0, 20)
+    native = run(spark, folder, cap=9).select("row_key", "input_ids").sort("row_key").collect()
+    plugged = PluggedTokenizer(lambda: lambda texts: [[1, *[b + 3 for b in t.encode()]] for t in texts])
+    spec = SourceSpec("s", key_columns=("k",))
+    got = lazy_rows(spark.read.parquet(f"{folder}/in"), spec, plugged, 9)
+    assert got.select("row_key", "input_ids").sort("row_key").collect() == native
+
+
 def test_resume_takes_new_files_only(spark, folder):
     add(spark, folder, 0, 10)
     assert run(spark, folder, cap=9).count() == 6

@@ -15,6 +15,7 @@ from corpusloom.operators.tokens import (
     map_batches,
     tokenize,
 )
+from corpusloom.plans.prepare import batch_rows
 
 TEXTS = ["", "a", "héllo \U0001F600 wörld", "x\x00y\n\tz", "the the the cat", " lead and trail \n", "\x85\xa0 odd", "q" * 5_000]
 
@@ -102,6 +103,24 @@ def test_public_tokenizer_plugs_in(spark):
     assert ids_of(rows, PluggedTokenizer(load)) == expected
 
 
+def test_plugged_tokenizer_runs_once_per_text(rows, capsys):
+    tokenize(rows, PluggedTokenizer(lambda: lambda texts: [[1] * 40 for _ in texts])).explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+
+
+def test_batches_with_any_tokenizer(spark):
+    rows = spark.range(50).select(
+        F.lit("s").alias("source"), F.col("id").cast("string").alias("row_key"),
+        F.concat(F.lit("x" * 30), F.col("id").cast("string")).alias("text"),
+    )
+    plugged = PluggedTokenizer(lambda: lambda texts: [[1, *[b + 3 for b in t.encode()]] for t in texts])
+    native, other = (batch_rows(rows, tokenizer, 8).sort("batch_id", "batch_row").collect()
+                     for tokenizer in (ByteTokenizer(), plugged))
+    columns = ("batch_id", "batch_row", "input_ids", "attention_mask", "labels")
+    assert [[r[c] for c in columns] for r in native] == [[r[c] for c in columns] for r in other]
+    assert len(native) == 48 and len({len(r.labels) for r in native if r.batch_id == 0}) == 1
+
+
 def test_special_ids():
     assert SpecialIds() == SpecialIds(1, 2, 0)
     assert SpecialIds.of_tokenizer(bos=5, eos=6) == SpecialIds(5, 6, 6)
