@@ -152,7 +152,7 @@ class VocabTokenizer(Tokenizer):
         return F.concat(F.array(F.lit(self.special.bos)), body)
 
     def count(self, text: Column, max_length: int = MAX_SEQ_LENGTH) -> Column:
-        return F.least(F.size(pieces(text)) + F.lit(1), F.lit(max_length))
+        return F.least(F.regexp_count(text, F.lit(PIECE_PATTERN)) + F.lit(1), F.lit(max_length))
 
 
 @dataclass(frozen=True)
