@@ -6,8 +6,8 @@ read for the kept key range only.
 
 Small n: the threshold is a scalar subquery over the keys, so the plan stays lazy.
 Large n: the threshold is found while the plan is built, by narrowing a key range
-with sampled pivots. Each step is a key-only aggregate; the driver sees a few
-thousand sampled keys and counts, never the rows.
+with sampled pivots. Each step is a key-only aggregate; the driver sees some
+ten thousand sampled keys and counts, never the rows.
 """
 
 from __future__ import annotations

@@ -143,7 +143,19 @@ def build_corpus(
         with _tolerating(spec, failed, tolerant):
             given = (tables or {}).get(spec.name)
             opened[spec] = select_part(given, spec) if given is not None else scan(spark, spec, tolerant)
-    totals = count_scanned([(s, rows) for s, rows in opened.items() if (s.batch_cap or 0) > direct])
+    capped = [(s, rows) for s, rows in opened.items() if (s.batch_cap or 0) > direct]
+    totals: dict[str, int] = {}
+    try:
+        totals = count_scanned(capped)
+    except Exception:
+        if not tolerant:
+            raise
+        # One source broke the joint count: find out which.
+        for spec, rows in capped:
+            with _tolerating(spec, failed, tolerant):
+                totals.update(count_scanned([(spec, rows)]))
+            if spec.name in failed:
+                del opened[spec]
     frames = []
     for spec, rows in opened.items():
         with _tolerating(spec, failed, tolerant):

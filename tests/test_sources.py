@@ -99,6 +99,15 @@ def test_missing_source_is_left_out(spark, good, tmp_path):
         build_corpus(spark, [missing])
 
 
+def test_source_that_breaks_while_counted_is_left_out(spark, good):
+    broken = SourceSpec("broken", key_columns=("id",))
+    rows = spark.range(5).where(F.raise_error(F.lit("bad row")).isNull()).withColumn("text", F.lit(TEXT))
+    corpus = build_corpus(spark, [broken, good], {"broken": rows})
+    assert set(corpus.failed) == {"broken"} and corpus.rows.count() == 20
+    with pytest.raises(Exception, match="bad row"):
+        build_corpus(spark, [broken, good], {"broken": rows}, tolerant=False)
+
+
 def test_damaged_file_keeps_the_other_rows(spark, good, tmp_path):
     (tmp_path / "good" / "part-bad.parquet").write_bytes(b"PAR1 this is not parquet PAR1")
     specs = [good]
