@@ -35,8 +35,8 @@ LEXICON = 3
 EPOCHS = 30
 # Chains are at most so many words long; longer texts are several chains.
 CHAIN = 64
-GROUP = 2_000_000
-MAX_WORDS = 300_000
+GROUP = 400_000
+MAX_WORDS = 100_000
 UNKNOWN = "und"
 
 WORD = re.compile(r"[^\W\d_]+")

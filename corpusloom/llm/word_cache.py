@@ -23,7 +23,7 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 # Fixed value: the piece pattern of the word-level tokenizer.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
-MAX_WORDS = 300_000
+MAX_WORDS, MAX_PIECES = 120_000, 250_000
 
 _loaded: dict[str, "WordEncoder"] = {}
 
@@ -40,7 +40,7 @@ class WordEncoder:
         self.dtype = np.dtype(f"<u{self.width}")
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.words, self.pieces = Memory(MAX_WORDS), Memory(MAX_WORDS)
+        self.words, self.pieces = Memory(MAX_WORDS), Memory(MAX_PIECES)
 
     def _learn(self, words: list[str]) -> None:
         """Ids of new words from the ids of their pieces; the library's model encodes pieces not met before."""
