@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import lang_crf, mixture_pack, secrets, sentence_dedup, simhash
-from corpusloom.llm.common import staged
+from corpusloom.llm.common import discard, recorded, staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_SCORE = 0.35
@@ -16,7 +19,32 @@ TOKENIZER = "word_bpe_49k.json"
 # SQL cannot express these stages; the tests compare each with a brute-force version.
 ORACLE_SQL = None
 
+# Scratch folders of the stage that ran last, by application.
+_left: dict[str, list[str]] = {}
+
+
+def _stage(function: Callable) -> Callable:
+    """Deletes the scratch folders of the stage before, whose result is written by now, and notes those of this one.
+
+    They stay if ``docs`` still reads from them, that is, if the result was not written.
+    """
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        key = spark.sparkContext.applicationId
+        before = _left.pop(key, [])
+        if before and not any(folder in file for file in docs.inputFiles() for folder in before):
+            discard(spark, before)
+            before = []
+        with recorded() as made:
+            found = function(spark, docs, sf_dir)
+        _left[key] = [*before, *made]
+        return found
+
+    return run_stage
+
 
+@_stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a language (no letters, or a mean probability below LEAST_SCORE); ``lang`` becomes the predicted one."""
     found = lang_crf.identify(docs.select(*COLUMNS))
@@ -24,23 +52,27 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
+@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group linked by three-word SimHash at two bits or fewer."""
     return simhash.keep_one(docs.select(*COLUMNS), shingle=3, distance=2)
 
 
+@_stage
 def drop_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes sentences of repeated spans but for their first place; documents stay, with what is left of their text."""
     found = sentence_dedup.remove_repeats(docs.select(*COLUMNS))
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+@_stage
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every found secret by a mark; documents stay."""
     found = secrets.scan(docs.select(*COLUMNS)).withColumn("text", F.col("redacted"))
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all documents into windows of 2048 tokens, by the token shares of their sources."""
     return mixture_pack.pack_documents(docs, public_tokenizers.path(TOKENIZER), end_id=1)

@@ -5,9 +5,10 @@ from __future__ import annotations
 import gc
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.session import new_folder
@@ -16,6 +17,10 @@ from corpusloom.session import new_folder
 MAX_BUCKETS = 65_536
 
 
+# Folders that ``staged`` writes while a ``recorded`` block is active.
+_record: ContextVar[list[str] | None] = ContextVar("record", default=None)
+
+
 def staged(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` written once to a fresh folder of the shared store and read from there.
 
@@ -23,9 +28,30 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
     """
     path = new_folder(rows.sparkSession, name)
     rows.write.parquet(path)
+    made = _record.get()
+    if made is not None:
+        made.append(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Lists the folders that are staged inside, for the caller to ``discard`` once the results are written."""
+    made: list[str] = []
+    token = _record.set(made)
+    try:
+        yield made
+    finally:
+        _record.reset(token)
+
+
+def discard(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Deletes staged folders through Spark's file systems; a folder that is gone already is no error."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def free_name(rows: DataFrame, name: str) -> str:
     """``name``, with as many underscores behind it as make it differ from all columns."""
     taken = {c.lower() for c in rows.columns}
