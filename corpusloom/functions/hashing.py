@@ -14,11 +14,18 @@ from corpusloom.spec import SEED
 # Four leading hex digits: a fixed number of equally likely, order-preserving shards.
 SHARD_DIGITS = 4
 SHARDS = 16**SHARD_DIGITS
+# Shares are compared on 52 bits, which a double holds exactly.
+SHARE_DIGITS = 13
 
 
-def row_hash(source: Column, row_key: Column, seed: int = SEED) -> Column:
-    """32 hex digits from seed, source and row key."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), source, row_key.cast("string")))
+def row_hash(source: Column, row_key: Column, seed: int = SEED, purpose: str = "") -> Column:
+    """32 hex digits from seed, source and row key.
+
+    Each ``purpose`` has hashes of its own, so that, say, the rows a mixture keeps are
+    not the first ones of the shuffle. The order of rows uses none.
+    """
+    tag = [F.lit(purpose)] if purpose else []
+    return F.md5(F.concat_ws("|", *tag, F.lit(str(seed)), source, row_key.cast("string")))
 
 
 def hash_number(row_hash: Column, digits: int = 8) -> Column:
@@ -31,6 +38,6 @@ def hash_shard(row_hash: Column) -> Column:
     return hash_number(row_hash, SHARD_DIGITS).cast("int")
 
 
-def hash_bucket(row_hash: Column, buckets: int = 10_000) -> Column:
-    """Bucket 0..buckets-1 for share-based decisions."""
-    return F.pmod(hash_number(row_hash), F.lit(buckets)).cast("int")
+def in_share(row_hash: Column, share: float) -> Column:
+    """True for the lowest ``share`` of all hashes."""
+    return hash_number(row_hash, SHARE_DIGITS) < F.lit(round(share * 16**SHARE_DIGITS)).cast("long")

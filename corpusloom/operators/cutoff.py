@@ -35,6 +35,10 @@ def _columns(keys: Sequence[str]) -> list[Column]:
     return [_key(k).alias(k) for k in keys]
 
 
+def _repeated(keys: Sequence[str]) -> str:
+    return f"key columns {list(keys)} do not identify rows; leave them empty to key by content"
+
+
 def _at_most(name: str, limit: Column) -> Column:
     return _key(name).isNull() | (_key(name) <= limit)
 
@@ -86,7 +90,11 @@ def nth_key(
         salt, before = salt + 1, total
         pivots = _sample(window, keys, total, few, salt)
         if not pivots:
-            continue  # another salt picks other keys
+            # Another salt picks other keys, unless all rows have one of a few keys.
+            stalled += 1
+            if stalled == 5:
+                raise ValueError(_repeated(keys))
+            continue
         slack = 4 * math.sqrt(len(pivots))
         place = rank / total * len(pivots)
         low, high = math.floor(place - slack), math.ceil(place + slack)
@@ -107,7 +115,7 @@ def nth_key(
             total = through
         stalled = stalled + 1 if total == before else 0
         if stalled == 5:
-            raise ValueError(f"key columns {list(keys)} do not identify rows; leave them empty to key by content")
+            raise ValueError(_repeated(keys))
     if rank <= total - rank:
         edge = window.orderBy(*_columns(keys)).limit(rank)
         best = edge.agg(F.max(F.struct(*_columns(keys))).alias("bound")).first()
@@ -115,6 +123,8 @@ def nth_key(
         # Closer to the top of the range: the same key, counted from the other end.
         edge = window.orderBy(*[_key(k).desc() for k in keys]).limit(total - rank + 1)
         best = edge.agg(F.min(F.struct(*_columns(keys))).alias("bound")).first()
+    if window.where(_up_to(keys, best["bound"], schema)).count() != rank:
+        raise ValueError(_repeated(keys))
     return best["bound"]
 
 

@@ -11,6 +11,8 @@ from corpusloom.operators.cutoff import lowest_by_hash
 from corpusloom.operators.order import HASH, with_hash
 from corpusloom.spec import DECLARED_SHARES, SEED, SourceSpec
 
+MIXTURE = "mixture"
+
 
 def catalog_table(spark: SparkSession, specs: Iterable[SourceSpec]) -> DataFrame:
     """Name, category and weight of each source: one row per catalog entry."""
@@ -37,9 +39,9 @@ def quotas(specs: Iterable[SourceSpec], budget: int) -> dict[str, int]:
 
 
 def mixture(rows: DataFrame, specs: Iterable[SourceSpec], budget: int, seed: int = SEED) -> DataFrame:
-    """Per source, the rows first in hash order up to its quota (all, if it has fewer)."""
+    """Per source, the rows first in the mixture's hash order up to its quota (all, if it has fewer)."""
     wanted = rows.sparkSession.createDataFrame(list(quotas(specs, budget).items()), "source string, quota long")
-    flagged = lowest_by_hash(with_hash(rows, seed), HASH, wanted, groups=["source"], flag="_chosen")
+    flagged = lowest_by_hash(with_hash(rows, seed, MIXTURE), HASH, wanted, groups=["source"], flag="_chosen")
     return flagged.where("_chosen").drop("_chosen", HASH)
 
 

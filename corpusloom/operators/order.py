@@ -1,6 +1,7 @@
 """Seeded order: shuffle, global row index, and train/test split.
 
-All three use the row hash, so they give one answer for any partitioning.
+All three use row hashes, so they give one answer for any partitioning. The split has
+hashes of its own: it does not depend on the order.
 """
 
 from __future__ import annotations
@@ -10,16 +11,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.hashing import hash_bucket, hash_number, hash_shard, row_hash
+from corpusloom.functions.hashing import hash_number, hash_shard, in_share, row_hash
 from corpusloom.operators.cutoff import lowest_by_hash
 from corpusloom.spec import SEED, TEST_SHARE
 
 HASH = "row_hash"
+SPLIT = "split"
 
 
-def with_hash(rows: DataFrame, seed: int = SEED) -> DataFrame:
-    """Add the row hash of ``(source, row_key)``."""
-    return rows.withColumn(HASH, row_hash(F.col("source"), F.col("row_key"), seed))
+def with_hash(rows: DataFrame, seed: int = SEED, purpose: str = "") -> DataFrame:
+    """Add the row hash of ``(source, row_key)`` for a purpose."""
+    return rows.withColumn(HASH, row_hash(F.col("source"), F.col("row_key"), seed, purpose))
 
 
 def shuffle_seeded(
@@ -59,17 +61,17 @@ def global_index(rows: DataFrame, seed: int = SEED) -> DataFrame:
 
 def split_label(row_hash_column: Column, test_share: float = TEST_SHARE) -> Column:
     """``test`` for about ``test_share`` of all hashes, else ``train``; stable when rows are added."""
-    return F.when(hash_bucket(row_hash_column) < round(test_share * 10_000), F.lit("test")).otherwise(F.lit("train"))
+    return F.when(in_share(row_hash_column, test_share), F.lit("test")).otherwise(F.lit("train"))
 
 
 def split_hash(rows: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
     """Add ``split`` row by row: no exchange, size of the test part approximate."""
-    return with_hash(rows, seed).withColumn("split", split_label(F.col(HASH), test_share)).drop(HASH)
+    return with_hash(rows, seed, SPLIT).withColumn("split", split_label(F.col(HASH), test_share)).drop(HASH)
 
 
 def split_exact(rows: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
     """Add ``split`` with exactly ceil(share * rows) test rows: those first in hash order."""
-    flagged = lowest_by_hash(with_hash(rows, seed), HASH, test_share, flag="_test")
+    flagged = lowest_by_hash(with_hash(rows, seed, SPLIT), HASH, test_share, flag="_test")
     return flagged.withColumn("split", F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train"))).drop(
         "_test", HASH
     )

@@ -17,24 +17,23 @@ CHECKPOINT_PATTERN = r"^(?:.*/)?checkpoint-(\d+)$"
 
 
 def with_step(checkpoints: DataFrame, path: str = "path") -> DataFrame:
-    """Add the step that a checkpoint's path names; other paths are left out."""
-    step = F.regexp_extract(path, CHECKPOINT_PATTERN, 1)
-    return checkpoints.where(step != "").withColumn("step", step.try_cast("long"))
+    """Add the step that a checkpoint's path names; null for other paths."""
+    return checkpoints.withColumn("step", F.regexp_extract(path, CHECKPOINT_PATTERN, 1).try_cast("long"))
 
 
 def latest_checkpoint(checkpoints: DataFrame, explicit: DataFrame | None = None) -> DataFrame:
     """Per run, the explicitly chosen path if it is in the listing, else the highest step.
 
-    ``explicit`` has one row ``(run, path)`` per run that names a path.
+    ``explicit`` has one row ``(run, path)`` per run that names a path, which need not name
+    a step. A run without steps and without a chosen path is left out.
     """
     if explicit is None:
         marked = checkpoints.withColumn("_chosen", F.lit(False))
     else:
         chosen = explicit.select("run", "path").withColumn("_chosen", F.lit(True))
         marked = checkpoints.join(chosen, ["run", "path"], "left")
-    return marked.groupBy("run").agg(
-        F.coalesce(F.max(F.when(F.col("_chosen"), F.col("path"))), F.max_by("path", "step")).alias("path")
-    )
+    latest = F.coalesce(F.max(F.when(F.col("_chosen"), F.col("path"))), F.max_by("path", "step"))
+    return marked.groupBy("run").agg(latest.alias("path")).where("path is not null")
 
 
 def last_metric(metrics: DataFrame) -> DataFrame:

@@ -24,8 +24,13 @@ def every_nth(rows: DataFrame, step: str, n: int) -> DataFrame:
 
 
 def row_key(keys: tuple[str, ...]) -> Column:
-    """The key columns as one string."""
-    return F.concat_ws(":", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("None")) for k in keys])
+    """The key columns as one string; different keys give different strings.
+
+    Parts are joined by ``:``. A backslash escapes one in a part, and itself; ``\\N`` is null.
+    """
+    parts = [F.col(f"`{k}`").cast("string") for k in keys]
+    escaped = [F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:")) for p in parts]
+    return F.concat_ws(":", *[F.coalesce(e, F.lit("\\N")) for e in escaped])
 
 
 def keyed(rows: DataFrame, spec: SourceSpec) -> tuple[DataFrame, tuple[str, ...]]:
@@ -70,8 +75,9 @@ def text_rows(
 def latest_n(rows: DataFrame, by: str, step: str, n: int) -> DataFrame:
     """The ``n`` highest steps of each run.
 
-    The rank limit is applied before the exchange as well, so a run with very many
-    rows sends at most ``n`` of them per task.
+    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000,000 in the recommended
+    session), the rank limit is applied before the exchange as well, so a run with very
+    many rows sends at most ``n`` of them per task.
     """
     ranked = Window.partitionBy(by).orderBy(F.col(step).desc())
     return rows.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= n).drop("_rank")

@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.operators.batches import assign_batches, collate
 from corpusloom.operators.order import HASH, shuffle_seeded, split_hash
@@ -18,6 +19,9 @@ from corpusloom.spec import MAX_SEQ_LENGTH, MIN_TOKENS_BATCH, SEED, TEST_SHARE,
 # Stored files are compressed; their rows take about this many times the space in a shuffle.
 EXPANSION = 3
 PARTITION_BYTES = 256 << 20
+SUMMARY = "source string, rows long, error string"
+# Readers of the corpus pass over folders with a leading underscore.
+SUMMARY_FOLDER = "_summary"
 
 
 def prepare_rows(
@@ -89,12 +93,27 @@ def prepare(
     tokenizer: Tokenizer,
     path: str,
     tables: Mapping[str, DataFrame] | None = None,
-    tolerant: bool = True,
+    tolerant: bool = False,
     partitions: int | None = None,
     **options: object,
 ) -> DataFrame:
-    """Build the corpus, prepare it and write it to ``path``; returns the written table."""
+    """Build the corpus, prepare it and write it to ``path``; returns the written table.
+
+    ``tolerant`` leaves out sources that cannot be opened or rendered and skips damaged
+    files; otherwise these are errors. ``prepare_summary`` tells what was written and left out.
+    """
     specs = list(specs)
-    rows = build_corpus(spark, specs, tables, tolerant).require_rows()
+    corpus = build_corpus(spark, specs, tables, tolerant)
     width = partitions or shuffle_width(spark, specs)
-    return write_corpus(prepare_rows(rows, tokenizer, partitions=width, **options), path)
+    written = write_corpus(prepare_rows(corpus.require_rows(), tokenizer, partitions=width, **options), path)
+    listed = spark.createDataFrame([(s.name, corpus.failed.get(s.name)) for s in specs], "source string, error string")
+    # One row per catalog source on either side.
+    counts = written.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
+    summary = listed.join(counts, "source", "left").select("source", F.coalesce("rows", F.lit(0)).alias("rows"), "error")
+    summary.coalesce(1).write.mode("overwrite").parquet(f"{path}/{SUMMARY_FOLDER}")
+    return written
+
+
+def prepare_summary(spark: SparkSession, path: str) -> DataFrame:
+    """Of a prepared corpus: each catalog source, its written rows, and why it was left out, if it was."""
+    return spark.read.schema(SUMMARY).parquet(f"{path}/{SUMMARY_FOLDER}")

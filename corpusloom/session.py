@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Ranks up to this limit are cut before their exchange.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     # Texts can be long: small Arrow batches keep Python workers small.
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",

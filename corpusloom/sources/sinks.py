@@ -9,6 +9,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from time import sleep
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
-MANIFEST = "version string, attempts int, success boolean, error string"
+MANIFEST = "version string, attempts int, success boolean, error string, sequence long, folder string"
 
 
 def read_if_written(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame | None:
@@ -67,33 +68,38 @@ def read_history(spark: SparkSession, path: str, schema: T.StructType | str) ->
 def publish_snapshot(
     rows: DataFrame, root: str, version: str, exclude: Sequence[str] = (), attempts: int = 3, delay: float = 5.0
 ) -> bool:
-    """Publish ``rows`` without the ``exclude`` columns as ``root/data/version=<version>``.
+    """Publish ``rows`` without the ``exclude`` columns as a version of ``root``.
 
-    Up to ``attempts`` tries, ``delay`` seconds apart. The manifest row is written
-    after the data, so readers that follow the manifest never see half a version.
+    Up to ``attempts`` tries, ``delay`` seconds apart, each in a folder of its own under
+    ``root/data``. The manifest row names the folder and is written after the data, so
+    readers that follow the manifest never see half a version. Publishing a version again
+    leaves the folder of the one before untouched; if that fails, the one before stays valid.
     """
     spark, error, success, tried = rows.sparkSession, None, False, 0
+    last = read_history(spark, f"{root}/manifest", MANIFEST).agg(F.max("sequence")).first()[0]
+    entry = uuid4().hex
     while tried < attempts and not success:
         tried += 1
         try:
-            rows.drop(*exclude).write.mode("overwrite").parquet(f"{root}/data/version={version}")
+            folder = f"{entry}-{tried}"
+            rows.drop(*exclude).write.mode("overwrite").parquet(f"{root}/data/{folder}")
             success, error = True, None
         except Exception as failure:
             error = str(failure)
             log.warning("publishing %s, attempt %d of %d: %s", version, tried, attempts, error)
             if tried < attempts:
                 sleep(delay)
-    record = spark.createDataFrame([(version, tried, success, error)], MANIFEST).coalesce(1)
-    append_history(record, f"{root}/manifest", version)
+    done = (version, tried, success, error, (last or 0) + 1, folder if success else None)
+    append_history(spark.createDataFrame([done], MANIFEST).coalesce(1), f"{root}/manifest", entry)
     return success
 
 
 def read_snapshot(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
-    """A published version; by default the highest one that succeeded."""
+    """A published version as it was last published; by default the version published last."""
     done = read_history(spark, f"{root}/manifest", MANIFEST).where("success")
     if version is not None:
         done = done.where(F.col("version") == version)
-    found = done.agg(F.max("version")).first()[0]
+    found = done.agg(F.max_by("folder", F.struct("sequence", "folder"))).first()[0]
     if found is None:
         raise ValueError(f"no published version {version or ''} in {root}")
-    return spark.read.parquet(f"{root}/data/version={found}")
+    return spark.read.parquet(f"{root}/data/{found}")

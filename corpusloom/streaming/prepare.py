@@ -4,11 +4,15 @@ Each micro-batch is written to a folder of its own together with a history row,
 a batch that is run again replaces itself. The cap is state: it counts the rows
 earlier batches wrote, as recorded in the history. A streaming ``limit`` would send
 all rows through one task; here a batch is capped like a batch source.
+
+Several sources may share one output: each has folders of its own. A source's output
+belongs to one checkpoint; another one is refused.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +23,10 @@ from corpusloom.operators.cutoff import DIRECT_ROWS, cap_kept
 from corpusloom.operators.order import HASH, global_index
 from corpusloom.operators.select import keyed, long_enough, row_key
 from corpusloom.operators.tokens import Tokenizer, with_mask
-from corpusloom.sources.sinks import append_history, read_if_written
+from corpusloom.sources.sinks import append_history, read_history
 from corpusloom.spec import MAX_SEQ_LENGTH, MIN_CHARS, MIN_TOKENS_LAZY, SEED, SourceSpec
 
-BATCH_RECORD = "batch long, source string, rows long, rows_so_far long, timestamp timestamp"
+BATCH_RECORD = "batch long, source string, rows long, rows_so_far long, timestamp timestamp, checkpoint string"
 
 
 def lazy_rows(
@@ -51,21 +55,39 @@ def lazy_rows(
     return with_mask(named)
 
 
-def _rows_before(spark: SparkSession, out: str, batch_id: int) -> int:
-    """Rows written up to the batch before, as its history row tells."""
-    last = read_if_written(spark, f"{out}/history/entry={batch_id - 1}", BATCH_RECORD) if batch_id > 0 else None
-    return 0 if last is None else last.agg(F.coalesce(F.max("rows_so_far"), F.lit(0))).first()[0]
+def _of(source: str) -> str:
+    """The folder name of a source's stream."""
+    return f"stream={quote(source, safe='')}"
+
 
+def history_path(out: str, source: str) -> str:
+    """Where the history rows of a source's stream lie."""
+    return f"{out}/history/{_of(source)}"
 
-def _write_batch(rows: DataFrame, out: str, batch_id: int, source: str, before: int) -> None:
-    spark, path = rows.sparkSession, f"{out}/rows/batch={batch_id}"
+
+def _rows_before(spark: SparkSession, out: str, batch_id: int, source: str, checkpoint: str) -> int:
+    """Rows written up to the batch before, as its history row tells."""
+    history = read_history(spark, history_path(out, source), BATCH_RECORD)
+    if not history.where(F.col("checkpoint") != checkpoint).isEmpty():
+        raise ValueError(f"{source}: {out} holds rows of another checkpoint than {checkpoint}")
+    if batch_id == 0:
+        return 0
+    before = history.where(F.col("batch") == batch_id - 1).agg(F.max("rows_so_far")).first()[0]
+    if before is None:
+        raise ValueError(f"{source}: the history in {out} lacks batch {batch_id - 1}")
+    return before
+
+
+def _write_batch(rows: DataFrame, out: str, batch_id: int, source: str, before: int, checkpoint: str) -> None:
+    spark, path = rows.sparkSession, f"{out}/rows/{_of(source)}/batch={batch_id}"
     rows.write.mode("overwrite").parquet(path)
     written = spark.read.schema(rows.schema).parquet(path).agg(F.count(F.lit(1)).alias("rows"))
     record = written.select(
         F.lit(batch_id).cast("long").alias("batch"), F.lit(source).alias("source"), "rows",
         (F.col("rows") + before).alias("rows_so_far"), F.current_timestamp().alias("timestamp"),
+        F.lit(checkpoint).alias("checkpoint"),
     )
-    append_history(record, f"{out}/history", batch_id)
+    append_history(record, history_path(out, source), batch_id)
 
 
 def _run(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -83,9 +105,9 @@ def start_prepare(
     cap = spec.stream_cap
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        before = _rows_before(batch.sparkSession, out, batch_id)
+        before = _rows_before(batch.sparkSession, out, batch_id, spec.name, checkpoint)
         left = None if cap is None else max(cap - before, 0)
-        _write_batch(lazy_rows(batch, spec, tokenizer, left, **options), out, batch_id, spec.name, before)
+        _write_batch(lazy_rows(batch, spec, tokenizer, left, **options), out, batch_id, spec.name, before, checkpoint)
 
     return _run(stream, handle, checkpoint)
 
@@ -98,12 +120,12 @@ def start_shuffle(stream: DataFrame, spec: SourceSpec, out: str, checkpoint: str
         texts = rows.select(
             F.lit(spec.name).alias("source"), row_key(keys).alias("row_key"), render_text(rows, spec).alias("text")
         )
-        before = _rows_before(batch.sparkSession, out, batch_id)
-        _write_batch(global_index(texts, seed).drop(HASH, "row_total"), out, batch_id, spec.name, before)
+        before = _rows_before(batch.sparkSession, out, batch_id, spec.name, checkpoint)
+        _write_batch(global_index(texts, seed).drop(HASH, "row_total"), out, batch_id, spec.name, before, checkpoint)
 
     return _run(stream, handle, checkpoint)
 
 
 def read_batches(spark: SparkSession, out: str) -> DataFrame:
-    """All rows written so far, with the ``batch`` they came in."""
-    return spark.read.parquet(f"{out}/rows")
+    """All rows written so far, of all sources, with the ``batch`` they came in."""
+    return spark.read.parquet(f"{out}/rows").drop("stream")

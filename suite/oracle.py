@@ -77,8 +77,11 @@ _CTES["corpus"] = f"""SELECT source, row_key, text FROM (
 _CTES["docs"] = "SELECT source, doc_id::VARCHAR AS row_key, text, md5('42|' || source || '|' || doc_id) AS h FROM documents"
 _CTES["runs"] = """SELECT user_id AS run, event_id AS step, value AS loss, ts AS "timestamp",
       event_type <> 'error' AS success, event_type FROM events"""
-_BUCKET = "(('0x' || substr({h}, 1, 8))::BIGINT % 10000)"
-_SPLIT = f"CASE WHEN {_BUCKET.format(h='h')} < 100 THEN 'test' ELSE 'train' END"
+# The split's hashes are its own; 1 % of 2**52 hash numbers are test rows.
+_SPLIT_HASH = "md5('split|42|' || source || '|' || row_key)"
+_SPLIT = f"CASE WHEN ('0x' || substr({_SPLIT_HASH}, 1, 13))::BIGINT < 45035996273705 THEN 'test' ELSE 'train' END"
+_EXACT = f"""CASE WHEN row_number() OVER (ORDER BY {_SPLIT_HASH}, source, row_key) <= ceil(0.01::DOUBLE * count(*) OVER ())
+      THEN 'test' ELSE 'train' END"""
 
 _HEX = "substr(hex(encode(text)), 1, 4094)"
 _DIGIT = "(strpos('0123456789ABCDEF', pair[{at}]) - 1)"
@@ -180,11 +183,15 @@ ORACLE = {
         ELSE max(step) END AS path FROM runs GROUP BY run"""),
     "shuffle_seeded": _with("docs", "SELECT source, row_key, text, h AS row_hash FROM docs ORDER BY h, source, row_key"),
     "global_index": _with("placed", "SELECT row_index, row_total, source, row_key FROM placed"),
-    "split_exact": _with("placed", """SELECT source, row_key,
-      CASE WHEN row_index <= ceil(0.01::DOUBLE * row_total) THEN 'test' ELSE 'train' END AS split FROM placed"""),
+    "split_exact": _with("docs", f"SELECT source, row_key, {_EXACT} AS split FROM docs"),
+    "mixture_split": _with("corpus", f"""SELECT source, row_key, {_EXACT} AS split FROM (
+      SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('mixture|42|' || source || '|' || row_key)) AS n FROM corpus)
+      WHERE n <= {_QUOTA}"""),
+    "row_keys": r"""SELECT doc_id, coalesce(replace(replace(nullif(lang, 'en') || repeat(':', (doc_id % 3)::INTEGER), '\', '\\'), ':', '\:'), '\N')
+      || ':' || doc_id AS row_key FROM documents""",
     "split_hash": _with("docs", f"SELECT source, row_key, {_SPLIT} AS split FROM docs"),
     "mixture_quota": _with("corpus", f"""SELECT source, row_key, text FROM (
-      SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('42|' || source || '|' || row_key)) AS n FROM corpus)
+      SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('mixture|42|' || source || '|' || row_key)) AS n FROM corpus)
       WHERE n <= {_QUOTA}"""),
     "mixture_report": _with("corpus", f"""SELECT category, sources, rows, weight_share,
         round(rows / (SELECT count(*) FROM corpus), 6) AS observed_share, declared_share
@@ -225,6 +232,11 @@ ORACLE = {
         SELECT ids, (place // {BATCH_SIZE}) AS batch_id, (place % {BATCH_SIZE})::INTEGER AS batch_row, total FROM (
           SELECT ids, row_number() OVER (ORDER BY h, source, row_key) - 1 AS place, count(*) OVER () AS total FROM byte_tokens))
         WHERE batch_id < total // {BATCH_SIZE})"""),
+    "stream_two_sources": f"""SELECT 'web_' || lang AS source, doc_id::VARCHAR AS row_key,
+        least(octet_length(encode(text)) + 1, 2048)::INTEGER AS n_tokens
+      FROM documents WHERE lang IN ('en', 'de') AND {_long('text')} AND octet_length(encode(text)) + 1 >= 10""",
+    "corpus_summary": f"""SELECT 'missing' AS source, 0::BIGINT AS rows, true AS left_out UNION ALL
+      SELECT 'documents', count(*), false FROM documents WHERE {_long('text')} AND octet_length(encode(text)) + 1 >= 32""",
     "stream_prepare": f"""SELECT 'web_en' AS source, doc_id::VARCHAR AS row_key, {_ids(_BYTE_IDS)} AS input_ids
       FROM (SELECT doc_id, {_HEX} AS x FROM documents WHERE lang = 'en' AND {_long('text')} ORDER BY doc_id LIMIT 500)""",
     "stream_resume": f"""SELECT 'documents' AS source, doc_id::VARCHAR AS row_key,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.render import render_text
 from corpusloom.functions.text import WHITESPACE, last_split, strip, stripped_length
 from corpusloom.operators import batches, mixture, order, report, runs
-from corpusloom.operators.select import every_nth, latest_n, long_enough, text_rows
+from corpusloom.operators.select import every_nth, latest_n, long_enough, row_key, text_rows
 from corpusloom.operators.tokens import (
     ByteTokenizer,
     PluggedTokenizer,
@@ -20,7 +20,7 @@ from corpusloom.operators.tokens import (
     map_batches,
     tokenize,
 )
-from corpusloom.plans.prepare import batch_rows, prepare
+from corpusloom.plans.prepare import batch_rows, prepare, prepare_summary
 from corpusloom.session import new_folder
 from corpusloom.sources import sinks
 from corpusloom.sources.scan import build_corpus, scan, scan_stream, union_sources
@@ -121,12 +121,21 @@ def run_history_append(spark, sf_dir):
     return history.select("step", "epoch", "loss", "timestamp", "model_config.model_name", "model_config.num_params", "entry")
 
 
+@query
+def corpus_summary(spark, sf_dir):
+    path, missing = new_folder(spark, "corpus"), SourceSpec("missing", path=f"{sf_dir}/none", max_samples=None)
+    specs = [missing, _file_spec(DOCUMENTS, sf_dir, "documents")]
+    prepare(spark, specs, ByteTokenizer(), path, tolerant=True)
+    return prepare_summary(spark, path).select("source", "rows", F.col("error").isNotNull().alias("left_out"))
+
+
 @query
 def snapshot_publish(spark, sf_dir):
     root = new_folder(spark, "snapshots")
     documents = src.table(spark, sf_dir, "documents")
-    sinks.publish_snapshot(documents, root, "step-1", exclude=["n_chars", "source"])
-    sinks.publish_snapshot(documents, root, "step-2", exclude=["n_chars"])
+    sinks.publish_snapshot(documents, root, "step-9000", exclude=["n_chars", "source"])
+    sinks.publish_snapshot(documents, root, "step-10000", exclude=["n_chars", "lang"])
+    sinks.publish_snapshot(documents, root, "step-10000", exclude=["n_chars"])
     return sinks.read_snapshot(spark, root)
 
 
@@ -291,6 +300,21 @@ def split_hash(spark, sf_dir):
     return order.split_hash(src.document_rows(spark, sf_dir)).select("source", "row_key", "split")
 
 
+@query
+def mixture_split(spark, sf_dir):
+    corpus = build_corpus(spark, src.catalog(), src.tables(spark, sf_dir), tolerant=False)
+    chosen = mixture.mixture(corpus.rows, src.catalog(), MIXTURE_BUDGET)
+    return order.split_exact(chosen).select("source", "row_key", "split")
+
+
+@query
+def row_keys(spark, sf_dir):
+    # Language parts with colons and nulls.
+    part = F.concat(F.expr("nullif(lang, 'en')"), F.expr("repeat(':', cast(doc_id % 3 as int))"))
+    documents = src.table(spark, sf_dir, "documents").select("doc_id", part.alias("part"))
+    return documents.select("doc_id", row_key(("part", "doc_id")).alias("row_key"))
+
+
 @query
 def mixture_quota(spark, sf_dir):
     corpus = build_corpus(spark, src.catalog(), src.tables(spark, sf_dir), tolerant=False)
@@ -418,6 +442,17 @@ def stream_prepare(spark, sf_dir):
     return streams.read_batches(spark, out).select("source", "row_key", _joined("input_ids"))
 
 
+@query
+def stream_two_sources(spark, sf_dir):
+    """Two sources into one output; each keeps its own rows."""
+    out = new_folder(spark, "streams")
+    for lang in ("en", "de"):
+        spec = replace(src.spec(f"web_{lang}"), max_samples=None)
+        stream = _document_stream(spark, sf_dir, spec)
+        streams.start_prepare(stream, spec, ByteTokenizer(), out, f"{out}/checkpoint-{lang}").awaitTermination()
+    return streams.read_batches(spark, out).select("source", "row_key", F.size("input_ids").alias("n_tokens"))
+
+
 @query
 def stream_resume(spark, sf_dir):
     documents, out = src.table(spark, sf_dir, "documents"), new_folder(spark, "resume")

@@ -140,3 +140,15 @@ def test_latest_n_limits_before_the_exchange(spark, capsys):
     assert ids(got, "step") == list(range(985, 1_000))
     got.explain()
     assert capsys.readouterr().out.count("WindowGroupLimit") >= 2
+
+
+def test_one_repeated_key_is_an_error(spark):
+    rows = spark.range(5_000).select(F.lit(7).alias("k"), "id")
+    with pytest.raises(ValueError, match="do not identify rows"):
+        cap_scanned(rows, ["k"], 700, direct=20).count()
+
+
+def test_pairs_of_keys_do_not_overshoot(spark):
+    rows = spark.range(4_000).select((F.col("id") / 2).cast("long").alias("k"))
+    with pytest.raises(ValueError, match="do not identify rows"):
+        cap_scanned(rows, ["k"], 999, direct=20).count()

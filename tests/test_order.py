@@ -16,8 +16,8 @@ SPECS = [SourceSpec("big", weight=0.5), SourceSpec("mid", weight=0.3, category="
          SourceSpec("small", weight=0.2, category="code")]
 
 
-def by_hash(keys, seed=42):
-    return sorted(keys, key=lambda k: (hashlib.md5(f"{seed}|{k[0]}|{k[1]}".encode()).hexdigest(), k))
+def by_hash(keys, seed=42, tag=""):
+    return sorted(keys, key=lambda k: (hashlib.md5(f"{tag}{seed}|{k[0]}|{k[1]}".encode()).hexdigest(), k))
 
 
 @pytest.fixture(scope="module", params=[1, 4, 16])
@@ -46,7 +46,7 @@ def test_global_index(rows):
 def test_split_exact(rows):
     got = split_exact(rows).collect()
     test = {(r.source, r.row_key) for r in got if r.split == "test"}
-    assert test == set(by_hash(KEYS)[: math.ceil(0.01 * len(KEYS))]) and len(got) == len(KEYS)
+    assert test == set(by_hash(KEYS, tag="split|")[: math.ceil(0.01 * len(KEYS))]) and len(got) == len(KEYS)
 
 
 def test_split_hash_is_stable_under_appends(spark, rows):
@@ -62,11 +62,24 @@ def test_mixture(rows):
     got = {(r.source, r.row_key) for r in mixture(rows, SPECS, 200).collect()}
     expected = set()
     for name, quota in quotas(SPECS, 200).items():
-        expected |= set([k for k in by_hash(KEYS) if k[0] == name][:quota])
+        expected |= set([k for k in by_hash(KEYS, tag="mixture|") if k[0] == name][:quota])
     assert got == expected
     assert mixture(rows, SPECS, 10_000).count() == len(KEYS)
 
 
+def test_split_of_a_mixture_takes_from_every_source(spark):
+    keys = [(s, str(i)) for s, n in (("a", 2_000), ("b", 20_000)) for i in range(n)]
+    specs = [SourceSpec("a", weight=0.5), SourceSpec("b", weight=0.5)]
+    mixed = mixture(spark.createDataFrame(keys, "source string, row_key string"), specs, 4_000)
+    test = split_exact(mixed, 0.1).where("split = 'test'").groupBy("source").count().collect()
+    assert sum(r["count"] for r in test) == 400 and all(150 < r["count"] < 250 for r in test) and len(test) == 2
+
+
+def test_small_share(spark):
+    rows = spark.range(200_000).select(F.lit("s").alias("source"), F.col("id").cast("string").alias("row_key"))
+    assert 2 <= split_hash(rows, 0.00004).where("split = 'test'").count() <= 20
+
+
 def test_mixture_report(rows):
     got = {r.category: r for r in mixture_report(rows, SPECS, {"text": 0.6}).collect()}
     assert (got["text"].rows, got["text"].observed_share, got["text"].weight_share) == (700, 0.7, 0.5)

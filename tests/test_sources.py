@@ -8,7 +8,8 @@ from corpusloom.operators.mixture import catalog_table, count_per_source
 from corpusloom.operators.select import every_nth, long_enough
 from corpusloom.operators.tokens import ByteTokenizer, PluggedTokenizer
 from corpusloom.plans import prepare as plan
-from corpusloom.plans.prepare import prepare, prepare_rows
+from corpusloom.operators.select import latest_n, row_key
+from corpusloom.plans.prepare import prepare, prepare_summary
 from corpusloom.session import new_folder, shared_folder
 from corpusloom.sources import sinks
 from corpusloom.sources.scan import build_corpus, scan, stored_bytes
@@ -182,6 +183,35 @@ def test_publish_excludes_and_retries(spark, monkeypatch):
     assert sinks.read_snapshot(spark, root).count() == 3
     with pytest.raises(ValueError, match="no published version"):
         sinks.read_snapshot(spark, root, "v2")
+    assert not sinks.publish_snapshot(broken, root, "v1", delay=0)
+    assert sinks.read_snapshot(spark, root, "v1").count() == 3
+    for version, n in (("step-9000", 4), ("step-10000", 5)):
+        assert sinks.publish_snapshot(spark.range(n), root, version)
+    assert sinks.read_snapshot(spark, root).count() == 5 and sinks.read_snapshot(spark, root, "step-9000").count() == 4
+
+
+def test_row_keys_tell_keys_apart(spark):
+    pairs = [("a:b", "c"), ("a", "b:c"), (None, "x"), ("None", "x"), ("\\N", "x"), ("a\\", ":x"), ("a", "\\:x")]
+    keys = spark.createDataFrame(pairs, "p string, q string").select(row_key(("p", "q")).alias("k"))
+    assert keys.distinct().count() == len(pairs)
+
+
+def test_prepare_tells_what_it_left_out(spark):
+    rows = spark.range(20).selectExpr("id", "repeat('word ', 20) text")
+    good, wrong = SourceSpec("good", key_columns=("id",)), SourceSpec("wrong", key_columns=("idd",))
+    tables = {"good": rows, "wrong": rows}
+    with pytest.raises(ValueError, match="key columns not found"):
+        prepare(spark, [good, wrong], ByteTokenizer(), new_folder(spark, "corpus"), tables)
+    path = new_folder(spark, "corpus")
+    assert prepare(spark, [good, wrong], ByteTokenizer(), path, tables, tolerant=True).count() == 20
+    got = {r.source: r for r in prepare_summary(spark, path).collect()}
+    assert (got["good"].rows, got["good"].error, got["wrong"].rows) == (20, None, 0)
+    assert "key columns not found" in got["wrong"].error
+
+
+def test_latest_n_is_limited_before_the_exchange(spark):
+    plan = latest_n(spark.range(10).selectExpr("id % 2 run", "id step"), "run", "step", 1_500)
+    assert "WindowGroupLimit" in plan._jdf.queryExecution().toString()
 
 
 def test_prepare_end_to_end(spark, good, capsys):
@@ -258,7 +288,9 @@ def test_run_tables(spark):
 def test_latest_checkpoint(spark):
     names = ["checkpoint-5", "checkpoint-10", "x/checkpoint-7", "final_model", "checkpoint-x", "checkpoint-9.bak"]
     listing = runs.with_step(spark.createDataFrame([("a", n) for n in names] + [("b", "checkpoint-1")], "run string, path string"))
-    assert sorted(r.step for r in listing.collect()) == [1, 5, 7, 10]
+    assert sorted(r.step for r in listing.where("step is not null").collect()) == [1, 5, 7, 10]
+    final = spark.createDataFrame([("a", "final_model")], "run string, path string")
+    assert {r.run: r.path for r in runs.latest_checkpoint(listing, final).collect()} == {"a": "final_model", "b": "checkpoint-1"}
     chosen = spark.createDataFrame([("a", "checkpoint-5"), ("b", "checkpoint-99")], "run string, path string")
     assert {r.run: r.path for r in runs.latest_checkpoint(listing).collect()} == {"a": "checkpoint-10", "b": "checkpoint-1"}
     assert {r.run: r.path for r in runs.latest_checkpoint(listing, chosen).collect()} == {"a": "checkpoint-5", "b": "checkpoint-1"}

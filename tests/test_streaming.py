@@ -86,3 +86,21 @@ def test_shuffle_per_batch(spark, folder):
     got = read_batches(spark, f"{folder}/out")
     sizes = sorted(r.n for r in got.groupBy("batch").agg(F.max("row_index").alias("n")).collect())
     assert sizes == [10, 20] and got.count() == 30
+
+
+def test_two_sources_share_an_output(spark, folder):
+    add(spark, folder, 0, 10)
+    for name in ("a/b", "c"):
+        spec = SourceSpec(name, path=f"{folder}/in", key_columns=("k",), max_samples=4)
+        start_prepare(scan_stream(spark, spec, SCHEMA), spec, ByteTokenizer(), f"{folder}/out", f"{folder}/{name}").awaitTermination()
+    got = read_batches(spark, f"{folder}/out").groupBy("source").count().collect()
+    assert {r.source: r["count"] for r in got} == {"a/b": 4, "c": 4}
+
+
+def test_another_checkpoint_is_refused(spark, folder):
+    add(spark, folder, 0, 10)
+    run(spark, folder)
+    spec = SourceSpec("s", path=f"{folder}/in", key_columns=("k",))
+    with pytest.raises(Exception, match="another checkpoint"):
+        start_prepare(scan_stream(spark, spec, SCHEMA), spec, ByteTokenizer(), f"{folder}/out", f"{folder}/new").awaitTermination()
+    assert read_batches(spark, f"{folder}/out").count() == 6
