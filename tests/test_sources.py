@@ -9,7 +9,7 @@ from corpusloom.operators.select import every_nth, long_enough
 from corpusloom.operators.tokens import ByteTokenizer, PluggedTokenizer
 from corpusloom.plans import prepare as plan
 from corpusloom.operators.select import latest_n, row_key
-from corpusloom.plans.prepare import prepare, prepare_summary
+from corpusloom.plans.prepare import prepare, prepare_rows, prepare_summary
 from corpusloom.session import new_folder, shared_folder
 from corpusloom.sources import sinks
 from corpusloom.sources.scan import build_corpus, scan, stored_bytes
@@ -210,7 +210,7 @@ def test_prepare_tells_what_it_left_out(spark):
 
 
 def test_latest_n_is_limited_before_the_exchange(spark):
-    plan = latest_n(spark.range(10).selectExpr("id % 2 run", "id step"), "run", "step", 1_500)
+    plan = latest_n(spark.range(5_000).selectExpr("id % 2 run", "id step"), "run", "step", 1_500)
     assert "WindowGroupLimit" in plan._jdf.queryExecution().toString()
 
 
