@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bit_pack, bm25_wand, bpe_trie, lang_crf, merkle, mixture_pack, secrets, sentence_dedup, simhash, vptree
+from corpusloom.llm import (
+    bit_pack, bm25_wand, bpe_trie, collocations, lang_crf, merkle, mixture_pack, pii, secrets, sentence_dedup, simhash, variants, vptree,
+)
 from corpusloom.session import new_folder
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -82,6 +84,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_crf.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(_table(spark, sf_dir, "documents"), least_length=7, least=2, ratio=10)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"), longest=3, least=10, covered=50, top=2_000)
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    counts = [f"n_{kind}" for kind in pii.BASE]
+    return pii.find(docs).select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -95,6 +111,9 @@ QUERIES = {
         op8_sentence_spans,
         op9_bm25_wand,
         op10_language,
+        op11_variants,
+        op12_collocations,
+        op13_pii,
     )
 }
 _RECORD = """'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
@@ -119,4 +138,35 @@ ORACLE: dict[str, str] = {
                CAST(length AS BIGINT) AS length, digest, replica_digest,
                CASE WHEN replica_digest IS NULL THEN 'missing' WHEN digest != replica_digest THEN 'corrupt' ELSE 'ok' END AS status
         FROM hashed""",
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+        grams AS (
+            SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+            FROM placed, range(1, 4) AS lengths(k) WHERE i + k - 1 <= len(w)),
+        f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+        candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+        cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM candidates),
+        scored AS (
+            SELECT c.lang, c.phrase, c.a, c.cut, l.f AS l, r.f AS r, (1000000 * c.a * c.a) // (l.f * r.f) AS score
+            FROM cuts c
+            JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.cut], ' ')
+            JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.cut + 1:], ' ')),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        longer AS (
+            SELECT lang, array_to_string(part, ' ') AS phrase, max(a) AS a
+            FROM (SELECT lang, a, unnest([w[1:2], w[2:3]]) AS part FROM candidates WHERE k = 3) GROUP BY ALL),
+        kept AS (
+            SELECT b.* FROM best b LEFT JOIN longer g ON g.lang = b.lang AND g.phrase = b.phrase
+            WHERE g.a IS NULL OR 100 * g.a < 50 * b.a),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+               CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score, cut
+        FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }
