@@ -15,7 +15,7 @@ results are exact.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -47,27 +47,31 @@ STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 class WordIndex:
-    """A bidirectional FM-index of a circular text of word ids, for phrases of up to ``depth`` + 1 words.
+    """A bidirectional FM-index of a circular text of word ids.
 
-    Id 0 ends a piece. Forward, positions are sorted by the ``depth`` words from there on and
-    hold the word before; backward, by as many words up to there and hold the word after.
+    Id 0 ends a piece. Forward, positions are sorted by the words from there on and hold the
+    word ``before``; backward, by the words up to there and hold the word ``after``. Either order
+    looks at as many words as the longest phrase that is grown through it; 0 leaves it out.
     A phrase is (start forward, start backward, size): the interval of its occurrences in each.
     """
 
-    def __init__(self, text: np.ndarray, depth: int) -> None:
+    def __init__(self, text: np.ndarray, forward: int, backward: int) -> None:
         self.n = len(text)
         self.words = int(text.max(initial=0)) + 1
-        self.before = np.roll(text, 1)[self._sorted(text, depth, 1)]
-        self.after = np.roll(text, -1)[self._sorted(text, depth, -1)]
+        self.before = np.roll(text, 1)[self._sorted(text, forward, 1)] if forward else None
+        self.after = np.roll(text, -1)[self._sorted(text, backward, -1)] if backward else None
         self.sizes = np.bincount(text, minlength=self.words)
         self._places: dict[str, np.ndarray] = {}
 
     def _sorted(self, text: np.ndarray, depth: int, step: int) -> np.ndarray:
         """Positions by their ``depth`` words in the direction ``step``."""
-        rank = text.astype(np.int64)
+        rank, most = text.astype(np.int64), self.words
         for reach in range(1, depth):
-            rank = np.unique(rank * self.words + np.roll(text, -step * reach), return_inverse=True)[1]
-        return np.argsort(rank, kind="stable")
+            if most * self.words >= 1 << 63:
+                kept, rank = np.unique(rank, return_inverse=True)
+                most = len(kept)
+            rank, most = rank * self.words + np.roll(text, -step * reach), most * self.words
+        return np.argsort(rank)  # the order of equals does not matter
 
     def single(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """All words but 0 as phrases of one: words, starts forward, starts backward, sizes."""
@@ -82,11 +86,11 @@ class WordIndex:
             self._places[side] = np.sort(column * (self.n + 1) + np.arange(self.n))
         return np.searchsorted(self._places[side], word * (self.n + 1) + lo)
 
-    def _step(self, side: str, lo: np.ndarray, other: np.ndarray, size: np.ndarray, last: bool):
+    def _step(self, side: str, lo: np.ndarray, other: np.ndarray, size: np.ndarray, again: bool):
         """Every way to grow the phrases by a word of ``side``: phrase, word, both starts, size.
 
-        In the other index, the interval is cut up in the order of the new words. The starts
-        of phrases that grow no further (``last``) are not looked up.
+        In the other index, the interval is cut up in the order of the new words. Starts in an
+        index that is not used ``again`` are not looked up.
         """
         column = getattr(self, side)
         phrase = np.repeat(np.arange(len(lo)), size)
@@ -94,19 +98,19 @@ class WordIndex:
         found, count = np.unique(phrase * self.words + column[at], return_counts=True)
         phrase, word = found // self.words, found % self.words
         smaller = np.cumsum(count) - count
-        smaller -= smaller[np.searchsorted(phrase, phrase)]
-        start = count if last else self._start(side, word, lo[phrase])
+        smaller -= smaller[np.searchsorted(phrase, np.arange(len(lo)))][phrase]
+        start = self._start(side, word, lo[phrase]) if again else count
         kept = word != 0
         return tuple(x[kept] for x in (phrase, word, start, other[phrase] + smaller, count))
 
-    def grow_right(self, forward: np.ndarray, backward: np.ndarray, size: np.ndarray, last: bool = False):
+    def grow_right(self, forward: np.ndarray, backward: np.ndarray, size: np.ndarray, again: bool = True):
         """Phrase, the word put behind it, start forward, start backward, size."""
-        phrase, word, back, ahead, count = self._step("after", backward, forward, size, last)
+        phrase, word, back, ahead, count = self._step("after", backward, forward, size, again)
         return phrase, word, ahead, back, count
 
-    def grow_left(self, forward: np.ndarray, backward: np.ndarray, size: np.ndarray, last: bool = False):
+    def grow_left(self, forward: np.ndarray, backward: np.ndarray, size: np.ndarray, again: bool = True):
         """Phrase, the word put before it, start forward, start backward, size."""
-        return self._step("before", forward, backward, size, last)
+        return self._step("before", forward, backward, size, again)
 
 
 class Filter:
@@ -125,8 +129,9 @@ class Filter:
         return ((self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool).reshape(len(SPREAD), -1).all(axis=0)
 
 
-def word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(lang.encode() + END + word)
+def word_hashes(lang: str, words: Iterable[bytes]) -> list[int]:
+    seed, digest = xxhash.xxh64_intdigest(lang), xxhash.xxh64_intdigest
+    return [digest(w, seed) for w in words]
 
 
 def phrase_hash(columns: list[np.ndarray]) -> np.ndarray:
@@ -134,25 +139,42 @@ def phrase_hash(columns: list[np.ndarray]) -> np.ndarray:
     return reduce(lambda h, w: (h ^ (h >> np.uint64(31))) * STEP + w, columns)
 
 
+class Vocabulary(dict):
+    """Ids of one language's words in a shard; a new word takes the shard's next id."""
+
+    def __init__(self, lang: str, words: list[bytes], langs: list[str]) -> None:
+        super().__init__({END: 0})
+        self.lang, self.words, self.langs = lang, words, langs
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.words)
+        self.words.append(word)
+        self.langs.append(self.lang)
+        return number
+
+
 class Shard:
     """The text of one shard as it is read: ids of the words, a vocabulary for each language."""
 
     def __init__(self) -> None:
         self.words: list[bytes] = [b""]
         self.langs: list[str] = [""]
-        self.ids: dict[str, dict[bytes, int]] = {}
+        self.ids: dict[str, Vocabulary] = {}
         self.text: list[np.ndarray] = [np.zeros(1, np.int64)]
         self.size = 0
 
     def add(self, lang: str, tokens: list[bytes]) -> None:
-        ids = self.ids.setdefault(lang, {END: 0})
-        for word in {*tokens}.difference(ids):
-            ids[word] = len(self.words)
-            self.words.append(word)
-            self.langs.append(lang)
-        self.text.append(np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens)))
+        if lang not in self.ids:
+            self.ids[lang] = Vocabulary(lang, self.words, self.langs)
+        self.text.append(np.fromiter(map(self.ids[lang].__getitem__, tokens), np.int64, len(tokens)))
         self.size += len(tokens)
 
+    def hashes(self) -> np.ndarray:
+        found = np.zeros(len(self.words), np.uint64)
+        for lang, ids in self.ids.items():
+            found[np.fromiter(ids.values(), np.int64, len(ids))] = word_hashes(lang, ids)
+        return found
+
     def end(self) -> None:
         self.text.append(np.zeros(1, np.int64))
 
@@ -173,20 +195,20 @@ class Shard:
             sizes = np.bincount(text, minlength=1)
             words = np.flatnonzero(sizes[1:]) + 1
             return [words], sizes[words]
-        hashes = np.array([0, *map(word_hash, self.langs[1:], self.words[1:])], np.uint64)
+        hashes = self.hashes()
         # Words that are in no frequent phrase end a piece; the others are numbered anew without gaps.
         common = filters[1].holds(hashes)
         common[0] = False
         kept, text = np.unique(np.where(common[text], text, 0), return_inverse=True)
         if kept[0] != 0:
             kept, text = np.concatenate([[0], kept]), text + 1
-        index = WordIndex(text, length - 1)
+        # Phrases grow by turns, to even lengths to the right and to odd lengths to the left.
+        index = WordIndex(text, forward=(length - 1) // 2 * 2, backward=length // 2 * 2 - 1)
         word, forward, backward, size = index.single()
         columns = [word]
         for grown in range(2, length + 1):
-            # By turns to the right and to the left.
             grow = index.grow_left if grown % 2 else index.grow_right
-            phrase, word, forward, backward, size = grow(forward, backward, size, last=grown == length)
+            phrase, word, forward, backward, size = grow(forward, backward, size, again=grown + 2 <= length)
             columns = [c[phrase] for c in columns]
             columns = [word, *columns] if grown % 2 else [*columns, word]
             if grown < length:
@@ -264,7 +286,7 @@ def _filter(phrases: DataFrame) -> Broadcast:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, np.ndarray] = {}
         for batch in batches:
-            rows = [[word_hash(l, w) for w in p.encode().split(b" ")] for l, p in zip(*(c.to_pylist() for c in batch.columns))]
+            rows = [word_hashes(l, p.encode().split(b" ")) for l, p in zip(*(c.to_pylist() for c in batch.columns))]
             if not rows:
                 continue
             at = Filter.places(phrase_hash([np.array(c, np.uint64) for c in zip(*rows)]), power)

@@ -306,7 +306,7 @@ def test_long_texts_are_sliced_without_loss():
 def test_intervals_hold_the_occurrences():
     draw = np.random.default_rng(2)
     text = np.concatenate([[0], draw.integers(0, 6, 400), [0]])
-    index = collocations.WordIndex(text, 3)
+    index = collocations.WordIndex(text, forward=3, backward=3)
     word, forward, backward, size = index.single()
     grams = [(w,) for w in word.tolist()]
     for grow, left in ((index.grow_right, False), (index.grow_left, True)):
