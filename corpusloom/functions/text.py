@@ -31,13 +31,41 @@ def last_split(text: Column, mark: str) -> tuple[Column, Column]:
     return left, right
 
 
+def py_float(value: Column) -> Column:
+    """``str()`` of a double: the fewest digits that tell it apart, plain from 1e-4 to below 1e16, else with an exponent.
+
+    The digits are the JVM's. Java before 19 has about one double in a thousand, most of them
+    beyond 1e17, whose last digit differs from Python's; the spelling still reads back as the same number.
+    """
+    value = value.cast("double")
+    tries = [F.format_string(f"%.{digits}e", value) for digits in (14, 15, 16)]
+    fits = [t.cast("double") == value for t in tries]
+    shown = F.when(fits[0], tries[0]).when(fits[1], tries[1]).otherwise(tries[2])
+    digits = F.rtrim(F.replace(F.regexp_extract(shown, r"^-?(\d\.\d+)e", 1), F.lit(".")), F.lit("0"))
+    digits = F.when(digits == "", F.lit("0")).otherwise(digits)
+    exponent = F.regexp_extract(shown, r"e([+-]\d+)$", 1).cast("int")
+    size = F.length(digits)
+    before = F.rpad(F.left(digits, exponent + 1), exponent + 1, F.lit("0"))
+    after = F.when(size > exponent + 1, F.substring(digits, exponent + 2, size)).otherwise(F.lit("0"))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    tail = F.when(size > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), size))).otherwise(F.lit(""))
+    power = F.concat(F.when(exponent < 0, F.lit("-")).otherwise(F.lit("+")), F.format_string("%02d", F.abs(exponent)))
+    plain = F.when((exponent >= 16) | (exponent < -4), F.concat(F.left(digits, F.lit(1)), tail, F.lit("e"), power))
+    plain = plain.when(exponent < 0, small).otherwise(F.concat(before, F.lit("."), after))
+    number = F.concat(F.when(F.startswith(shown, F.lit("-")), F.lit("-")).otherwise(F.lit("")), plain)
+    odd = F.when(F.isnan(value), F.lit("nan")).when(value == float("inf"), F.lit("inf"))
+    return F.when(value.isNotNull(), odd.when(value == float("-inf"), F.lit("-inf")).otherwise(number))
+
+
 def py_str(value: Column, dtype: T.DataType) -> Column:
-    """``str(value)``: null is the word ``None``, booleans are ``True``/``False``.
+    """``str(value)``: null is the word ``None``, booleans are ``True``/``False``, fractions are spelled as Python does.
 
-    Fractional numbers keep Spark's spelling (``1.0E20``, not ``1e+20``).
+    Nested values keep Spark's spelling. A float is shown as the double it equals.
     """
     if isinstance(dtype, T.BooleanType):
         shown = F.when(value, F.lit("True")).when(~value, F.lit("False"))
+    elif isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType):
+        shown = py_float(value)
     else:
         shown = value.cast("string")
     return F.coalesce(shown, F.lit("None"))

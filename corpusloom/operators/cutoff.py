@@ -4,16 +4,15 @@ A cap becomes a threshold: find the n-th smallest key, then keep rows up to it.
 The final read is a plain filter, pushed into the file scan, and text columns are
 read for the kept key range only.
 
-Small n: the threshold is a scalar subquery over the keys, so the plan stays lazy.
-Large n: the threshold is found while the plan is built, by narrowing a key range
-with sampled pivots. Each step is a key-only aggregate; the driver sees some
-ten thousand sampled keys and counts, never the rows.
+The threshold is found while the plan is built, by narrowing a key range with sampled
+pivots, whatever n is. Each step is a key-only aggregate; the driver sees some ten
+thousand sampled keys and counts, never the rows, and only a range of so few keys is sorted.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -21,7 +20,7 @@ from pyspark.sql import types as T
 
 from corpusloom.functions.hashing import hash_shard
 
-# Up to this many rows, a per-task top-n merged in one task is cheap on any cluster.
+# A key range of up to this many rows is sorted as it is.
 DIRECT_ROWS = 10_000
 # Fewest keys to sample per narrowing step; usually as many as DIRECT_ROWS.
 MIN_PIVOTS = 500
@@ -39,28 +38,18 @@ def _repeated(keys: Sequence[str]) -> str:
     return f"key columns {list(keys)} do not identify rows; leave them empty to key by content"
 
 
-def _at_most(name: str, limit: Column) -> Column:
-    return _key(name).isNull() | (_key(name) <= limit)
-
-
 def _up_to(keys: Sequence[str], bound: Row, schema: T.StructType) -> Column:
     """Rows whose key is at most ``bound``. Null keys sort first, as in ``orderBy``."""
     limits = [F.lit(bound[i]).cast(schema[k].dataType) for i, k in enumerate(keys)]
     # The first key alone is a filter that file scans can use.
-    leading = _key(keys[0]).isNull() if bound[0] is None else _at_most(keys[0], limits[0])
+    leading = _key(keys[0]).isNull()
+    if bound[0] is not None:
+        leading = leading | (_key(keys[0]) <= limits[0])
     if len(keys) == 1:
         return leading
     return leading & (F.struct(*_columns(keys)) <= F.struct(*[v.alias(k) for k, v in zip(keys, limits)]))
 
 
-def _up_to_nth(rows: DataFrame, keys: Sequence[str], n: int) -> Column:
-    """Rows of ``rows`` with one of its ``n`` smallest keys, decided while the query runs."""
-    first = rows.select(*_columns(keys)).orderBy(*_columns(keys)).limit(n)
-    if len(keys) == 1:
-        return _at_most(keys[0], first.agg(F.max(_key(keys[0]))).scalar())
-    return F.struct(*_columns(keys)) <= first.agg(F.max(F.struct(*_columns(keys)))).scalar()
-
-
 def _sample(window: DataFrame, keys: Sequence[str], total: int, pivots: int, salt: int) -> list[Row]:
     """About ``pivots`` keys, sorted.
 
@@ -74,8 +63,9 @@ def _sample(window: DataFrame, keys: Sequence[str], total: int, pivots: int, sal
 def nth_key(
     rows: DataFrame, keys: Sequence[str], n: int, direct: int = DIRECT_ROWS, total: int | None = None
 ) -> Row | None:
-    """The n-th smallest key, or None if there are no more than n rows. Keys must be unique.
+    """The n-th smallest key, or None if there are no more than n rows.
 
+    Keys must be unique: it is an error if more than n rows have a key up to the n-th.
     ``total`` is the number of rows, where it is known already.
     """
     window = rows.select(*_columns(keys))
@@ -86,7 +76,7 @@ def nth_key(
         return None
     # A range of so few keys is sorted as it is.
     few = max(direct, MIN_PIVOTS)
-    while rank > direct and total > few:
+    while total > few:
         salt, before = salt + 1, total
         pivots = _sample(window, keys, total, few, salt)
         if not pivots:
@@ -129,17 +119,19 @@ def nth_key(
 
 
 def cap_scanned(
-    rows: DataFrame, keys: Sequence[str], n: int | None, direct: int = DIRECT_ROWS, total: int | None = None
+    rows: DataFrame,
+    keys: Sequence[str],
+    n: int | None,
+    direct: int = DIRECT_ROWS,
+    total: int | None = None,
+    on_bind: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """The first ``n`` rows by key; ``None`` keeps all rows."""
+    """The first ``n`` rows by key; ``None`` keeps all rows. ``on_bind`` is called if rows are left out."""
     if n is None:
         return rows
     if n <= 0:
-        return rows.where(F.lit(False))
-    if n <= direct:
-        return rows.where(_up_to_nth(rows, keys, n))
-    bound = nth_key(rows, keys, n, direct, total)
-    return rows if bound is None else rows.where(_up_to(keys, bound, rows.select(*_columns(keys)).schema))
+        return _none_of(rows, on_bind)
+    return _cut(rows, keys, nth_key(rows, keys, n, direct, total), on_bind)
 
 
 def cap_kept(
@@ -149,39 +141,60 @@ def cap_kept(
     keep: Column,
     direct: int = DIRECT_ROWS,
     total: int | None = None,
+    on_bind: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """The first ``n`` rows by key among those that satisfy ``keep``.
+    """The first ``n`` rows by key among those that satisfy ``keep``. ``on_bind`` is called if rows are left out.
 
-    For a large ``n`` only a growing head of the source is tested against
-    ``keep``, as an early stop would: twice ``n`` rows first, more if too few pass.
+    Only a growing head of the source is tested against ``keep``, as an early stop
+    would: twice ``n`` rows first, more if too few pass.
     """
     kept = rows.where(keep)
     if n is None:
         return kept
     if n <= 0:
-        return rows.where(F.lit(False))
-    if n <= direct:
-        return rows.where(_up_to_nth(kept, keys, n)).where(keep)
+        return _none_of(rows, on_bind)
     total = rows.count() if total is None else total
     if total <= n:
         return kept
+    few = max(direct, MIN_PIVOTS)
+    if total <= few:
+        return _cut(kept, keys, nth_key(kept, keys, n, direct), on_bind)
     key_rows = rows.select(*_columns(keys))
     schema = key_rows.schema
-    pivots = _sample(key_rows, keys, total, max(direct, MIN_PIVOTS), salt=0)
+    pivots = _sample(key_rows, keys, total, few, salt=0)
     reach = 2 * n
     while True:
         # A head of about ``reach`` rows; any head with enough rows that pass will do.
         edge = math.ceil(reach / total * len(pivots))
         if edge >= len(pivots):
-            head, passed = kept, None
-            break
+            return _cut(kept, keys, nth_key(kept, keys, n, direct), on_bind)
         head = rows.where(_up_to(keys, pivots[edge], schema)).where(keep)
         passed = head.count()
-        if passed >= n:
-            break
+        if passed > n:
+            return _cut(kept, keys, nth_key(head, keys, n, direct, passed), on_bind)
         reach *= max(2, math.ceil(1.25 * n / max(passed, 1)))
-    bound = nth_key(head, keys, n, direct, passed)
-    return head if bound is None else rows.where(_up_to(keys, bound, schema)).where(keep)
+
+
+def _none_of(rows: DataFrame, on_bind: Callable[[], None] | None) -> DataFrame:
+    if on_bind:
+        on_bind()
+    return rows.where(F.lit(False))
+
+
+def _cut(rows: DataFrame, keys: Sequence[str], bound: Row | None, on_bind: Callable[[], None] | None) -> DataFrame:
+    if bound is None:
+        return rows
+    if on_bind:
+        on_bind()
+    return rows.where(_up_to(keys, bound, rows.select(*_columns(keys)).schema))
+
+
+# JSON that tells all values of a row apart; by default it cuts timestamps to milliseconds.
+LOSSLESS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def content_key(rows: DataFrame, chunk: int = 100_000) -> DataFrame:
@@ -193,7 +206,7 @@ def content_key(rows: DataFrame, chunk: int = 100_000) -> DataFrame:
     """
     columns = [_key(c) for c in rows.columns]
     counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
-    whole_row = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    whole_row = F.to_json(F.struct(*columns), LOSSLESS)
     counted = counted.withColumn("content_key", F.md5(whole_row))
 
     def numbered(groups: DataFrame, start: Column, end: Column) -> DataFrame:

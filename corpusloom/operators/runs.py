@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Schema of one run record.
@@ -13,6 +13,7 @@ RUN_RECORD = (
 # Schema of one publishing attempt.
 PUBLISH_RECORD = "step long, success boolean, timestamp timestamp, loss double"
 
+CHECKPOINT_FILE = r"^(.*?/checkpoint-\d+)/"
 CHECKPOINT_PATTERN = r"^(?:.*/)?checkpoint-(\d+)$"
 
 
@@ -21,6 +22,20 @@ def with_step(checkpoints: DataFrame, path: str = "path") -> DataFrame:
     return checkpoints.withColumn("step", F.regexp_extract(path, CHECKPOINT_PATTERN, 1).try_cast("long"))
 
 
+def list_checkpoints(spark: SparkSession, root: str) -> DataFrame:
+    """``(run, path, step, files, bytes)`` of every folder ``root/<run>/checkpoint-<step>`` that holds files.
+
+    One distributed listing through Spark's file systems; no file is opened. A folder
+    without files is not a checkpoint. Paths are URLs, as Spark names files.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    at = F.regexp_extract(F.col("_metadata.file_path"), CHECKPOINT_FILE, 1)
+    found = files.select(at.alias("path"), "length").where("path <> ''")
+    found = found.groupBy("path").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    run = F.regexp_extract("path", r"([^/]*)/checkpoint-\d+$", 1)
+    return with_step(found).select(run.alias("run"), "path", "step", "files", "bytes")
+
+
 def latest_checkpoint(checkpoints: DataFrame, explicit: DataFrame | None = None) -> DataFrame:
     """Per run, the explicitly chosen path if it is in the listing, else the highest step.
 

@@ -14,6 +14,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.cutoff import DIRECT_ROWS, nth_key
+from corpusloom.session import new_folder
+from corpusloom.sources.sinks import stage
 from corpusloom.spec import MAX_SEQ_LENGTH, MIN_TOKENS_BATCH
 
 # Default special ids and vocabulary size.
@@ -21,6 +24,8 @@ BOS_ID, EOS_ID, PAD_ID = 1, 2, 0
 UNKNOWN_ID = 0
 FIRST_PIECE_ID = 3
 VOCAB_SIZE = 32_000
+# A vocabulary is one row of the lookup and is ranked in one task.
+MAX_VOCAB_SIZE = 1 << 18
 
 # A piece is a run of anything but these; Java and SQL engines differ on \s.
 PIECE_PATTERN = "[^ \\n\\t\\r]+"
@@ -94,18 +99,36 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE_PATTERN), F.lit(0))
 
 
-def build_vocabulary(rows: DataFrame, text: str = "text", size: int = VOCAB_SIZE) -> DataFrame:
-    """``(piece, id)`` of the most frequent pieces; ids below 3 are special.
+def build_vocabulary(rows: DataFrame, text: str = "text", size: int = VOCAB_SIZE, direct: int = DIRECT_ROWS) -> DataFrame:
+    """``(piece, id, n)`` of the most frequent pieces, equals by piece; ids below 3 are special.
 
-    A word count: pieces are counted before the exchange, so a very frequent piece
-    is one row per task.
+    A word count: pieces are counted before the exchange, so a very frequent piece is
+    one row per task. The counts are written once, and the vocabulary reads from there,
+    however often it is used. How many pieces have each count gives the count at the
+    cut; of the pieces with just that count, the n-th is found as a cap is. Only the
+    chosen pieces, ``size`` at most, are ranked.
     """
+    if not FIRST_PIECE_ID < size <= MAX_VOCAB_SIZE:
+        raise ValueError(f"a vocabulary has {FIRST_PIECE_ID + 1} to {MAX_VOCAB_SIZE} entries, got {size}")
     counts = rows.select(F.explode(pieces(F.col(text))).alias("piece")).groupBy("piece").agg(
         F.count(F.lit(1)).alias("n")
     )
-    top = counts.orderBy(F.col("n").desc(), "piece").limit(size - FIRST_PIECE_ID)
+    counts = stage(counts, new_folder(rows.sparkSession, "pieces"), "rows")
+    wanted = size - FIRST_PIECE_ID
+    # Few rows: pieces that share a count are one of them.
+    above = Window.partitionBy(F.lit(1)).orderBy(F.col("n").desc())
+    reach = counts.groupBy("n").agg(F.count(F.lit(1)).alias("pieces"))
+    reach = reach.withColumn("upto", F.sum("pieces").over(above)).where(F.col("upto") >= wanted)
+    cut = reach.orderBy(F.col("n").desc()).first()
+    chosen = counts
+    if cut is not None and cut["upto"] > wanted:
+        ties = counts.where(F.col("n") == cut["n"])
+        last = nth_key(ties, ["piece"], wanted - (cut["upto"] - cut["pieces"]), direct, cut["pieces"])["piece"]
+        chosen = counts.where((F.col("n") > cut["n"]) | ((F.col("n") == cut["n"]) & (F.col("piece") <= last)))
+    elif cut is not None:
+        chosen = counts.where(F.col("n") >= cut["n"])
     order = Window.partitionBy(F.lit(1)).orderBy(F.col("n").desc(), "piece")
-    return top.select("piece", (F.row_number().over(order) + F.lit(FIRST_PIECE_ID - 1)).alias("id"), "n")
+    return chosen.select("piece", (F.row_number().over(order) + F.lit(FIRST_PIECE_ID - 1)).alias("id"), "n")
 
 
 def _lookup_key(piece: Column) -> Column:
@@ -121,7 +144,7 @@ def id_table(vocabulary: DataFrame) -> DataFrame:
     """The vocabulary as one row: an array of small maps, indexed by hash slot.
 
     Used as a scalar subquery it replaces exploding every text and joining the
-    pieces. Its size is bounded: ``VOCAB_SIZE`` entries of at most 64 bytes and an id.
+    pieces. Its size is bounded: ``MAX_VOCAB_SIZE`` entries of at most 64 bytes and an id.
     """
     keyed = vocabulary.select(_lookup_key(F.col("piece")).alias("key"), "id")
     slots = keyed.groupBy(_slot(F.col("key")).alias("slot")).agg(F.collect_list(F.struct("key", "id")).alias("entries"))

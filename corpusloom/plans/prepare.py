@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 from corpusloom.operators.batches import assign_batches, collate
 from corpusloom.operators.order import HASH, shuffle_seeded, split_hash
 from corpusloom.operators.tokens import Tokenizer, encode, enough_tokens, tokenize, with_mask
+from corpusloom.plans.isolate import collect_sources
 from corpusloom.session import new_folder
 from corpusloom.sources.scan import build_corpus, stored_bytes
-from corpusloom.sources.sinks import stage, write_corpus
+from corpusloom.sources.sinks import own, owned, stage, write_corpus
 from corpusloom.spec import MAX_SEQ_LENGTH, MIN_TOKENS_BATCH, SEED, TEST_SHARE, SourceSpec
 
 # Stored files are compressed; their rows take about this many times the space in a shuffle.
 EXPANSION = 3
 PARTITION_BYTES = 256 << 20
-SUMMARY = "source string, rows long, error string"
+SUMMARY = "source string, rows long, error string, cap long"
 # Readers of the corpus pass over folders with a leading underscore.
 SUMMARY_FOLDER = "_summary"
 
@@ -99,21 +100,29 @@ def prepare(
 ) -> DataFrame:
     """Build the corpus, prepare it and write it to ``path``; returns the written table.
 
-    ``tolerant`` leaves out sources that cannot be opened or rendered and skips damaged
-    files; otherwise these are errors. ``prepare_summary`` tells what was written and left out.
+    ``tolerant`` leaves out sources that cannot be opened, rendered or read to their end,
+    each written apart first; otherwise these are errors. ``prepare_summary`` tells what was
+    written, left out and cut. The corpus is a new version of ``path`` (``write_corpus``).
     """
     specs = list(specs)
-    corpus = build_corpus(spark, specs, tables, tolerant)
-    width = partitions or shuffle_width(spark, specs)
-    written = write_corpus(prepare_rows(corpus.require_rows(), tokenizer, partitions=width, **options), path)
-    listed = spark.createDataFrame([(s.name, corpus.failed.get(s.name)) for s in specs], "source string, error string")
+    with owned(spark):
+        if tolerant:
+            folder = new_folder(spark, "sources")
+            own(folder)
+            corpus = collect_sources(spark, specs, folder, tables)
+        else:
+            corpus = build_corpus(spark, specs, tables)
+        width = partitions or shuffle_width(spark, specs)
+        written = write_corpus(prepare_rows(corpus.require_rows(), tokenizer, partitions=width, **options), path)
+    told = [(s.name, corpus.failed.get(s.name), corpus.capped.get(s.name)) for s in specs]
+    listed = spark.createDataFrame(told, "source string, error string, cap long")
     # One row per catalog source on either side.
     counts = written.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
-    summary = listed.join(counts, "source", "left").select("source", F.coalesce("rows", F.lit(0)).alias("rows"), "error")
+    summary = listed.join(counts, "source", "left").select("source", F.coalesce("rows", F.lit(0)).alias("rows"), "error", "cap")
     summary.coalesce(1).write.mode("overwrite").parquet(f"{path}/{SUMMARY_FOLDER}")
     return written
 
 
 def prepare_summary(spark: SparkSession, path: str) -> DataFrame:
-    """Of a prepared corpus: each catalog source, its written rows, and why it was left out, if it was."""
+    """Of a prepared corpus: each catalog source, its written rows, why it was left out, and its cap if that left rows out."""
     return spark.read.schema(SUMMARY).parquet(f"{path}/{SUMMARY_FOLDER}")

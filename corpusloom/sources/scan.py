@@ -8,14 +8,15 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.operators.cutoff import DIRECT_ROWS
-from corpusloom.operators.select import text_rows
-from corpusloom.spec import MIN_CHARS, SourceSpec, check_catalog
+from corpusloom.operators.select import needs_total, text_rows
+from corpusloom.spec import MIN_CHARS, SourceError, SourceSpec, check_catalog
 
 log = logging.getLogger(__name__)
 
@@ -30,7 +31,7 @@ def select_part(rows: DataFrame, spec: SourceSpec) -> DataFrame:
     for column, value in ((spec.subset_column, spec.config), (spec.split_column, spec.split)):
         if column and value is not None:
             if column not in rows.columns:
-                raise ValueError(f"{spec.name}: no column {column!r} to select {value!r} by")
+                raise SourceError(f"{spec.name}: no column {column!r} to select {value!r} by")
             rows = rows.where(F.col(f"`{column}`") == value)
     return rows
 
@@ -38,7 +39,7 @@ def select_part(rows: DataFrame, spec: SourceSpec) -> DataFrame:
 def scan(spark: SparkSession, spec: SourceSpec, tolerant: bool = False, schema: T.StructType | str | None = None) -> DataFrame:
     """Open one source. Files are read lazily; input splits give the parallelism."""
     if not spec.path:
-        raise ValueError(f"{spec.name}: the spec names no path")
+        raise SourceError(f"{spec.name}: the spec names no path")
     reader = spark.read.format(spec.reader).options(**spec.reader_options)
     if tolerant:
         reader = reader.options(**TOLERANT)
@@ -82,10 +83,11 @@ def stored_bytes(spark: SparkSession, specs: Iterable[SourceSpec]) -> int:
 
 @dataclass
 class Corpus:
-    """Text rows of all sources that could be opened, and why the others could not."""
+    """Text rows of all sources that could be opened, why the others could not, and the caps that left rows out."""
 
     sources: list[DataFrame]
     failed: dict[str, str] = field(default_factory=dict)
+    capped: dict[str, int] = field(default_factory=dict)
 
     @property
     def rows(self) -> DataFrame:
@@ -111,12 +113,16 @@ def count_scanned(sources: list[tuple[SourceSpec, DataFrame]]) -> dict[str, int]
     return {r["source"]: r["rows"] for r in union_sources(counts).collect()}
 
 
+# What may befall a source; anything else is a fault of the program and is raised in any case.
+SOURCE_FAULTS = (SourceError, PySparkException, Py4JError)
+
+
 @contextmanager
-def _tolerating(spec: SourceSpec, failed: dict[str, str], tolerant: bool) -> Iterator[None]:
+def tolerating(spec: SourceSpec, failed: dict[str, str], tolerant: bool) -> Iterator[None]:
     """Note a source's failure and go on, if asked to."""
     try:
         yield
-    except Exception as error:
+    except SOURCE_FAULTS as error:
         if not tolerant:
             raise
         log.warning("source %s left out: %s", spec.name, error)
@@ -127,7 +133,7 @@ def build_corpus(
     spark: SparkSession,
     specs: Iterable[SourceSpec],
     tables: Mapping[str, DataFrame] | None = None,
-    tolerant: bool = True,
+    tolerant: bool = False,
     min_chars: int = MIN_CHARS,
     direct: int = DIRECT_ROWS,
 ) -> Corpus:
@@ -135,31 +141,33 @@ def build_corpus(
 
     ``tables`` holds sources that are already open, by name; the others are read
     from their paths. The tasks of all sources run together as one job. When
-    ``tolerant``, a source that cannot be opened or rendered is reported in
-    ``failed`` and left out; it is an error if no source is left.
+    ``tolerant``, a source that cannot be opened, counted or rendered is reported in
+    ``failed`` and left out, and damaged files are passed over (``scan_damage`` tells what
+    was lost); it is an error if no source is left. A source that breaks later, while its
+    rows are read, fails the job: ``plans.isolate`` keeps such sources apart.
     """
     opened, failed = {}, {}
     for spec in check_catalog(specs):
-        with _tolerating(spec, failed, tolerant):
+        with tolerating(spec, failed, tolerant):
             given = (tables or {}).get(spec.name)
             opened[spec] = select_part(given, spec) if given is not None else scan(spark, spec, tolerant)
-    capped = [(s, rows) for s, rows in opened.items() if (s.batch_cap or 0) > direct]
+    counted = [(s, rows) for s, rows in opened.items() if needs_total(rows, s)]
     totals: dict[str, int] = {}
     try:
-        totals = count_scanned(capped)
-    except Exception:
+        totals = count_scanned(counted)
+    except SOURCE_FAULTS:
         if not tolerant:
             raise
         # One source broke the joint count: find out which.
-        for spec, rows in capped:
-            with _tolerating(spec, failed, tolerant):
+        for spec, rows in counted:
+            with tolerating(spec, failed, tolerant):
                 totals.update(count_scanned([(spec, rows)]))
             if spec.name in failed:
                 del opened[spec]
-    frames = []
+    corpus = Corpus([], failed)
     for spec, rows in opened.items():
-        with _tolerating(spec, failed, tolerant):
-            frames.append(text_rows(rows, spec, min_chars, direct, totals.get(spec.name)))
-    if not frames:
+        with tolerating(spec, failed, tolerant):
+            corpus.sources.append(text_rows(rows, spec, min_chars, direct, totals.get(spec.name), corpus.capped))
+    if not corpus.sources:
         raise ValueError(f"no source could be opened: {failed}")
-    return Corpus(frames, failed)
+    return corpus

@@ -1,14 +1,19 @@
 """Written tables: staged scans, the prepared corpus, run history, published snapshots.
 
-Every write goes to a folder of its own name and overwrites it, so a repeated or
-retried write leaves the same table.
+Staged tables and history entries have folders of their own names, so a repeated write
+leaves the same table. Corpora and snapshots are written to fresh folders; a row of their
+manifest, written last, names the folder that holds.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
+from hashlib import sha256
 from time import sleep
+from urllib.parse import unquote
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -18,6 +23,7 @@ from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
+CORPUS_MANIFEST = "sequence long, folder string, columns string"
 MANIFEST = "version string, attempts int, success boolean, error string, sequence long, folder string"
 
 
@@ -32,25 +38,117 @@ def read_if_written(spark: SparkSession, path: str, schema: T.StructType | str |
         raise
 
 
+# Folders that ``stage`` and ``ScanCache`` write while an ``owned`` block is active.
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
+@contextmanager
+def owned(spark: SparkSession) -> Iterator[None]:
+    """Staged tables made inside belong to the block and are deleted at its end."""
+    made: list[str] = []
+    token = _owned.set(made)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        discard(spark, made)
+
+
+def own(folder: str) -> None:
+    """Let the enclosing ``owned`` block delete ``folder``."""
+    made = _owned.get()
+    if made is not None:
+        made.append(folder)
+
+
+def discard(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Delete folders through Spark's file systems; a folder that is gone already is no error."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(rows: DataFrame, folder: str, name: str, refresh: bool = False) -> DataFrame:
     """Write ``rows`` once under ``folder/name`` and read them from there from then on.
 
     Cuts the lineage: later jobs, and tasks re-run after a lost executor, start from
     the written files. A marker written last tells a whole table from a broken write.
+    The name alone decides whether a table is there; ``ScanCache`` looks at the rows' plan and files.
     """
     spark, path = rows.sparkSession, f"{folder}/{name}"
     if refresh or read_if_written(spark, f"{path}/done") is None:
+        own(path)
         rows.write.mode("overwrite").parquet(f"{path}/rows")
         spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{path}/done")
     return spark.read.schema(rows.schema).parquet(f"{path}/rows")
 
 
+class ScanCache:
+    """Staged tables by content: rows with the same plan over unchanged files are computed once.
+
+    The key of a table is a digest of its plan, its schema, and path, size and time of
+    every file it reads; a file that is changed, added or removed gives a new key. Files
+    are looked up in one distributed listing. Tables outlive the session unless their
+    owner calls ``release``. Plans with Python functions may miss the cache in another session.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+        self.used: set[str] = set()
+
+    def key(self, rows: DataFrame) -> str:
+        plan = rows._jdf.queryExecution().analyzed().canonicalized().toString()
+        parts = [plan, str(rows.semanticHash()), rows.schema.json()]
+        files = sorted(unquote(f) for f in rows.inputFiles())
+        if files:
+            found = self.spark.read.format("binaryFile").load(files)
+            marks = [F.xxhash64(F.lit(i), "path", "length", "modificationTime") for i in range(2)]
+            parts += map(str, found.agg(F.count(F.lit(1)), *[F.bit_xor(m) for m in marks]).first())
+        return sha256("\0".join(parts).encode()).hexdigest()[:32]
+
+    def rows(self, rows: DataFrame) -> DataFrame:
+        """``rows`` as staged earlier, or staged now."""
+        key = self.key(rows)
+        self.used.add(key)
+        return stage(rows, self.folder, key)
+
+    def release(self) -> None:
+        """Delete the tables that this cache has handed out."""
+        discard(self.spark, [f"{self.folder}/{key}" for key in sorted(self.used)])
+        self.used.clear()
+
+
 def write_corpus(rows: DataFrame, path: str, max_rows_per_file: int = 0) -> DataFrame:
-    """Write a corpus partitioned by ``split`` and return it as read back."""
-    writer = rows.write.mode("overwrite").partitionBy("split")
-    writer.option("maxRecordsPerFile", max_rows_per_file).parquet(path)
-    schema = T.StructType([f for f in rows.schema.fields if f.name != "split"] + [rows.schema["split"]])
-    return rows.sparkSession.read.schema(schema).parquet(path)
+    """Write a corpus partitioned by ``split`` as the newest version of ``path`` and return it as read back.
+
+    The version has a fresh folder and is named by the manifest once it is whole. If
+    writing fails, the version before stays; who reads that one goes on undisturbed.
+    """
+    folder = uuid4().hex
+    writer = rows.write.partitionBy("split").option("maxRecordsPerFile", max_rows_per_file)
+    writer.parquet(f"{path}/versions/{folder}")
+    spark = rows.sparkSession
+    last = read_history(spark, f"{path}/manifest", CORPUS_MANIFEST).agg(F.max("sequence")).first()[0] or 0
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "split")
+    named = spark.createDataFrame([(last + 1, folder, f"{fields}, split {rows.schema['split'].dataType.simpleString()}")], CORPUS_MANIFEST)
+    append_history(named.coalesce(1), f"{path}/manifest", folder)
+    return read_corpus(spark, path)
+
+
+def read_corpus(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole version of a corpus."""
+    versions = read_history(spark, f"{path}/manifest", CORPUS_MANIFEST)
+    newest = versions.agg(F.max(F.struct("sequence", "folder", "columns"))).first()[0]
+    if newest is None:
+        raise ValueError(f"no corpus in {path}")
+    return spark.read.schema(newest.columns).parquet(f"{path}/versions/{newest.folder}")
+
+
+def prune_corpus(spark: SparkSession, path: str, keep: int = 1) -> None:
+    """Delete all but the newest ``keep`` versions; only when no reader is on them."""
+    versions = read_history(spark, f"{path}/manifest", CORPUS_MANIFEST)
+    old = versions.orderBy(F.desc("sequence"), F.desc("folder")).offset(keep).collect()  # a row per write
+    discard(spark, [f"{path}/manifest/entry={v.folder}" for v in old] + [f"{path}/versions/{v.folder}" for v in old])
 
 
 def append_history(rows: DataFrame, path: str, entry: str | int) -> None:

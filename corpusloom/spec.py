@@ -16,6 +16,10 @@ SEED = 42
 TEST_SHARE = 0.01
 
 
+class SourceError(ValueError):
+    """A source that cannot be used as its spec says; a tolerant run leaves it out."""
+
+
 class _Unset:
     """Marks a cap that was not given; each load path has its own default."""
 

@@ -244,4 +244,27 @@ ORACLE = {
       FROM documents WHERE {_long('text')}""",
     "stream_shuffle": """SELECT 0::BIGINT AS batch, row_number() OVER (ORDER BY md5('42|documents|' || doc_id)) AS row_index,
       'documents' AS source, doc_id::VARCHAR AS row_key FROM documents""",
+    "scan_damage": """SELECT 'ok' AS state, 3::BIGINT AS files, count(*) AS expected, count(*) AS read, 0::BIGINT AS lost FROM documents
+      UNION ALL SELECT 'no rows', 1, NULL, 0, NULL""",
+    "scan_cached": "SELECT doc_id, lang, text, 2::BIGINT AS stages FROM documents",
+    "checkpoint_folders": """SELECT user_id::VARCHAR AS run, user_id || '/checkpoint-' || max(event_id) AS path
+      FROM events WHERE user_id < 3 GROUP BY user_id""",
+    "corpus_isolated": f"""SELECT 'web_' || lang AS source, count(*) AS rows, NULL::BOOLEAN AS bad_row
+      FROM documents WHERE lang IN ('en', 'de', 'fr', 'es') AND {_long('text')} GROUP BY lang
+      UNION ALL SELECT 'broken', 0, true""",
+    "corpus_versions": _with("docs", f"SELECT source, row_key, {_SPLIT} AS split FROM docs"),
+    "render_numbers": """SELECT l_orderkey, l_linenumber, (l_extendedprice::DOUBLE * scale)::VARCHAR AS text
+      FROM lineitem, (VALUES (1e-9::DOUBLE), (1.0::DOUBLE), (1e8::DOUBLE), (1e13::DOUBLE)) s(scale)""",
+    "cap_keyless": f"""SELECT 'lazy' AS source, row, text FROM (
+        SELECT *, row_number() OVER (ORDER BY row) AS n FROM (
+          SELECT text, row_number() OVER (ORDER BY doc_id) - 1 AS row FROM documents) WHERE {_long('text')}) WHERE n <= 150
+      UNION ALL SELECT 'batch', row, text FROM (SELECT text, row_number() OVER (ORDER BY doc_id) - 1 AS row FROM documents)
+      WHERE row < 150 AND {_long('text')}""",
+    "cap_large": """WITH e AS (SELECT user_id || ':' || event_id AS row_key, 'user ' || user_id || ' did ' || event_type AS text,
+          user_id, event_id FROM events)
+      SELECT 'lazy' AS source, row_key, text FROM (
+        SELECT *, row_number() OVER (ORDER BY user_id, event_id) AS n FROM e WHERE length(text) >= 16) WHERE n <= 700
+      UNION ALL SELECT 'batch', row_key, text FROM (SELECT *, row_number() OVER (ORDER BY user_id, event_id) AS n FROM e)
+      WHERE n <= 700 AND length(text) >= 16""",
+    "vocabulary_cut": _with("vocab", "SELECT piece, id, n FROM vocab WHERE id < 1503"),
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +21,10 @@ from corpusloom.operators.tokens import (
     map_batches,
     tokenize,
 )
+from corpusloom.plans.isolate import collect_sources, source_manifest
 from corpusloom.plans.prepare import batch_rows, prepare, prepare_summary
 from corpusloom.session import new_folder
-from corpusloom.sources import sinks
+from corpusloom.sources import damage, sinks
 from corpusloom.sources.scan import build_corpus, scan, scan_stream, union_sources
 from corpusloom.spec import SourceSpec
 from corpusloom.streaming import prepare as streams
@@ -69,6 +71,66 @@ def scan_lazy_capped(spark, sf_dir):
     return text_rows(scan(spark, _file_spec(spec, sf_dir, "pages")), spec)
 
 
+@query
+def scan_damage(spark, sf_dir):
+    folder, documents = new_folder(spark, "damage"), src.table(spark, sf_dir, "documents")
+    documents.repartition(3).write.parquet(folder)
+    documents.limit(5).select("lang").coalesce(1).write.mode("append").text(folder)
+    found = damage.scan_damage(spark, SourceSpec("documents", path=folder), documents.schema)
+    return found.groupBy("state").agg(
+        F.count(F.lit(1)).alias("files"), *[F.sum(c).alias(c) for c in ("expected", "read", "lost")]
+    )
+
+
+@query
+def scan_cached(spark, sf_dir):
+    """The second read is from the stage; the third sees the files that came in between."""
+    folder, cache = new_folder(spark, "files"), sinks.ScanCache(spark, new_folder(spark, "cache"))
+    documents = src.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    for part in ("lang = 'en'", "lang <> 'en'"):
+        documents.where(part).write.mode("append").parquet(folder)
+        for _ in range(2):
+            rows = cache.rows(spark.read.schema(documents.schema).parquet(folder))
+    return rows.withColumn("stages", F.lit(len(cache.used)).cast("long"))
+
+
+@query
+def checkpoint_folders(spark, sf_dir):
+    root, metrics = new_folder(spark, "runs"), src.run_metrics(spark, sf_dir).where("run < 3")
+    for row in latest_n(metrics, "run", "step", 2).select("run", "step").collect():
+        steps = metrics.where((F.col("run") == row.run) & (F.col("step") == row.step)).select("loss").coalesce(1)
+        steps.write.parquet(f"{root}/{row.run}/checkpoint-{row.step}")
+        if row.run == 0:
+            steps.write.mode("overwrite").parquet(f"{root}/{row.run}/checkpoint-none")
+    latest = runs.latest_checkpoint(runs.list_checkpoints(spark, root))
+    return latest.select("run", F.substring_index("path", "/", -2).alias("path"))
+
+
+@query
+def corpus_isolated(spark, sf_dir):
+    documents = src.table(spark, sf_dir, "documents")
+    bad = F.when(F.col("doc_id") == 7, F.raise_error(F.lit("bad row"))).otherwise(F.col("text"))
+    specs = [SourceSpec(f"web_{lang}", config=lang, subset_column="lang", max_samples=None) for lang in LANGUAGE_CAPS]
+    opened = {s.name: documents for s in specs} | {"broken": documents.withColumn("text", bad)}
+    folder = new_folder(spark, "sources")
+    collect_sources(spark, [*specs, SourceSpec("broken", max_samples=None, key_columns=("doc_id",))], folder, opened)
+    told = source_manifest(spark, folder)
+    return told.select("source", "rows", F.contains("error", F.lit("bad row")).alias("bad_row"))
+
+
+@query
+def corpus_versions(spark, sf_dir):
+    """Of three writes the second breaks; readers see the last whole one."""
+    path, rows = new_folder(spark, "corpus"), order.split_hash(src.document_rows(spark, sf_dir)).select("source", "row_key", "split")
+    sinks.write_corpus(rows.limit(3), path)
+    sinks.write_corpus(rows, path)
+    try:
+        sinks.write_corpus(rows.withColumn("source", F.raise_error(F.lit("disk full")).cast("string")), path)
+    except PySparkException:
+        return sinks.read_corpus(spark, path)
+    raise AssertionError("the broken write went through")
+
+
 @query
 def scan_subset_de(spark, sf_dir):
     return scan(spark, _file_spec(src.spec("web_de"), sf_dir, "documents")).select("doc_id", "lang", "text")
@@ -197,6 +259,17 @@ def render_plain(spark, sf_dir):
     return documents.unionByName(numbers)
 
 
+@query
+def render_numbers(spark, sf_dir):
+    price, orders = F.col("l_extendedprice").cast("double"), src.table(spark, sf_dir, "lineitem")
+    frames = []
+    for scale in (1e-9, 1.0, 1e8, 1e13):
+        rows = orders.select("l_orderkey", "l_linenumber", (price * F.lit(scale)).alias("text"))
+        spec = SourceSpec(f"{scale:g}", key_columns=("l_orderkey", "l_linenumber"))
+        frames.append(_rendered(rows, spec))
+    return union_sources(frames)
+
+
 @query
 def render_missing(spark, sf_dir):
     return _rendered(src.table(spark, sf_dir, "documents"), replace(DOCUMENTS, text_field="no_such_column"))
@@ -261,6 +334,29 @@ def cap_before_filter(spark, sf_dir):
     return _capped_by_language(spark, sf_dir, streaming=False)
 
 
+@query
+def cap_keyless(spark, sf_dir):
+    """Rows without a key, capped by file and row number: of the kept rows and of the scanned rows."""
+    frames = []
+    for name, lazy in (("lazy", True), ("batch", False)):
+        spec = _file_spec(SourceSpec(name, streaming=lazy, max_samples=150), sf_dir, "documents")
+        frames.append(text_rows(scan(spark, spec), spec))
+    row = F.substring_index("row_key", ":", -1).cast("long")
+    return union_sources(frames).select("source", row.alias("row"), "text")
+
+
+@query
+def cap_large(spark, sf_dir):
+    """A cap on pairs of keys that is found by narrowing; few keys are sorted at once."""
+    text = F.concat_ws(" ", F.lit("user"), "user_id", F.lit("did"), "event_type")
+    events = src.table(spark, sf_dir, "events").select("user_id", "event_id", text.alias("text"))
+    frames = []
+    for name, lazy in (("lazy", True), ("batch", False)):
+        spec = SourceSpec(name, streaming=lazy, max_samples=700, key_columns=("user_id", "event_id"))
+        frames.append(text_rows(events, spec, min_chars=16, direct=20))
+    return union_sources(frames)
+
+
 @query
 def retain_latest_n(spark, sf_dir):
     return latest_n(src.run_metrics(spark, sf_dir), "run", "step", 5).select("run", "step", "loss")
@@ -397,6 +493,12 @@ def vocabulary(spark, sf_dir):
     return build_vocabulary(src.document_rows(spark, sf_dir, spread=True))
 
 
+@query
+def vocabulary_cut(spark, sf_dir):
+    """A small vocabulary that ends among pieces of equal count."""
+    return build_vocabulary(src.document_rows(spark, sf_dir, spread=True), size=1_503, direct=20)
+
+
 @query
 def tokenize_plugged(spark, sf_dir):
     def load():

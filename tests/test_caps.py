@@ -91,7 +91,7 @@ def test_cap_reaches_the_file_scan(spark, tmp_path, capsys):
     )
     rows = spark.read.parquet(str(tmp_path / "t"))
     cap_scanned(rows, ["k"], 10).explain()
-    assert "LessThanOrEqual(k,ScalarSubquery" in capsys.readouterr().out
+    assert "LessThanOrEqual(k,9)" in capsys.readouterr().out
     cap_scanned(rows, ["k"], 500, direct=20).explain()
     plan = capsys.readouterr().out
     assert "LessThanOrEqual(k,499)" in plan and "Exchange" not in plan
@@ -152,3 +152,31 @@ def test_pairs_of_keys_do_not_overshoot(spark):
     rows = spark.range(4_000).select((F.col("id") / 2).cast("long").alias("k"))
     with pytest.raises(ValueError, match="do not identify rows"):
         cap_scanned(rows, ["k"], 999, direct=20).count()
+
+
+@pytest.mark.parametrize("n", [9, 999, 9_999])
+def test_repeated_keys_raise_at_any_cap(spark, n):
+    rows = spark.range(30_000).select((F.col("id") / 2).cast("long").alias("k"))
+    for direct in (20, 10_000):
+        with pytest.raises(ValueError, match="do not identify rows"):
+            cap_scanned(rows, ["k"], n, direct=direct)
+        with pytest.raises(ValueError, match="do not identify rows"):
+            cap_kept(rows, ["k"], n, F.col("k") >= 0, direct=direct)
+
+
+def test_small_caps_merge_no_top_n_of_the_source(spark, capsys):
+    rows = spark.range(50_000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("j"))
+    cap_scanned(rows, ["j", "k"], 10).explain()
+    plan = capsys.readouterr().out
+    assert "TakeOrdered" not in plan and "Exchange" not in plan and "j#" in plan
+    assert cap_scanned(rows, ["j", "k"], 10).count() == 10
+
+
+def test_content_key_tells_all_values_apart(spark):
+    rows = spark.sql("""
+        select * from values (timestamp'2024-01-01 00:00:00.000001', 1D), (timestamp'2024-01-01 00:00:00.000002', 1D),
+        (timestamp'2024-01-01 00:00:00.000002', null), (null, 1D), (null, null) as t(at, x)""")
+    assert content_key(rows).select("content_key").distinct().count() == 5
+    ntz = rows.select(F.col("at").cast("timestamp_ntz").alias("at"))
+    assert content_key(ntz).select("content_key").distinct().count() == 3
+    assert cap_scanned(content_key(rows), ["content_key", "copy_no"], 1).count() == 1

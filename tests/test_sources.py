@@ -91,19 +91,19 @@ def test_subset_and_split_prune_partitions(spark, tmp_path, capsys):
 def test_missing_source_is_left_out(spark, good, tmp_path):
     missing = SourceSpec("missing", path=str(tmp_path / "none"))
     no_path, bad_key = SourceSpec("no path"), SourceSpec("bad key", path=good.path, key_columns=("nope",))
-    corpus = build_corpus(spark, [missing, good, no_path, bad_key])
+    corpus = build_corpus(spark, [missing, good, no_path, bad_key], tolerant=True)
     assert set(corpus.failed) == {"missing", "no path", "bad key"}
     assert corpus.rows.groupBy("source").count().collect() == [("good", 20)]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        build_corpus(spark, [missing, good], tolerant=False)
+        build_corpus(spark, [missing, good])
     with pytest.raises(ValueError, match="no source could be opened"):
-        build_corpus(spark, [missing])
+        build_corpus(spark, [missing], tolerant=True)
 
 
 def test_source_that_breaks_while_counted_is_left_out(spark, good):
     broken = SourceSpec("broken", key_columns=("id",))
     rows = spark.range(5).where(F.raise_error(F.lit("bad row")).isNull()).withColumn("text", F.lit(TEXT))
-    corpus = build_corpus(spark, [broken, good], {"broken": rows})
+    corpus = build_corpus(spark, [broken, good], {"broken": rows}, tolerant=True)
     assert set(corpus.failed) == {"broken"} and corpus.rows.count() == 20
     with pytest.raises(Exception, match="bad row"):
         build_corpus(spark, [broken, good], {"broken": rows}, tolerant=False)
@@ -112,9 +112,9 @@ def test_source_that_breaks_while_counted_is_left_out(spark, good):
 def test_damaged_file_keeps_the_other_rows(spark, good, tmp_path):
     (tmp_path / "good" / "part-bad.parquet").write_bytes(b"PAR1 this is not parquet PAR1")
     specs = [good]
-    assert build_corpus(spark, specs).rows.count() == 20
+    assert build_corpus(spark, specs, tolerant=True).rows.count() == 20
     with pytest.raises(Exception):
-        build_corpus(spark, specs, tolerant=False).rows.count()
+        build_corpus(spark, specs).rows.count()
 
 
 def test_no_rows_is_an_error(spark, good):
