@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from corpusloom.llm.common import Memory, grouped, texts, uncollected
+from corpusloom.llm.common import Memory, grouped, held, texts, uncollected
 
 # Fixed value: the word pattern of the byte-level tokenizer.
 WORDS = regex.compile(
@@ -41,9 +41,6 @@ DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 
-_loaded: dict[str, "TrieEncoder"] = {}
-
-
 def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in the tokenizer file, by its rule."""
     shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
@@ -200,10 +197,8 @@ class TrieEncoder:
 
 
 def trie_encoder(path: str) -> TrieEncoder:
-    """The worker's encoder for a tokenizer file, loaded once."""
-    if path not in _loaded:
-        _loaded[path] = TrieEncoder(path)
-    return _loaded[path]
+    """The worker's encoder for a tokenizer file."""
+    return held(("trie", path), lambda: TrieEncoder(path))
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, digests: bool = False) -> DataFrame:

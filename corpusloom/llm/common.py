@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -36,13 +37,19 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def recorded() -> Iterator[list[str]]:
-    """Lists the folders that are staged inside, for the caller to ``discard`` once the results are written."""
+    """Lists the folders that are staged inside, for the caller to ``discard`` once the results are written.
+
+    A block around it lists them as well.
+    """
     made: list[str] = []
+    around = _record.get()
     token = _record.set(made)
     try:
         yield made
     finally:
         _record.reset(token)
+        if around is not None:
+            around.extend(made)
 
 
 def discard(spark: SparkSession, folders: Sequence[str]) -> None:
@@ -91,6 +98,25 @@ def grouped(values: Iterator[str], characters: int) -> Iterator[list[str]]:
         yield group
 
 
+_held: dict[object, object] = {}
+
+
+def held(key: object, make: Callable[[], object]) -> object:
+    """What ``make`` builds, kept by the worker process for its next tasks; one thing at a time.
+
+    A worker that turns to other work lets go of what it held, and gives the memory back to the system.
+    """
+    if key not in _held:
+        if _held:
+            _held.clear()
+            gc.collect()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+        _held[key] = make()
+    return _held[key]
+
+
 def buckets_for(rows: int, per_bucket: int) -> int:
     """How many buckets keep about ``per_bucket`` rows each, within 1..65,536."""
     return max(1, min(MAX_BUCKETS, rows // per_bucket + 1))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import free_name, grouped, texts, uncollected
+from corpusloom.llm.common import free_name, grouped, held, texts, uncollected
 
 # Bounds of the training sample: documents of each language, segments of each document
 # and words of each segment, and the number of languages that one model tells apart.
@@ -297,16 +297,6 @@ def sample_segments(docs: DataFrame, per_language: int = SAMPLE_DOCS, seed: int
     return [s for found in by_lang.values() for s in found[: per_language * SEGMENTS]]
 
 
-_taggers: dict[int, Tagger] = {}
-
-
-def _tagger(key: int, model: Model) -> Tagger:
-    if key not in _taggers:
-        _taggers.clear()
-        _taggers[key] = Tagger(model)
-    return _taggers[key]
-
-
 def identify(docs: DataFrame, per_language: int = SAMPLE_DOCS, seed: int = 7) -> DataFrame:
     """``docs`` with held_out, lang_pred and score; learns from rows outside the held-out quarter.
 
@@ -323,7 +313,7 @@ def identify(docs: DataFrame, per_language: int = SAMPLE_DOCS, seed: int = 7) ->
     new = [free_name(docs, n) for n in ("held_out", "lang_pred", "score")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tagger = _tagger(key, shared.value)
+        tagger = held(("tagger", key), lambda: Tagger(shared.value))
         for batch in batches:
             found = [f for group in grouped(texts(batch, text_at), GROUP) for f in tagger.documents(group)]
             yield pa.RecordBatch.from_arrays(

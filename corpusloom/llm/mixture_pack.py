@@ -16,6 +16,7 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -172,20 +173,51 @@ def pack_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                ids, pieces = np.frombuffer(row["ids"], f"<u{row['width']}").astype("<u4"), row["pieces"]
-                count = len(pieces)
-                columns = {
-                    "doc_id": pa.array([row["doc_id"]] * count, pa.int64()),
-                    "start": pa.array([p["start"] for p in pieces], pa.int64()),
-                    "length": pa.array([p["length"] for p in pieces], pa.int64()),
-                    "doc_tokens": pa.array([row["n"]] * count, pa.int64()),
-                    "source": pa.array([row["queue"][1:] if row["queue"] != "-" else None] * count, pa.string()),
-                    "round": pa.array([p["round"] for p in pieces], pa.int64()),
-                    "sequence_id": pa.array([p["sequence_id"] for p in pieces], pa.int64()),
-                    "offset": pa.array([p["offset"] for p in pieces], pa.int64()),
-                    "ids": pa.array([ids[p["start"] : p["start"] + p["length"]].tobytes() for p in pieces], pa.binary()),
-                }
-                yield pa.RecordBatch.from_pydict(columns)
+            yield from _cut_out(batch)
 
     return tokens.join(by_row, "row_id").mapInArrow(run, PIECES)
+
+
+def _cut_out(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The pieces of a batch of encoded rows, all ids gathered at once; halved while its ids would not fit one column."""
+    count = pc.sum(batch.column("n")).as_py() or 0
+    if count * 4 >= 1 << 31 and batch.num_rows > 1:
+        half = batch.num_rows // 2
+        yield from _cut_out(batch.slice(0, half))
+        yield from _cut_out(batch.slice(half))
+        return
+    if not batch.num_rows:
+        return
+    pieces, n = batch.column("pieces"), batch.column("n").to_numpy()
+    parent = pc.list_parent_indices(pieces).to_numpy()
+    flat = pieces.flatten()
+    start, length = (flat.field(c).to_numpy() for c in ("start", "length"))
+    width = batch.column("width")[0].as_py()
+    whole = np.frombuffer(b"".join([x.as_buffer() for x in batch.column("ids")]), f"<u{width}")
+    first = np.cumsum(n) - n
+    ends = np.cumsum(length)
+    at = np.arange(ends[-1]) - np.repeat(ends - length, length) + np.repeat(first[parent] + start, length)
+    ids = whole[at].astype("<u4")
+    rows = pa.array(parent)
+    queue = batch.column("queue").take(rows)
+    source = pc.if_else(pc.equal(queue, "-"), pa.scalar(None, pa.string()), pc.utf8_slice_codeunits(queue, 1))
+    if len(ids) * 4 < 1 << 31:
+        offsets = pa.py_buffer(np.append(0, ends * 4).astype("<i4").tobytes())
+        values = pa.BinaryArray.from_buffers(pa.binary(), len(parent), [None, offsets, pa.py_buffer(ids.tobytes())])
+    else:  # one very long document
+        values = pa.array([ids[e - k : e].tobytes() for e, k in zip(ends.tolist(), length.tolist())], pa.binary())
+    columns = {
+        "doc_id": batch.column("doc_id").take(rows),
+        "start": flat.field("start"),
+        "length": flat.field("length"),
+        "doc_tokens": batch.column("n").take(rows),
+        "source": source,
+        "round": flat.field("round"),
+        "sequence_id": flat.field("sequence_id"),
+        "offset": flat.field("offset"),
+        "ids": values,
+    }
+    if isinstance(values, pa.ChunkedArray):
+        yield from pa.table(columns).to_batches()
+    else:
+        yield pa.RecordBatch.from_pydict(columns)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import free_name, staged, texts
+from corpusloom.llm.common import discard, free_name, recorded, staged, texts
 
 # A run has at least so many sentences and so many words.
 SENTENCES = 2
@@ -119,10 +119,12 @@ def remove_repeats(docs: DataFrame, least: int = SENTENCES, words: int = WORDS)
     """
     row = free_name(docs, "_row")
     whole = staged(docs.withColumn(row, F.monotonically_increasing_id()), "spans-docs")
-    spans = staged(_run_table(whole, row, least, words), "spans")
+    with recorded() as made:
+        spans = staged(_run_table(whole, row, least, words), "spans")
     repeated = spans.groupBy("h1").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("h1")
     # Only runs whose first half of the hash repeats go further.
     near = staged(spans.join(repeated, "h1"), "spans-repeated")
+    discard(docs.sparkSession, made)
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row_id", "at")
     first = near.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     first = first.select("h1", "h2", F.col("first.row_id").alias("_row_id"), F.col("first.at").alias("_at"))

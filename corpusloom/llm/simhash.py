@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import free_name, staged, texts
+from corpusloom.llm.common import discard, free_name, recorded, staged, texts
 from corpusloom.llm.components import connected
 
 BITS = 64
@@ -149,9 +149,12 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
     """
     row = free_name(docs, "_row")
     whole = staged(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
-    found = near_duplicates(whole, shingle, distance, row)
+    with recorded() as made:
+        found = near_duplicates(whole, shingle, distance, row)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row_id"))
     kept = found.groupBy("root").agg(first.alias("first")).select(F.col("first.row_id").alias(row))
+    kept = staged(kept, "simhash-kept")
+    discard(docs.sparkSession, made)
     return whole.join(kept, row, "left_semi").drop(row)
 
 

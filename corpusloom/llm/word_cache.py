@@ -1,8 +1,9 @@
 """Exact encoding with the word-level tokenizer file, one library call per new word only.
 
-The tokenizer file's rules never join characters across white space, so the ids of a
-text are the ids of its white-space separated words put one after the other. Words are
-remembered in the worker between batches and tasks, up to a fixed number.
+The tokenizer file's rules cut a text into pieces and never join ids across them, so the
+ids of a text are those of its pieces put one after the other. Texts of Latin-1 characters are
+cut as a whole; the others word by word, because only the library's normalizer knows their
+rules. Pieces and words are remembered in the worker between batches and tasks, up to a fixed number.
 """
 
 from __future__ import annotations
@@ -16,16 +17,19 @@ import regex
 from tokenizers import Tokenizer
 
 from corpusloom.llm.bpe_trie import byte_letters
-from corpusloom.llm.common import Memory, uncollected
+from corpusloom.llm.common import Memory, held, uncollected
 
 # Characters that str.split takes for white space and the tokenizer does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 # Fixed value: the piece pattern of the word-level tokenizer.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
-MAX_WORDS, MAX_PIECES = 120_000, 250_000
+# The same for lower-cased Latin-1, where letters, numbers and white space can be listed.
+_LETTERS, _NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
+LATIN_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
+BEYOND_LATIN = re.compile("[^\x00-\xff]")
 
-_loaded: dict[str, "WordEncoder"] = {}
+MAX_WORDS, MAX_PIECES = 50_000, 250_000
 
 
 class WordEncoder:
@@ -42,13 +46,18 @@ class WordEncoder:
         self.letters = {b: c for c, b in byte_letters().items()}
         self.words, self.pieces = Memory(MAX_WORDS), Memory(MAX_PIECES)
 
-    def _learn(self, words: list[str]) -> None:
-        """Ids of new words from the ids of their pieces; the library's model encodes pieces not met before."""
-        cut = {w: self._pieces(w) for w in words}
+    def _learn_pieces(self, pieces: set[str]) -> None:
+        """Ids of pieces not met before, from the library's model."""
         tokenize, code = self.tokenizer.model.tokenize, "H" if self.width == 2 else "I"
-        for piece in self.pieces.missing({p for pieces in cut.values() for p in pieces}):
-            letters = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode("utf-8", "replace")])
+        for piece in self.pieces.missing(pieces):
+            plain = piece.isascii() and piece.isprintable()
+            letters = piece if plain else "".join([self.letters[b] for b in piece.encode("utf-8", "replace")])
             self.pieces[piece] = array(code, [t.id for t in tokenize(letters)]).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words from the ids of their pieces."""
+        cut = {w: self._pieces(w) for w in words}
+        self._learn_pieces({p for pieces in cut.values() for p in pieces})
         for word, pieces in cut.items():
             self.words[word] = b"".join([self.pieces[p] for p in pieces])
 
@@ -69,19 +78,28 @@ class WordEncoder:
             return self._encode_all(texts)
 
     def _encode_all(self, texts: list[str]) -> list[bytes]:
-        odd = {i for i, t in enumerate(texts) if SEPARATORS.search(t) or any(a in t for a in self.added)}
-        rows = [[] if i in odd else t.split() for i, t in enumerate(texts)]
-        self._learn(self.words.missing({w for row in rows for w in row}))
-        ids = [b"".join(map(self.words.__getitem__, row)) for row in rows]
-        for i in odd:
-            ids[i] = self._whole(texts[i])
+        ids: list[bytes] = [b""] * len(texts)
+        latin: dict[int, list[str]] = {}
+        other: dict[int, list[str]] = {}
+        for i, text in enumerate(texts):
+            if SEPARATORS.search(text) or any(a in text for a in self.added):
+                ids[i] = self._whole(text)
+            elif text.isascii() or not BEYOND_LATIN.search(text):
+                # All characters are in normal form, and lower-casing one never looks at its neighbours.
+                latin[i] = LATIN_PIECES.findall(text.lower())
+            else:
+                other[i] = text.split()
+        self._learn_pieces({p for row in latin.values() for p in row})
+        for i, row in latin.items():
+            ids[i] = b"".join(map(self.pieces.__getitem__, row))
+        self._learn(self.words.missing({w for row in other.values() for w in row}))
+        for i, row in other.items():
+            ids[i] = b"".join(map(self.words.__getitem__, row))
         self.words.turn()
         self.pieces.turn()
         return ids
 
 
 def word_encoder(path: str) -> WordEncoder:
-    """The worker's encoder for a tokenizer file, loaded once."""
-    if path not in _loaded:
-        _loaded[path] = WordEncoder(path)
-    return _loaded[path]
+    """The worker's encoder for a tokenizer file."""
+    return held(("words", path), lambda: WordEncoder(path))
