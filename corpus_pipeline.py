@@ -1,9 +1,13 @@
-"""A training corpus from the documents table: five stages, each on all that its predecessor kept."""
+"""A training corpus from the documents table: five stages, each on all that its predecessor kept.
 
-from __future__ import annotations
+A stage takes a table with the columns of documents, in any order and with others beside them, which it leaves
+aside; all stages but the last return these columns. A null text counts as empty or is
+passed on, a null doc_id is a row like any other, repeated rows are documents of their own, texts
+may have any length, and an empty table gives an empty one. What a stage called by itself stages stays in the
+shared folder as long as its result may be read; ``run`` deletes it.
+"""
 
-from collections.abc import Callable
-from functools import wraps
+from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -19,32 +23,7 @@ TOKENIZER = "word_bpe_49k.json"
 # SQL cannot express these stages; the tests compare each with a brute-force version.
 ORACLE_SQL = None
 
-# Scratch folders of the stage that ran last, by application.
-_left: dict[str, list[str]] = {}
-
-
-def _stage(function: Callable) -> Callable:
-    """Deletes the scratch folders of the stage before, whose result is written by now, and notes those of this one.
-
-    They stay if ``docs`` still reads from them, that is, if the result was not written.
-    """
 
-    @wraps(function)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        key = spark.sparkContext.applicationId
-        before = _left.pop(key, [])
-        if before and not any(folder in file for file in docs.inputFiles() for folder in before):
-            discard(spark, before)
-            before = []
-        with recorded() as made:
-            found = function(spark, docs, sf_dir)
-        _left[key] = [*before, *made]
-        return found
-
-    return run_stage
-
-
-@_stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a language (no letters, or a mean probability below LEAST_SCORE); ``lang`` becomes the predicted one."""
     found = lang_crf.identify(docs.select(*COLUMNS))
@@ -52,27 +31,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
-@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group linked by three-word SimHash at two bits or fewer."""
     return simhash.keep_one(docs.select(*COLUMNS), shingle=3, distance=2)
 
 
-@_stage
 def drop_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes sentences of repeated spans but for their first place; documents stay, with what is left of their text."""
     found = sentence_dedup.remove_repeats(docs.select(*COLUMNS))
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
-@_stage
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every found secret by a mark; documents stay."""
     found = secrets.scan(docs.select(*COLUMNS)).withColumn("text", F.col("redacted"))
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
-@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all documents into windows of 2048 tokens, by the token shares of their sources."""
     return mixture_pack.pack_documents(docs, public_tokenizers.path(TOKENIZER), end_id=1)
@@ -88,8 +63,17 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``; each result is written as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of ``sf_dir``; each result is written as Parquet and read again.
+
+    A run owns the folders it makes: a stage's scratch tables go once its result is
+    written, a result once the next one is. The last result stays, for the caller to read.
+    """
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        with recorded() as scratch:
+            found = stage(spark, docs, sf_dir)
+        with recorded() as result:
+            docs = staged(found, f"pipeline-{name.replace(' ', '-')}")
+        discard(spark, [*scratch, *written])
+        written = result
     return docs
