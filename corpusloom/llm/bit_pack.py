@@ -33,7 +33,7 @@ from corpusloom.llm.common import grouped, texts
 from corpusloom.llm.word_cache import word_encoder
 
 BLOCK_IDS = 65_536
-GROUP = 1_000_000
+GROUP = 2_000_000
 
 BLOCKS = (
     "shard int, block int, first long, least_id long, most_id long, "

@@ -154,13 +154,12 @@ class Memory(dict):
     def missing(self, keys: set) -> list:
         """The keys that must be computed; old ones are taken over."""
         old, lost = self.old, []
-        for key in keys:
-            if key not in self:
-                value = old.get(key)
-                if value is None:
-                    lost.append(key)
-                else:
-                    self[key] = value
+        for key in keys.difference(self):
+            value = old.get(key)
+            if value is None:
+                lost.append(key)
+            else:
+                self[key] = value
         return lost
 
     def turn(self) -> None:

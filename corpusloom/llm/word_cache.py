@@ -57,7 +57,7 @@ class WordEncoder:
     def _learn(self, words: list[str]) -> None:
         """Ids of new words from the ids of their pieces."""
         cut = {w: self._pieces(w) for w in words}
-        self._learn_pieces({p for pieces in cut.values() for p in pieces})
+        self._learn_pieces(set().union(*cut.values()))
         for word, pieces in cut.items():
             self.words[word] = b"".join([self.pieces[p] for p in pieces])
 
@@ -89,10 +89,10 @@ class WordEncoder:
                 latin[i] = LATIN_PIECES.findall(text.lower())
             else:
                 other[i] = text.split()
-        self._learn_pieces({p for row in latin.values() for p in row})
+        self._learn_pieces(set().union(*latin.values()))
         for i, row in latin.items():
             ids[i] = b"".join(map(self.pieces.__getitem__, row))
-        self._learn(self.words.missing({w for row in other.values() for w in row}))
+        self._learn(self.words.missing(set().union(*other.values())))
         for i, row in other.items():
             ids[i] = b"".join(map(self.words.__getitem__, row))
         self.words.turn()
