@@ -33,7 +33,9 @@ from corpusloom.llm.common import grouped, texts
 from corpusloom.llm.word_cache import word_encoder
 
 BLOCK_IDS = 65_536
-GROUP = 2_000_000
+# Widths whose runs of bits are plain little-endian integers.
+WHOLE_BYTES = (8, 16, 32)
+GROUP = 1_000_000
 
 BLOCKS = (
     "shard int, block int, first long, least_id long, most_id long, "
@@ -50,6 +52,8 @@ def pack_ids(ids: np.ndarray, width: int) -> bytes:
     """Ids as a gapless run of ``width``-bit numbers, lowest bit first."""
     if len(ids) and int(ids.max()) >> width:
         raise ValueError(f"id {int(ids.max())} does not fit in {width} bits")
+    if width in WHOLE_BYTES:
+        return ids.astype(f"<u{width // 8}").tobytes()
     bits = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
     return np.packbits(bits.ravel(), bitorder="little").tobytes()
 
@@ -60,6 +64,8 @@ def unpack_ids(payload: bytes, width: int, start: int = 0, count: int | None = N
         count = len(payload) * 8 // width - start
     if count <= 0:
         return np.empty(0, "<u4")
+    if width in WHOLE_BYTES:
+        return np.frombuffer(payload, f"<u{width // 8}", count, start * width // 8).astype("<u4")
     first, last = start * width // 8, -(-(start + count) * width // 8)
     raw = np.frombuffer(payload, np.uint8, last - first, first)
     bits = np.unpackbits(raw, bitorder="little")[start * width - first * 8 :][: count * width].reshape(count, width)

@@ -25,7 +25,7 @@ from corpusloom.llm.word_cache import word_encoder
 
 WINDOW = 2_048
 GRAIN = 512
-GROUP = 2_000_000
+GROUP = 1_000_000
 
 TOKENS = "row_id long, doc_id long, queue string, n long, width int, ids binary"
 PIECES = (

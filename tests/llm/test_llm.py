@@ -83,11 +83,13 @@ def test_encode_documents(odd, empty):
     assert bpe_trie.encode_documents(empty, BYTE).count() == 0
 
 
-@pytest.mark.parametrize("width", [1, 7, 11, 16, 17, 32])
+@pytest.mark.parametrize("width", [1, 7, 8, 11, 16, 17, 32])
 def test_bits_round_trip(width):
     ids = np.random.default_rng(width).integers(0, 1 << width, 999).astype("<u4")
     packed = bit_pack.pack_ids(ids, width)
     assert len(packed) == -(-999 * width // 8)
+    bits = "".join(f"{i:0{width}b}"[::-1] for i in ids.tolist())
+    assert "".join(f"{b:08b}"[::-1] for b in packed)[: len(bits)] == bits
     assert (bit_pack.unpack_ids(packed, width, 0, 999) == ids).all()
     assert (bit_pack.unpack_ids(packed, width, 123, 77) == ids[123:200]).all()
     with pytest.raises(ValueError):
