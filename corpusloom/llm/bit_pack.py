@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from corpusloom.llm.common import grouped, texts
+from corpusloom.llm.common import grouped, let_go, texts
 from corpusloom.llm.word_cache import word_encoder
 
 BLOCK_IDS = 65_536
@@ -111,6 +111,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, s
             yield pa.RecordBatch.from_arrays(columns, ["shard", "doc_id", "_tie", "ids"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         vocabulary = Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True)
         width, dtype = bits_for(max(vocabulary, end_id + 1)), np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
         shard, block, first = None, 0, 0

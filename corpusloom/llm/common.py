@@ -107,16 +107,21 @@ def held(key: object, make: Callable[[], object]) -> object:
     A worker that turns to other work lets go of what it held, and gives the memory back to the system.
     """
     if key not in _held:
-        if _held:
-            _held.clear()
-            gc.collect()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+        let_go()
         _held[key] = make()
     return _held[key]
 
 
+def let_go() -> None:
+    """To be called by tasks that need nothing of what their worker may hold."""
+    if _held:
+        _held.clear()
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def buckets_for(rows: int, per_bucket: int) -> int:
     """How many buckets keep about ``per_bucket`` rows each, within 1..65,536."""
     return max(1, min(MAX_BUCKETS, rows // per_bucket + 1))

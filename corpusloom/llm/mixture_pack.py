@@ -20,12 +20,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import buckets_for, grouped, staged, texts, total_before
+from corpusloom.llm.common import buckets_for, grouped, let_go, staged, texts, total_before
 from corpusloom.llm.word_cache import word_encoder
 
 WINDOW = 2_048
 GRAIN = 512
 GROUP = 1_000_000
+# Ids that are gathered at once.
+CUT_IDS = 1 << 20
 
 TOKENS = "row_id long, doc_id long, queue string, n long, width int, ids binary"
 PIECES = (
@@ -172,6 +174,7 @@ def pack_documents(
     by_row = places.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("pieces"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             yield from _cut_out(batch)
 
@@ -179,9 +182,9 @@ def pack_documents(
 
 
 def _cut_out(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The pieces of a batch of encoded rows, all ids gathered at once; halved while its ids would not fit one column."""
+    """The pieces of a batch of encoded rows, their ids gathered at once; a batch of very many ids is halved first."""
     count = pc.sum(batch.column("n")).as_py() or 0
-    if count * 4 >= 1 << 31 and batch.num_rows > 1:
+    if count > CUT_IDS and batch.num_rows > 1:
         half = batch.num_rows // 2
         yield from _cut_out(batch.slice(0, half))
         yield from _cut_out(batch.slice(half))

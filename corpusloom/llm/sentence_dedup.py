@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import discard, free_name, recorded, staged, texts
+from corpusloom.llm.common import discard, free_name, let_go, recorded, staged, texts
 
 # A run has at least so many sentences and so many words.
 SENTENCES = 2
@@ -72,6 +72,7 @@ def runs(parts: list[str], least: int = SENTENCES, words: int = WORDS) -> list[t
 
 def _run_table(docs: DataFrame, row: str, least: int, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         digest = xxhash.xxh3_128_digest
         for batch in batches:
             keys = zip(batch.column("doc_id").to_pylist(), batch.column("row_id").to_pylist())
@@ -135,6 +136,7 @@ def remove_repeats(docs: DataFrame, least: int = SENTENCES, words: int = WORDS)
     text_at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             kept, removed = batch.column(text_at).to_pylist(), []
             for at, found in enumerate(batch.column(len(names)).to_pylist()):

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import discard, free_name, recorded, staged, texts
+from corpusloom.llm.common import discard, free_name, let_go, recorded, staged, texts
 from corpusloom.llm.components import connected
 
 BITS = 64
@@ -54,6 +54,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, row: str | None = None
     """doc_id, its fingerprint as a signed long of the same bits, and the long column ``row``, if named, as row_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             found = np.array([fingerprint(t, shingle) for t in texts(batch)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
