@@ -23,7 +23,8 @@ from corpusloom.operators.cutoff import DIRECT_ROWS, cap_kept
 from corpusloom.operators.order import HASH, global_index
 from corpusloom.operators.select import keyed, long_enough, row_key
 from corpusloom.operators.tokens import Tokenizer, with_mask
-from corpusloom.sources.sinks import append_history, read_history
+from corpusloom.session import new_folder
+from corpusloom.sources.sinks import append_history, owned, read_history, stage
 from corpusloom.spec import MAX_SEQ_LENGTH, MIN_CHARS, MIN_TOKENS_LAZY, SEED, SourceSpec
 
 BATCH_RECORD = "batch long, source string, rows long, rows_so_far long, timestamp timestamp, checkpoint string"
@@ -50,6 +51,9 @@ def lazy_rows(
         encoded = tokenizer.attach(chosen).withColumn("input_ids", ids)
     else:
         encoded = tokenizer.attach(texts.where(keep)).withColumn("input_ids", ids)
+        if cap:
+            # The cap reads its rows several times: encode each text only once.
+            encoded = stage(encoded.drop("_text", *tokenizer.helpers), new_folder(rows.sparkSession, "encoded"), "rows")
         encoded = cap_kept(encoded, keys, cap, F.size("input_ids") >= min_tokens, direct)
     named = encoded.select(F.lit(spec.name).alias("source"), row_key(keys).alias("row_key"), "input_ids")
     return with_mask(named)
@@ -107,7 +111,8 @@ def start_prepare(
     def handle(batch: DataFrame, batch_id: int) -> None:
         before = _rows_before(batch.sparkSession, out, batch_id, spec.name, checkpoint)
         left = None if cap is None else max(cap - before, 0)
-        _write_batch(lazy_rows(batch, spec, tokenizer, left, **options), out, batch_id, spec.name, before, checkpoint)
+        with owned(batch.sparkSession):
+            _write_batch(lazy_rows(batch, spec, tokenizer, left, **options), out, batch_id, spec.name, before, checkpoint)
 
     return _run(stream, handle, checkpoint)
 

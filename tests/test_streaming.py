@@ -104,3 +104,21 @@ def test_another_checkpoint_is_refused(spark, folder):
     with pytest.raises(Exception, match="another checkpoint"):
         start_prepare(scan_stream(spark, spec, SCHEMA), spec, ByteTokenizer(), f"{folder}/out", f"{folder}/new").awaitTermination()
     assert read_batches(spark, f"{folder}/out").count() == 6
+
+
+def test_a_capped_stream_encodes_each_text_once(spark, folder):
+    add(spark, folder, 0, 30)
+    encoded = spark.sparkContext.accumulator(0)
+
+    def load():
+        def call(texts):
+            encoded.add(len(texts))
+            return [[1, *[b + 3 for b in t.encode()]] for t in texts]
+
+        return call
+
+    spec = SourceSpec("s", path=f"{folder}/in", key_columns=("k",), max_samples=7)
+    stream = scan_stream(spark, spec, SCHEMA)
+    start_prepare(stream, spec, PluggedTokenizer(load), f"{folder}/out", f"{folder}/checkpoint", direct=2).awaitTermination()
+    assert read_batches(spark, f"{folder}/out").count() == 7
+    assert encoded.value == 20
