@@ -27,7 +27,10 @@ from corpusloom.session import new_folder
 from corpusloom.sources.sinks import append_history, owned, read_history, stage
 from corpusloom.spec import MAX_SEQ_LENGTH, MIN_CHARS, MIN_TOKENS_LAZY, SEED, SourceSpec
 
-BATCH_RECORD = "batch long, source string, rows long, rows_so_far long, timestamp timestamp, checkpoint string"
+BATCH_RECORD = (
+    "batch long, source string, rows long, rows_so_far long, timestamp timestamp, checkpoint string, "
+    "scanned long, rejected long"
+)
 
 
 def lazy_rows(
@@ -82,18 +85,30 @@ def _rows_before(spark: SparkSession, out: str, batch_id: int, source: str, chec
     return before
 
 
-def _write_batch(rows: DataFrame, out: str, batch_id: int, source: str, before: int, checkpoint: str) -> None:
+def _write_batch(
+    rows: DataFrame, out: str, batch_id: int, source: str, before: int, checkpoint: str, scanned: int
+) -> None:
     spark, path = rows.sparkSession, f"{out}/rows/{_of(source)}/batch={batch_id}"
     rows.write.mode("overwrite").parquet(path)
     written = spark.read.schema(rows.schema).parquet(path).agg(F.count(F.lit(1)).alias("rows"))
     record = written.select(
         F.lit(batch_id).cast("long").alias("batch"), F.lit(source).alias("source"), "rows",
         (F.col("rows") + before).alias("rows_so_far"), F.current_timestamp().alias("timestamp"),
-        F.lit(checkpoint).alias("checkpoint"),
+        F.lit(checkpoint).alias("checkpoint"), F.lit(scanned).cast("long").alias("scanned"),
+        (F.lit(scanned) - F.col("rows")).cast("long").alias("rejected"),
     )
     append_history(record, history_path(out, source), batch_id)
 
 
+def progress(spark: SparkSession, out: str) -> DataFrame:
+    """Of each source and micro-batch: rows scanned, kept and rejected (by filters or the cap), and kept so far.
+
+    Part of the batch's history row, so a batch that is run again counts once.
+    """
+    history = read_history(spark, f"{out}/history", BATCH_RECORD)
+    return history.select("source", "batch", "scanned", F.col("rows").alias("kept"), "rejected", F.col("rows_so_far").alias("kept_so_far"))
+
+
 def _run(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
@@ -112,7 +127,7 @@ def start_prepare(
         before = _rows_before(batch.sparkSession, out, batch_id, spec.name, checkpoint)
         left = None if cap is None else max(cap - before, 0)
         with owned(batch.sparkSession):
-            _write_batch(lazy_rows(batch, spec, tokenizer, left, **options), out, batch_id, spec.name, before, checkpoint)
+            _write_batch(lazy_rows(batch, spec, tokenizer, left, **options), out, batch_id, spec.name, before, checkpoint, batch.count())
 
     return _run(stream, handle, checkpoint)
 
@@ -126,7 +141,7 @@ def start_shuffle(stream: DataFrame, spec: SourceSpec, out: str, checkpoint: str
             F.lit(spec.name).alias("source"), row_key(keys).alias("row_key"), render_text(rows, spec).alias("text")
         )
         before = _rows_before(batch.sparkSession, out, batch_id, spec.name, checkpoint)
-        _write_batch(global_index(texts, seed).drop(HASH, "row_total"), out, batch_id, spec.name, before, checkpoint)
+        _write_batch(global_index(texts, seed).drop(HASH, "row_total"), out, batch_id, spec.name, before, checkpoint, batch.count())
 
     return _run(stream, handle, checkpoint)
 

@@ -267,4 +267,10 @@ ORACLE = {
       UNION ALL SELECT 'batch', row_key, text FROM (SELECT *, row_number() OVER (ORDER BY user_id, event_id) AS n FROM e)
       WHERE n <= 700 AND length(text) >= 16""",
     "vocabulary_cut": _with("vocab", "SELECT piece, id, n FROM vocab WHERE id < 1503"),
+    "stream_progress": f"""WITH b AS (
+        SELECT (lang <> 'en')::BIGINT AS batch, count(*) AS scanned,
+          count(*) FILTER (WHERE {_long('text')} AND octet_length(encode(text)) + 1 >= 10) AS fit FROM documents GROUP BY 1),
+      k AS (SELECT *, least(sum(fit) OVER (ORDER BY batch), 300)::BIGINT AS kept_so_far FROM b),
+      d AS (SELECT *, (kept_so_far - coalesce(lag(kept_so_far) OVER (ORDER BY batch), 0))::BIGINT AS kept FROM k)
+      SELECT 'documents' AS source, batch, scanned, kept, (scanned - kept)::BIGINT AS rejected, kept_so_far FROM d""",
 }

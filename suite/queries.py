@@ -567,6 +567,17 @@ def stream_resume(spark, sf_dir):
     return written.select("source", "row_key", F.size("input_ids").alias("n_tokens"), F.col("batch").cast("long"))
 
 
+@query
+def stream_progress(spark, sf_dir):
+    documents, out = src.table(spark, sf_dir, "documents"), new_folder(spark, "progress")
+    spec = replace(DOCUMENTS, path=f"{out}/in", max_samples=300)
+    for part in ("lang = 'en'", "lang <> 'en'"):
+        documents.where(part).coalesce(1).write.mode("append").parquet(spec.path)
+        stream = scan_stream(spark, spec, documents.schema)
+        streams.start_prepare(stream, spec, ByteTokenizer(), out, f"{out}/checkpoint").awaitTermination()
+    return streams.progress(spark, out)
+
+
 @query
 def stream_shuffle(spark, sf_dir):
     out = new_folder(spark, "shuffle")

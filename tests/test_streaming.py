@@ -8,7 +8,7 @@ from corpusloom.session import new_folder
 from corpusloom.sources.scan import scan_stream
 from corpusloom.sources.sinks import read_history
 from corpusloom.spec import SourceSpec
-from corpusloom.streaming.prepare import BATCH_RECORD, lazy_rows, read_batches, start_prepare, start_shuffle
+from corpusloom.streaming.prepare import BATCH_RECORD, lazy_rows, progress, read_batches, start_prepare, start_shuffle
 
 SCHEMA = "k long, text string"
 
@@ -122,3 +122,13 @@ def test_a_capped_stream_encodes_each_text_once(spark, folder):
     start_prepare(stream, spec, PluggedTokenizer(load), f"{folder}/out", f"{folder}/checkpoint", direct=2).awaitTermination()
     assert read_batches(spark, f"{folder}/out").count() == 7
     assert encoded.value == 20
+
+
+def test_progress_counts_each_batch_once(spark, folder):
+    add(spark, folder, 0, 30)
+    run(spark, folder, cap=25)
+    add(spark, folder, 30, 45)
+    run(spark, folder, cap=25)
+    run(spark, folder, cap=25)
+    got = sorted(tuple(r) for r in progress(spark, f"{folder}/out").collect())
+    assert got == [("s", 0, 30, 20, 10, 20), ("s", 1, 15, 5, 10, 25)]
