@@ -1,41 +1,44 @@
 """Exact top-k BM25 search with block-max WAND.
 
-The documents are cut into shards of bounded size. Each shard has an inverted index:
-per term the documents that hold it, in order of their ids, in blocks, with the largest
-frequency and the shortest length of every block. From these come upper bounds of a
-block's scores, which hold for any collection statistics. A search moves along the lists
-of a query's terms and skips documents, and whole blocks, whose bounds cannot reach the
-k-th best so far. Document counts and lengths are those of all shards together, so the
-best of the shards' best are exactly the best of all.
+The documents are cut into shards of bounded size, each a row with an inverted index: per
+term the documents that hold it. Documents are numbered by id within a shard, and every
+list is cut at the same document numbers, so a list's block is what it holds in one range
+of documents. With the collection's mean length, which is known when all shards are, every
+block of a list has a largest impact. A search adds up these bounds of a query's lists range
+by range; a range whose sum cannot reach the k-th best so far is passed over, its postings
+are not scored. Live ranges come in the order of their bounds, a few at a time, so that the
+k-th best rises early. A task carries it from shard to shard. Document counts and lengths are
+those of all shards together, so the best of the tasks' best are exactly the best of all.
+
+Queries go to the shards in blocks of at most ``QUERY_ENTRIES`` terms (or one query): a block is
+broadcast, and every shard is read once for it. Postings never go through a shuffle.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import staged, texts, uncollected
+from corpusloom.llm.common import buckets_for, recorded, staged, texts, total_before, uncollected
 
 K1, B = 1.2, 0.75
 TOP = 10
-QUERY_TERMS = 12
-BLOCK = 64
-SHARD_CHARACTERS = 4_000_000
-QUERIES_AT_ONCE = 512
+BLOCK = 32
+FIRST_BLOCKS = 4
+SHARD_CHARACTERS = 16_000_000
+QUERY_ENTRIES = 500_000
 
 WORD = re.compile(r"\w+")
-POSTING = np.dtype([("doc", "<u4"), ("tf", "<u4"), ("length", "<u4")])
-BOUND = np.dtype([("last", "<u4"), ("tf", "<u4"), ("length", "<u4")])
 
-INDEX = "shard long, term string, df long, doc_ids binary, postings binary, bounds binary"
+INDEX = "shard long, words long, doc_ids binary, lengths binary, terms array<string>, df array<int>, docs binary, tfs binary"
 HITS = "query_id long, doc_id long, score double"
 
 
@@ -44,62 +47,30 @@ def terms_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def _binary(values: np.ndarray, starts: np.ndarray) -> pa.Array:
-    """Slices of a structured array, cut at ``starts``, as a binary column."""
-    size = values.dtype.itemsize
-    if len(values) * size >= 1 << 31:
-        return pa.array([values[a:b].tobytes() for a, b in zip(starts, [*starts[1:], len(values)])], pa.binary())
-    offsets = np.append(starts, len(values)).astype(np.int64) * size
-    return pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.astype("<i4")), pa.py_buffer(values.tobytes())])
-
-
 def index_shard(shard: int, docs: list[tuple[int, str]]) -> pa.RecordBatch:
-    """The index of a shard: a row per term; the row with a null term holds the documents' lengths."""
+    """The index of a shard: its documents' ids and lengths, its terms, and their lists one behind the other."""
     docs.sort(key=lambda d: d[0])
     names: dict[str, int] = {}
     numbers, lengths = [], []
     for _, text in docs:
         words = terms_of(text)
         lengths.append(len(words))
-        numbers.extend([names.setdefault(w, len(names)) for w in words])
+        numbers.append(np.array([names.setdefault(w, len(names)) for w in words], np.int64))
     length = np.array(lengths, np.int64)
-    term, doc = np.array(numbers, np.int64), np.repeat(np.arange(len(docs)), length)
-    keys, tf = np.unique(term << 32 | doc, return_counts=True)
-    term, doc = keys >> 32, keys & 0xFFFFFFFF
-    postings = np.empty(len(keys), POSTING)
-    postings["doc"], postings["tf"], postings["length"] = doc, tf, length[doc]
-    starts = np.flatnonzero(np.append(True, term[1:] != term[:-1])) if len(term) else np.zeros(0, np.int64)
-    df = np.diff(np.append(starts, len(keys)))
-    begin = np.flatnonzero((np.arange(len(keys)) - np.repeat(starts, df)) % BLOCK == 0)
-    bounds = np.empty(len(begin), BOUND)
-    if len(begin):
-        bounds["last"] = doc[np.append(begin[1:], len(keys)) - 1]
-        bounds["tf"] = np.maximum.reduceat(tf, begin)
-        bounds["length"] = np.minimum.reduceat(length[doc], begin)
-    ids = np.array([i for i, _ in docs], "<i8")
-    count = len(starts)
-    head = pa.RecordBatch.from_pydict(
+    keys, tf = np.unique(np.concatenate(numbers) << 32 | np.repeat(np.arange(len(docs)), length), return_counts=True)
+    df = np.bincount(keys >> 32, minlength=len(names)).astype("<i4")
+    return pa.RecordBatch.from_pydict(
         {
             "shard": pa.array([shard], pa.int64()),
-            "term": pa.array([None], pa.string()),
-            "df": pa.array([int(length.sum())], pa.int64()),
-            "doc_ids": pa.array([ids.tobytes()], pa.binary()),
-            "postings": pa.array([None], pa.binary()),
-            "bounds": pa.array([None], pa.binary()),
+            "words": pa.array([int(length.sum())], pa.int64()),
+            "doc_ids": pa.array([np.array([i for i, _ in docs], "<i8").tobytes()], pa.binary()),
+            "lengths": pa.array([length.astype("<u4").tobytes()], pa.binary()),
+            "terms": pa.array([list(names)], pa.list_(pa.string())),
+            "df": pa.array([df], pa.list_(pa.int32())),
+            "docs": pa.array([(keys & 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary()),
+            "tfs": pa.array([tf.astype("<u4").tobytes()], pa.binary()),
         }
     )
-    body = pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(count, shard), pa.int64()),
-            pa.array(list(names), pa.string()),
-            pa.array(df, pa.int64()),
-            pa.nulls(count, pa.binary()),
-            _binary(postings, starts),
-            _binary(bounds, np.searchsorted(begin, starts)),
-        ],
-        head.schema,
-    )
-    return pa.Table.from_batches([head, body]).combine_chunks().to_batches()[0] if count else head
 
 
 def build_index(docs: DataFrame) -> DataFrame:
@@ -116,138 +87,200 @@ def build_index(docs: DataFrame) -> DataFrame:
                 held.append((doc_id, text))
                 size += len(text)
         if held:
-            yield index_shard(TaskContext.get().partitionId() << 32 | made, held)
+            with uncollected():
+                yield index_shard(TaskContext.get().partitionId() << 32 | made, held)
 
     rows = docs.where("doc_id is not null").selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
     return staged(rows.mapInArrow(run, INDEX), "bm25-index")
 
 
-def search_lists(lists: list[tuple[float, np.ndarray, np.ndarray]], average: float, k: int, own: set[int]) -> list[tuple[float, int]]:
-    """The best ``k`` (score, document number) of one shard by block-max WAND; equal scores go to smaller numbers.
+def _spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges one behind the other, and the size of each range."""
+    sizes = ends - starts
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes), sizes
 
-    ``lists`` has idf, postings and block bounds of each term; ``own`` documents are passed over.
-    """
 
-    def scores(values: np.ndarray, idf: float) -> list[float]:
-        tf, length = values["tf"].astype(float), values["length"].astype(float)
-        return (idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / average))).tolist()
-
-    docs = [p["doc"].tolist() for _, p, _ in lists]
-    exact = [scores(p, idf) for idf, p, _ in lists]
-    ends = [b["last"].tolist() for _, _, b in lists]
-    limit = [[s * (1 + 1e-12) for s in scores(b, idf)] for idf, _, b in lists]
-    most = [max(x) for x in limit]
-    at, heap, floor = [0] * len(lists), [], -1.0
-
-    def move(i: int, doc: int) -> None:
-        at[i] = bisect_left(docs[i], doc, at[i])
-
-    while True:
-        live = sorted((docs[i][at[i]], i) for i in range(len(lists)) if at[i] < len(docs[i]))
-        total, pivot = 0.0, -1
-        for place, (_, i) in enumerate(live):
-            total += most[i]
-            if total > floor:
-                pivot = place
-                break
-        if pivot < 0:
+class Shard:
+    """A shard's lists with their impacts and the largest impact of every block, at a given mean length."""
+
+    def __init__(self, row: pa.RecordBatch, average: float) -> None:
+        self.doc_ids = np.frombuffer(row.column("doc_ids")[0].as_buffer(), "<i8")
+        self.terms = row.column("terms")[0].values
+        length = np.frombuffer(row.column("lengths")[0].as_buffer(), "<u4")
+        tf = np.frombuffer(row.column("tfs")[0].as_buffer(), "<u4").astype(float)
+        self.docs = np.frombuffer(row.column("docs")[0].as_buffer(), "<u4").astype(np.int64)
+        self.impacts = tf * (K1 + 1) / (tf + (K1 * (1 - B + B * length / average))[self.docs])
+        df = row.column("df")[0].values.to_numpy().astype(np.int64)
+        block = self.docs // BLOCK
+        key = np.repeat(np.arange(len(df)), df) << 32 | block
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        # Block e of a list: postings starts[e] to starts[e + 1]; blocks of term t: first[t] to first[t + 1].
+        self.starts = np.append(begin, len(key))
+        self.block = block[begin]
+        self.most = np.maximum.reduceat(self.impacts, begin) if len(begin) else np.zeros(0)
+        self.first = np.searchsorted(key[begin] >> 32, np.arange(len(df) + 1))
+        self.blocks = -(-len(self.doc_ids) // BLOCK)
+
+
+@dataclass
+class Best:
+    """A query's best so far; equal scores go to smaller ids."""
+
+    k: int
+    scores: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+
+    @property
+    def floor(self) -> float:
+        return self.scores[-1] if len(self.scores) == self.k else 0.0
+
+    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
+        scores, ids = np.append(self.scores, scores), np.append(self.ids, ids)
+        order = np.lexsort((ids, -scores))[: self.k]
+        self.scores, self.ids = scores[order], ids[order]
+
+
+def search_shard(shard: Shard, terms: np.ndarray, idf: np.ndarray, best: Best, own: int | None) -> tuple[int, int]:
+    """Adds a shard's documents to ``best``, but for those with the id ``own``; tells the postings scored and held.
+
+    ``terms`` are the shard's numbers of the query's terms, always in the same order of
+    terms, so that equal documents get equal scores in every shard.
+    """
+    entries, sizes = _spans(shard.first[terms], shard.first[terms + 1])
+    block, weight = shard.block[entries], np.repeat(idf, sizes)
+    begin, end = shard.starts[entries], shard.starts[entries + 1]
+    # A sum of bounds may be rounded below the sum of the scores.
+    bound = np.bincount(block, weight * shard.most[entries], shard.blocks) * (1 + 1e-9)
+    order = np.argsort(-bound, kind="stable")
+    done, step, scored = 0, FIRST_BLOCKS, 0
+    while done < len(order):
+        wave = order[done : done + step]
+        wave = wave[(bound[wave] >= best.floor) & (bound[wave] > 0)]
+        if not len(wave):
             break
-        doc = live[pivot][0]
-        while pivot + 1 < len(live) and live[pivot + 1][0] == doc:
-            pivot += 1
-        near = [i for _, i in live[: pivot + 1]]
-        blocks = [bisect_left(ends[i], doc) for i in near]
-        bound = sum(limit[i][b] for i, b in zip(near, blocks) if b < len(limit[i]))
-        if bound > floor:
-            if live[0][0] == doc:
-                if doc not in own:
-                    score = sum(exact[i][at[i]] for i in sorted(near))
-                    if len(heap) < k:
-                        heapq.heappush(heap, (score, -doc))
-                    elif score > heap[0][0]:
-                        heapq.heapreplace(heap, (score, -doc))
-                    if len(heap) == k:
-                        floor = heap[0][0]
-                for i in near:
-                    at[i] += 1
-            else:
-                for d, i in live:
-                    if d >= doc:
-                        break
-                    move(i, doc)
-        else:  # no document up to the first end of these blocks can enter
-            after = min([ends[i][b] + 1 for i, b in zip(near, blocks) if b < len(ends[i])] + [d for d, _ in live[pivot + 1 : pivot + 2]])
-            for i in near:
-                move(i, max(after, doc + 1))
-    return [(s, -d) for s, d in heap]
+        live = np.zeros(shard.blocks, bool)
+        live[wave] = True
+        chosen = np.flatnonzero(live[block])
+        postings, counts = _spans(begin[chosen], end[chosen])
+        scored += len(postings)
+        score = np.bincount(shard.docs[postings], np.repeat(weight[chosen], counts) * shard.impacts[postings])
+        found = np.flatnonzero((score >= best.floor) & (score > 0))
+        found = found[shard.doc_ids[found] != own] if own is not None else found
+        best.add(score[found], shard.doc_ids[found])
+        done, step = done + step, step * 2
+    return scored, int((end - begin).sum())
+
+
+@dataclass
+class QueryBlock:
+    """Queries with their terms as numbers of a common vocabulary, in the order of the terms."""
+
+    ids: np.ndarray
+    starts: np.ndarray
+    terms: np.ndarray
+    idf: np.ndarray
+    vocabulary: pa.Array
+
+    @classmethod
+    def of(cls, rows: pa.Table) -> QueryBlock:
+        """From rows of query_id and sorted ``terms`` (term, idf)."""
+        rows = rows.sort_by("query_id")
+        lists = rows.column("terms").combine_chunks()
+        flat = lists.flatten()
+        coded = flat.field("term").dictionary_encode()
+        starts = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
+        ids = rows.column("query_id").to_numpy()
+        return cls(ids, starts, coded.indices.to_numpy(), flat.field("idf").to_numpy(), coded.dictionary)
+
+    def search(self, shard: Shard, best: list[Best]) -> tuple[int, int]:
+        """All queries on one shard; tells the postings scored and held."""
+        numbers = pc.fill_null(pc.index_in(self.vocabulary, value_set=shard.terms), -1).to_numpy(zero_copy_only=False)
+        scored = held = 0
+        for n, own in enumerate(self.ids.tolist()):
+            span = slice(self.starts[n], self.starts[n + 1])
+            terms, idf = numbers[self.terms[span]], self.idf[span]
+            known = terms >= 0
+            if known.any():
+                did, has = search_shard(shard, terms[known], idf[known], best[n], own)
+                scored, held = scored + did, held + has
+        return scored, held
 
 
 def query_terms(index: DataFrame, queries: DataFrame, documents: int, limit: int | None) -> DataFrame:
-    """query_id, term and idf: each query's ``limit`` terms of largest tf * idf (all, if None), ties to the smaller term."""
+    """query_id and ``terms`` (term, idf; sorted): each query's ``limit`` terms of largest tf * idf (all, if None), ties to the smaller term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, words = [], []
             for query_id, text in zip(batch.column("query_id").to_pylist(), texts(batch)):
                 found = terms_of(text)
-                ids.extend([query_id] * len(found))
-                words.extend(found)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.string())], ["query_id", "term"])
+                columns = [pa.array([query_id] * len(found), pa.int64()), pa.array(found, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["query_id", "term"])
 
     asked = queries.mapInArrow(run, "query_id long, term string").groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    known = index.where("term is not null").groupBy("term").agg(F.sum("df").alias("df"))
+    known = index.select(F.explode(F.arrays_zip("terms", "df")).alias("t")).groupBy(F.col("t.terms").alias("term")).agg(F.sum("t.df").alias("df"))
     idf = F.log(1 + (F.lit(documents) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     found = asked.join(known, "term").withColumn("idf", idf)
-    if limit is None:
-        return found.select("query_id", "term", "idf")
-    best = Window.partitionBy("query_id").orderBy(F.desc(F.col("tf") * F.col("idf")), "term")  # one query's words
-    return found.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= limit).select("query_id", "term", "idf")
+    if limit is not None:
+        best = Window.partitionBy("query_id").orderBy(F.desc(F.col("tf") * F.col("idf")), "term")  # one query's words
+        found = found.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= limit)
+    # A query's terms are the words of its text, which a task has held already.
+    return found.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", "idf"))).alias("terms"))
+
+
+def in_blocks(wanted: DataFrame, entries: int) -> DataFrame:
+    """Adds ``block``: queries with at most ``entries`` terms together, but for a last one that goes beyond."""
+    sized = wanted.select("query_id", F.size("terms").cast("long").alias("_size"))
+    bucket = F.pmod(F.xxhash64("query_id"), F.lit(buckets_for(sized.count(), 10_000)))
+    placed = total_before(sized.withColumn("_bucket", bucket), "_size", "_bucket", ["query_id"], "_before")
+    return wanted.join(placed.select("query_id", F.floor(F.col("_before") / entries).alias("block")), "query_id")
+
+
+def _search_block(spark: SparkSession, index: DataFrame, block: QueryBlock, average: float, k: int) -> None:
+    """Stages a block's best hits of every task."""
+    sent = spark.sparkContext.broadcast(block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = sent.value
+        best = [Best(k) for _ in asked.ids]
+        for batch in batches:
+            for row in range(batch.num_rows):
+                asked.search(Shard(batch.slice(row, 1), average), best)
+        ids = np.repeat(asked.ids, [len(b.ids) for b in best])
+        if len(ids):
+            columns = [pa.array(ids), pa.array(np.concatenate([b.ids for b in best])), pa.array(np.concatenate([b.scores for b in best]))]
+            yield pa.RecordBatch.from_arrays(columns, ["query_id", "doc_id", "score"])
+
+    lists = index.select("doc_ids", "lengths", "terms", "df", "docs", "tfs")
+    staged(lists.mapInArrow(run, HITS), "bm25-hits")
+    sent.destroy()
 
 
-def search(docs: DataFrame, queries: DataFrame, k: int = TOP, limit: int | None = QUERY_TERMS) -> DataFrame:
+def search(docs: DataFrame, queries: DataFrame, k: int = TOP, limit: int | None = None) -> DataFrame:
     """The exact ``k`` best of ``docs`` (doc_id, text) for each of ``queries`` (query_id, text): query_id, rank, doc_id, score.
 
-    A query is its ``limit`` most telling terms by tf * idf, each once, as in a search
-    for more of the same; None takes all. Its own row (doc_id equal to query_id) is no
-    candidate. Only documents with one of its terms are returned, so there may be fewer
-    than k; ties go to the smaller doc_id. Null ids take no part, null or empty texts
-    match nothing, repeated rows come as often as they stand. Other columns are left aside.
+    A query is all its terms, each once; with ``limit``, only its most telling ones by
+    tf * idf, as in a search for more of the same. Rows with the same query_id are one query, with the words of all
+    of them. Its own row (doc_id equal to query_id) is no candidate. Only documents with one of its terms are returned, so
+    there may be fewer than k; ties go to the smaller doc_id. Null ids take no part, null or empty texts
+    match nothing, repeated rows of ``docs`` come as often as they stand; a text longer than a shard has a shard of its
+    own. No documents or no queries give no rows. Other columns are left aside.
     """
     spark = docs.sparkSession
     index = build_index(docs)
-    heads = index.where("term is null").select("shard", "doc_ids", "df")
-    size, words = heads.agg(F.coalesce(F.sum(F.octet_length("doc_ids") / 8), F.lit(0)), F.coalesce(F.sum("df"), F.lit(0))).first()
-    size, average = int(size), max(1.0, int(words) / max(1, int(size)))
-    if not size:
-        return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
+    size, words = index.agg(F.coalesce(F.sum(F.octet_length("doc_ids")), F.lit(0)) / 8, F.coalesce(F.sum("words"), F.lit(0))).first()
+    average = max(1.0, int(words) / max(1, int(size)))
     asked = queries.where("query_id is not null").selectExpr("cast(query_id as long) query_id", "cast(text as string) text")
-    wanted = staged(query_terms(index, asked, size, limit), "bm25-queries")
-    found = index.where("term is not null").join(wanted, "term")
-    part = F.pmod(F.xxhash64("query_id"), F.lit(max(1, int(wanted.agg(F.approx_count_distinct("query_id")).first()[0]) // QUERIES_AT_ONCE)))
-    found = found.select("shard", part.alias("part"), "query_id", "term", "idf", "postings", "bounds")
-    # The lists of a shard's terms go to the groups that ask for them; each group also gets the shard's ids.
-    groups = found.select("shard", "part").distinct()
-    ids = groups.join(heads.select("shard", "doc_ids"), "shard")
-    ids = ids.select(*(F.col(c).alias(c) for c in ("shard", "part", "doc_ids")))
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = np.frombuffer(right.column("doc_ids")[0].as_py(), "<i8")
-        by_query: dict[int, list] = {}
-        for row in left.sort_by([("query_id", "ascending"), ("term", "ascending")]).to_pylist():
-            lists = (row["idf"], np.frombuffer(row["postings"], POSTING), np.frombuffer(row["bounds"], BOUND))
-            by_query.setdefault(row["query_id"], []).append(lists)
-        hits = []
-        for query, lists in by_query.items():
-            own = set(range(*np.searchsorted(names, [query, query + 1]).tolist()))
-            hits += [(query, int(names[d]), s) for s, d in search_lists(lists, average, k, own)]
-        columns = list(zip(*hits)) or [(), (), ()]
-        return pa.table(
-            {n: pa.array(c, t) for n, c, t in zip(("query_id", "doc_id", "score"), columns, (pa.int64(), pa.int64(), pa.float64()))}
-        )
-
-    hits = found.groupBy("shard", "part").cogroup(ids.groupBy("shard", "part")).applyInArrow(run, HITS)
-    entry = F.struct((-F.col("score")).alias("away"), "doc_id")
-    best = hits.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(entry)), 1, k).alias("best"))
-    return best.select("query_id", F.posexplode("best").alias("place", "hit")).select(
-        "query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("hit.doc_id").alias("doc_id"), (-F.col("hit.away")).alias("score")
-    )
+    wanted = staged(query_terms(index, asked, int(size), limit), "bm25-terms")
+    wanted = staged(in_blocks(wanted, QUERY_ENTRIES), "bm25-queries")
+    blocks = wanted.agg(F.max("block")).first()[0]
+    with recorded() as made:
+        for number in range(0 if blocks is None else blocks + 1):
+            # Of bounded size: QUERY_ENTRIES terms and one query.
+            rows = wanted.where(F.col("block") == number).select("query_id", "terms").toArrow()
+            if rows.num_rows:
+                _search_block(spark, index, QueryBlock.of(rows), average, k)
+    if not made:
+        return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
+    hits = spark.read.schema(HITS).parquet(*made)
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))  # k of every task
+    return hits.select("query_id", rank.cast("int").alias("rank"), "doc_id", "score").where(F.col("rank") <= k)
