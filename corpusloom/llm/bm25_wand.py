@@ -4,10 +4,12 @@ The documents are cut into shards of bounded size, each a row with an inverted i
 term the documents that hold it. Documents are numbered by id within a shard, and every
 list is cut at the same document numbers, so a list's block is what it holds in one range
 of documents. With the collection's mean length, which is known when all shards are, every
-block of a list has a largest impact. A search adds up these bounds of a query's lists range
-by range; a range whose sum cannot reach the k-th best so far is passed over, its postings
-are not scored. Live ranges come in the order of their bounds, a few at a time, so that the
-k-th best rises early. A task carries it from shard to shard. Document counts and lengths are
+list and every block of a list has a largest impact. A search takes a query's lists in the order of these
+bounds, until the lists that are left cannot reach the k-th best so far by themselves; only
+documents on the lists taken are candidates, pivots in the words of the method. A candidate
+goes on while its score so far and the bounds of the blocks that its range has in the other
+lists reach the k-th best, and the few that stay are scored in full from the documents' own
+term lists. A task carries the k-th best from shard to shard. Document counts and lengths are
 those of all shards together, so the best of the tasks' best are exactly the best of all.
 
 Queries go to the shards in blocks of at most ``QUERY_ENTRIES`` terms (or one query): a block is
@@ -31,8 +33,9 @@ from corpusloom.llm.common import buckets_for, recorded, staged, texts, total_be
 
 K1, B = 1.2, 0.75
 TOP = 10
-BLOCK = 32
-FIRST_BLOCKS = 4
+BLOCK = 64
+FIRST_PART = 0.125
+NEXT_PART = 0.75
 SHARD_CHARACTERS = 16_000_000
 QUERY_ENTRIES = 500_000
 
@@ -48,7 +51,7 @@ def terms_of(text: str) -> list[str]:
 
 
 def index_shard(shard: int, docs: list[tuple[int, str]]) -> pa.RecordBatch:
-    """The index of a shard: its documents' ids and lengths, its terms, and their lists one behind the other."""
+    """The index of a shard: its documents' ids and lengths, its terms in order, and their lists one behind the other."""
     docs.sort(key=lambda d: d[0])
     names: dict[str, int] = {}
     numbers, lengths = [], []
@@ -57,7 +60,10 @@ def index_shard(shard: int, docs: list[tuple[int, str]]) -> pa.RecordBatch:
         lengths.append(len(words))
         numbers.append(np.array([names.setdefault(w, len(names)) for w in words], np.int64))
     length = np.array(lengths, np.int64)
-    keys, tf = np.unique(np.concatenate(numbers) << 32 | np.repeat(np.arange(len(docs)), length), return_counts=True)
+    terms = sorted(names)
+    place = np.empty(len(terms), np.int64)
+    place[[names[t] for t in terms]] = np.arange(len(terms))
+    keys, tf = np.unique(place[np.concatenate(numbers)] << 32 | np.repeat(np.arange(len(docs)), length), return_counts=True)
     df = np.bincount(keys >> 32, minlength=len(names)).astype("<i4")
     return pa.RecordBatch.from_pydict(
         {
@@ -65,7 +71,7 @@ def index_shard(shard: int, docs: list[tuple[int, str]]) -> pa.RecordBatch:
             "words": pa.array([int(length.sum())], pa.int64()),
             "doc_ids": pa.array([np.array([i for i, _ in docs], "<i8").tobytes()], pa.binary()),
             "lengths": pa.array([length.astype("<u4").tobytes()], pa.binary()),
-            "terms": pa.array([list(names)], pa.list_(pa.string())),
+            "terms": pa.array([terms], pa.list_(pa.string())),
             "df": pa.array([df], pa.list_(pa.int32())),
             "docs": pa.array([(keys & 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary()),
             "tfs": pa.array([tf.astype("<u4").tobytes()], pa.binary()),
@@ -101,7 +107,7 @@ def _spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Shard:
-    """A shard's lists with their impacts and the largest impact of every block, at a given mean length."""
+    """A shard's lists with their impacts and the largest impact of every list and block, at a given mean length."""
 
     def __init__(self, row: pa.RecordBatch, average: float) -> None:
         self.doc_ids = np.frombuffer(row.column("doc_ids")[0].as_buffer(), "<i8")
@@ -111,15 +117,40 @@ class Shard:
         self.docs = np.frombuffer(row.column("docs")[0].as_buffer(), "<u4").astype(np.int64)
         self.impacts = tf * (K1 + 1) / (tf + (K1 * (1 - B + B * length / average))[self.docs])
         df = row.column("df")[0].values.to_numpy().astype(np.int64)
-        block = self.docs // BLOCK
-        key = np.repeat(np.arange(len(df)), df) << 32 | block
+        term = np.repeat(np.arange(len(df)), df)
+        # Postings of term t: lists[t] to lists[t + 1]; every term has some.
+        self.lists = np.append(0, np.cumsum(df))
+        self.peak = np.maximum.reduceat(self.impacts, self.lists[:-1]) if len(df) else np.zeros(0)
+        key = term << 32 | self.docs // BLOCK
         begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        # Block e of a list: postings starts[e] to starts[e + 1]; blocks of term t: first[t] to first[t + 1].
-        self.starts = np.append(begin, len(key))
-        self.block = block[begin]
+        # Blocks of term t: first[t] to first[t + 1].
+        self.block = self.docs[begin] // BLOCK
         self.most = np.maximum.reduceat(self.impacts, begin) if len(begin) else np.zeros(0)
-        self.first = np.searchsorted(key[begin] >> 32, np.arange(len(df) + 1))
+        self.first = np.searchsorted(term[begin], np.arange(len(df) + 1))
         self.blocks = -(-len(self.doc_ids) // BLOCK)
+        # The documents' own lists: terms in order, from own[d] to own[d + 1].
+        small = len(self.doc_ids) <= 1 << 16
+        turn = np.argsort(self.docs.astype(np.uint16) if small else self.docs, kind="stable")
+        self.own_term, self.own_impact = term[turn], self.impacts[turn]
+        self.own = np.append(0, np.cumsum(np.bincount(self.docs, minlength=len(self.doc_ids))))
+        self.weight = np.zeros(len(df))
+
+    def add(self, partial: np.ndarray, terms: np.ndarray, idf: np.ndarray) -> None:
+        """Adds what these terms give to the score of every document."""
+        postings, sizes = _spans(self.lists[terms], self.lists[terms + 1])
+        if len(postings):
+            partial += np.bincount(self.docs[postings], np.repeat(idf, sizes) * self.impacts[postings], len(partial))
+
+    def bounds(self, terms: np.ndarray, idf: np.ndarray) -> np.ndarray:
+        """The most that these terms can give to a document of every block."""
+        entries, sizes = _spans(self.first[terms], self.first[terms + 1])
+        return np.bincount(self.block[entries], np.repeat(idf, sizes) * self.most[entries], self.blocks)
+
+    def scores(self, docs: np.ndarray) -> np.ndarray:
+        """Whole scores by ``weight``, added up in the order of the terms: equal documents get equal scores anywhere."""
+        postings, sizes = _spans(self.own[docs], self.own[docs + 1])
+        parts = self.weight[self.own_term[postings]] * self.own_impact[postings]
+        return np.bincount(np.repeat(np.arange(len(docs)), sizes), parts, len(docs))
 
 
 @dataclass
@@ -140,35 +171,42 @@ class Best:
         self.scores, self.ids = scores[order], ids[order]
 
 
-def search_shard(shard: Shard, terms: np.ndarray, idf: np.ndarray, best: Best, own: int | None) -> tuple[int, int]:
+def search_shard(shard: Shard, terms: np.ndarray, idf: np.ndarray, best: Best, own: int) -> tuple[int, int]:
     """Adds a shard's documents to ``best``, but for those with the id ``own``; tells the postings scored and held.
 
-    ``terms`` are the shard's numbers of the query's terms, always in the same order of
-    terms, so that equal documents get equal scores in every shard.
+    ``terms`` are the shard's numbers of the query's terms.
     """
-    entries, sizes = _spans(shard.first[terms], shard.first[terms + 1])
-    block, weight = shard.block[entries], np.repeat(idf, sizes)
-    begin, end = shard.starts[entries], shard.starts[entries + 1]
-    # A sum of bounds may be rounded below the sum of the scores.
-    bound = np.bincount(block, weight * shard.most[entries], shard.blocks) * (1 + 1e-9)
-    order = np.argsort(-bound, kind="stable")
-    done, step, scored = 0, FIRST_BLOCKS, 0
-    while done < len(order):
-        wave = order[done : done + step]
-        wave = wave[(bound[wave] >= best.floor) & (bound[wave] > 0)]
-        if not len(wave):
+    shard.weight[terms] = idf
+    order = np.argsort(-idf * shard.peak[terms], kind="stable")
+    terms, idf = terms[order], idf[order]
+    rest = np.append(np.cumsum((idf * shard.peak[terms])[::-1])[::-1], 0.0)  # the most that lists i and later give
+    after = np.append(0, np.cumsum(shard.lists[terms + 1] - shard.lists[terms]))  # postings before list i
+    size, total = len(terms), int(after[-1])
+    others = shard.doc_ids != own
+    upto, least = 0, best.floor * (1 - 1e-9)  # sums in another order are rounded in another way
+    live, partial = np.flatnonzero(others), np.zeros(len(others))
+    while upto < size:
+        # At first the lists without which no document can enter, or a part of the postings; then a part of those left.
+        part = after[upto] + (total - after[upto]) * (NEXT_PART if upto else FIRST_PART)
+        needed = int(np.count_nonzero(rest >= least)) if least and not upto else int(np.searchsorted(after, part))
+        step = min(size, max(upto + 1, needed))
+        shard.add(partial, terms[upto:step], idf[upto:step])
+        upto = step
+        if len(live) > best.k:  # the k-th best so far stands below the k-th best score
+            least = max(least, np.partition(partial[live], -best.k)[-best.k] * (1 - 1e-9))
+        if rest[upto] < least:
+            live = live[partial[live] > 0]
+        if upto < size:
+            live = live[partial[live] + shard.bounds(terms[upto:], idf[upto:])[live // BLOCK] >= least]
+        if int((shard.own[live + 1] - shard.own[live]).sum()) <= total - after[upto]:
             break
-        live = np.zeros(shard.blocks, bool)
-        live[wave] = True
-        chosen = np.flatnonzero(live[block])
-        postings, counts = _spans(begin[chosen], end[chosen])
-        scored += len(postings)
-        score = np.bincount(shard.docs[postings], np.repeat(weight[chosen], counts) * shard.impacts[postings])
-        found = np.flatnonzero((score >= best.floor) & (score > 0))
-        found = found[shard.doc_ids[found] != own] if own is not None else found
-        best.add(score[found], shard.doc_ids[found])
-        done, step = done + step, step * 2
-    return scored, int((end - begin).sum())
+    live = live[(partial[live] >= least) & (partial[live] > 0)] if upto == size else live
+    full = int((shard.own[live + 1] - shard.own[live]).sum())
+    score = shard.scores(live)
+    enough = (score >= best.floor) & (score > 0)
+    best.add(score[enough], shard.doc_ids[live[enough]])
+    shard.weight[terms] = 0.0
+    return int(after[upto]) + full, total
 
 
 @dataclass

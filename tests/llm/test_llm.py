@@ -351,6 +351,51 @@ def test_bm25(spark, empty, limit, monkeypatch):
     assert bm25_wand.search(empty, empty.withColumn("query_id", F.col("doc_id"))).count() == 0
 
 
+def test_bm25_query_equals_plain_search(spark, docs):
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    found = {}
+    for r in queries.QUERIES["op9_bm25_wand"](spark, SF).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.doc_id, r.score))
+    asked = [i for i in texts if i % 50 == 0]
+    assert asked and set(found) <= set(asked)
+    for q in asked:
+        want = plain_search(texts, q, 10, None)
+        got = sorted(found.get(q, []))
+        assert [g[0] for g in got] == list(range(1, len(want) + 1)) and np.allclose([g[2] for g in got], [w[1] for w in want])
+        assert [g[1] for g in got] == [w[0] for w in want]
+
+
+def test_bm25_blocks_ties_and_odd_rows(spark, odd, monkeypatch):
+    monkeypatch.setattr(bm25_wand, "SHARD_CHARACTERS", 100)
+    monkeypatch.setattr(bm25_wand, "QUERY_ENTRIES", 3)
+    asked = [(1000, "same words"), (1000, "here again"), (1001, "monde"), (1002, None), (1003, "\x00"), (None, "same")]
+    found = bm25_wand.search(odd, spark.createDataFrame(asked, "query_id long, text string"), 4).collect()
+    ranked = {q: [r.doc_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] for q in (1000, 1001)}
+    assert ranked[1000] == [16, 16, 17, 9] and ranked[1001] == [21, 22, 23, 24] and {r.query_id for r in found} == {1000, 1001}
+    long = spark.createDataFrame([(1, "word other " * 200_000), (2, "word"), (3, "none")], "doc_id long, text string")
+    found = bm25_wand.search(long, spark.createDataFrame([(9, "word")], "query_id long, text string")).orderBy("rank").collect()
+    assert [r.doc_id for r in found] == [2, 1]
+
+
+def test_bm25_scores_a_part_of_the_postings():
+    draw = random.Random(4)
+    common, rare = [f"c{n}" for n in range(20)], [f"r{n}" for n in range(3_000)]
+    texts = [(i, " ".join(draw.choices(common, k=20) + draw.choices(rare, k=4))) for i in range(5_000)]
+    shard = bm25_wand.Shard(bm25_wand.index_shard(0, list(texts)), 24.0)
+    vocabulary = shard.terms.to_pylist()
+    scored = held = 0
+    for i, text in texts[:20]:
+        words = sorted(set(bm25_wand.terms_of(text)))
+        terms = np.array([vocabulary.index(w) for w in words])
+        df = np.diff(shard.lists)[terms]
+        best = bm25_wand.Best(5)
+        did, has = bm25_wand.search_shard(shard, terms, np.log(1 + (5_000 - df + 0.5) / (df + 0.5)), best, i)
+        scored, held = scored + did, held + has
+        want = plain_search(dict(texts), i, 5, None) if i < 2 else None
+        assert want is None or [w[0] for w in want] == best.ids.tolist()
+    assert scored < 0.5 * held
+
+
 def test_forward_backward_equals_all_paths():
     draw = np.random.default_rng(0)
     scores, moves, first = draw.normal(size=(2, 4, 3)), draw.normal(size=(3, 3)), draw.normal(size=3)
