@@ -35,7 +35,7 @@ K1, B = 1.2, 0.75
 TOP = 10
 BLOCK = 64
 FIRST_PART = 0.125
-NEXT_PART = 0.75
+NEXT_PART = 0.5
 SHARD_CHARACTERS = 16_000_000
 QUERY_ENTRIES = 500_000
 

@@ -377,10 +377,12 @@ def test_bm25_blocks_ties_and_odd_rows(spark, odd, monkeypatch):
     assert [(r.doc_id, round(r.score / math.log(1.6), 2)) for r in found] == [(1, 2.2), (2, 1.69)]
 
 
-def test_bm25_scores_a_part_of_the_postings():
+def test_bm25_passes_over_postings_where_documents_stand_out():
+    # The first twenty texts stand six times: the k-th best is far above texts that share common words only.
     draw = random.Random(4)
     common, rare = [f"c{n}" for n in range(20)], [f"r{n}" for n in range(3_000)]
     texts = [(i, " ".join(draw.choices(common, k=20) + draw.choices(rare, k=4))) for i in range(5_000)]
+    texts = [(i, texts[i % 20][1] if i < 120 else text) for i, text in texts]
     shard = bm25_wand.Shard(bm25_wand.index_shard(0, list(texts)), 24.0)
     vocabulary = shard.terms.to_pylist()
     scored = held = 0
