@@ -61,24 +61,43 @@ def batch_rows(
     seed: int = SEED,
     drop_last: bool = True,
     mask_by_position: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Padded batches of a fixed size, straight from text rows.
 
     Two exchanges: one to number the rows, one to bring each batch together. Both
     move texts if the tokenizer can count without encoding. Otherwise the token rows
-    are staged, because numbering reads its input twice.
+    are staged, because numbering reads its input twice. The second one has as many
+    partitions as the rows' texts need (``measured_width``), or ``partitions``.
     """
+    width = partitions or measured_width(text_rows)
     if tokenizer.counts_cheaply:
         texts = enough_tokens(text_rows, tokenizer, max_length=max_length, min_tokens=min_tokens)
-        placed = assign_batches(texts, batch_size, seed, drop_last).repartition("batch_id")
+        placed = assign_batches(texts, batch_size, seed, drop_last).repartition(width, "batch_id")
         tokens = encode(placed, tokenizer, max_length=max_length)
     else:
         tokens = tokenize(text_rows, tokenizer, max_length=max_length, min_tokens=min_tokens)
         tokens = stage(tokens, new_folder(tokens.sparkSession, "tokens"), "rows")
-        tokens = assign_batches(tokens, batch_size, seed, drop_last)
+        tokens = assign_batches(tokens, batch_size, seed, drop_last).repartition(width, "batch_id")
     return collate(tokens, tokenizer.special.pad, mask_by_position)
 
 
+def kept_size(text_rows: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of text, after all filters and caps, from one pass without an exchange of rows."""
+    size = text_rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
+    return size[0], size[1]
+
+
+def width_of(spark: SparkSession, size: int) -> int:
+    """Partitions of about 256 MB of text; at least ``spark.sql.shuffle.partitions``."""
+    return max(math.ceil(size / PARTITION_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def measured_width(text_rows: DataFrame) -> int:
+    """How many partitions the kept texts need, wherever the rows come from."""
+    return width_of(text_rows.sparkSession, kept_size(text_rows)[1])
+
+
 def shuffle_width(spark: SparkSession, specs: Iterable[SourceSpec]) -> int:
     """Partitions of about 256 MB for the shuffle, from the size of the source files.
 
@@ -96,6 +115,7 @@ def prepare(
     tables: Mapping[str, DataFrame] | None = None,
     tolerant: bool = False,
     partitions: int | None = None,
+    measured: bool = True,
     **options: object,
 ) -> DataFrame:
     """Build the corpus, prepare it and write it to ``path``; returns the written table.
@@ -103,6 +123,10 @@ def prepare(
     ``tolerant`` leaves out sources that cannot be opened, rendered or read to their end,
     each written apart first; otherwise these are errors. ``prepare_summary`` tells what was
     written, left out and cut. The corpus is a new version of ``path`` (``write_corpus``).
+
+    The width of the shuffle follows the kept rows, counted in a pass of their own, so it is the
+    same for sources given as ``tables``. Not ``measured``, it follows the source files without
+    a pass; tables and strong filters are then sized wrong. ``partitions`` overrides both.
     """
     specs = list(specs)
     with owned(spark):
@@ -112,8 +136,15 @@ def prepare(
             corpus = collect_sources(spark, specs, folder, tables)
         else:
             corpus = build_corpus(spark, specs, tables)
-        width = partitions or shuffle_width(spark, specs)
-        written = write_corpus(prepare_rows(corpus.require_rows(), tokenizer, partitions=width, **options), path)
+        if partitions or not measured:
+            rows, width = corpus.require_rows(), partitions or shuffle_width(spark, specs)
+        else:
+            rows = corpus.rows
+            count, size = kept_size(rows)
+            if not count:
+                raise ValueError("no source gave any rows")
+            width = width_of(spark, size)
+        written = write_corpus(prepare_rows(rows, tokenizer, partitions=width, **options), path)
     told = [(s.name, corpus.failed.get(s.name), corpus.capped.get(s.name)) for s in specs]
     listed = spark.createDataFrame(told, "source string, error string, cap long")
     # One row per catalog source on either side.

@@ -235,6 +235,44 @@ def test_shuffle_width_follows_the_files(spark, good, monkeypatch, tmp_path):
     assert plan.shuffle_width(spark, [good]) >= 30
 
 
+def test_widths_follow_the_kept_rows(spark, good, monkeypatch):
+    rows = spark.range(4_000).select("id", F.concat(F.lit(TEXT), F.col("id").cast("string")).alias("text"))
+    folder = new_folder(spark, "stored")
+    rows.write.parquet(folder)
+    monkeypatch.setattr(plan, "PARTITION_BYTES", 5_000)
+    widths = []
+    monkeypatch.setattr(plan, "prepare_rows", lambda *a, partitions, **o: widths.append(partitions) or prepare_rows(*a, partitions=partitions, **o))
+    stored = SourceSpec("stored", path=folder, key_columns=("id",))
+    half = SourceSpec("half", key_columns=("id",), max_samples=2_000)
+    prepare(spark, [stored], ByteTokenizer(), new_folder(spark, "corpus"))
+    prepare(spark, [stored], ByteTokenizer(), new_folder(spark, "corpus"), {"stored": rows})
+    prepare(spark, [half], ByteTokenizer(), new_folder(spark, "corpus"), {"half": rows})
+    size = rows.agg(F.sum(F.octet_length(F.trim("text")))).first()[0]
+    assert widths[0] == widths[1] == -(-size // 5_000) > 2 * 8
+    assert abs(widths[2] - widths[0] / 2) <= 1
+    prepare(spark, [stored], ByteTokenizer(), new_folder(spark, "corpus"), measured=False)
+    assert widths[3] == plan.shuffle_width(spark, [stored])
+    with pytest.raises(ValueError, match="no source gave any rows"):
+        prepare(spark, [half], ByteTokenizer(), new_folder(spark, "corpus"), {"half": rows.where("id < 0")})
+
+
+@pytest.mark.parametrize("plugged", [False, True])
+def test_batches_are_sized_by_their_rows(spark, good, monkeypatch, plugged):
+    tokenizer = PluggedTokenizer(lambda: lambda texts: [[*text.encode()] for text in texts]) if plugged else ByteTokenizer()
+    widths = {}
+    for count in (400, 4_000):
+        rows = spark.range(count).select("id", F.concat(F.lit(TEXT), F.col("id").cast("string")).alias("text"))
+        corpus = build_corpus(spark, [good], {"good": rows}).rows
+        monkeypatch.setattr(plan, "PARTITION_BYTES", 2_000)
+        batches = plan.batch_rows(corpus, tokenizer, 50, min_tokens=1)
+        assert batches.groupBy("batch_id").count().where("count != 50").isEmpty() and batches.count() == count
+        widths[count] = plan.measured_width(corpus)
+        exchange = "hashpartitioning(batch_id#"
+        text = batches._jdf.queryExecution().executedPlan().toString()
+        assert text.count(exchange) == 1 and f", {widths[count]})" in text.split(exchange)[1].split("\n")[0]
+    assert widths[4_000] > 5 * widths[400]
+
+
 def test_plugged_tokens_keep_the_shuffled_order(spark, good):
     rows = spark.range(200).select("id", F.concat(F.lit(TEXT), F.col("id").cast("string")).alias("text"))
 
