@@ -11,6 +11,7 @@ import logging
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
+from fnmatch import translate
 from hashlib import sha256
 from time import sleep
 from urllib.parse import unquote
@@ -23,6 +24,8 @@ from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
+# The largest file that Spark reads as one value.
+MAX_FILE = (1 << 31) - 1
 CORPUS_MANIFEST = "sequence long, folder string, columns string"
 MANIFEST = "version string, attempts int, success boolean, error string, sequence long, folder string"
 
@@ -192,6 +195,27 @@ def publish_snapshot(
     return success
 
 
+def folder_rows(spark: SparkSession, folder: str, exclude: Sequence[str] = ()) -> DataFrame:
+    """The files below ``folder`` as rows of file (path inside the folder), length, sha256 and content.
+
+    ``exclude`` has shell patterns; a file whose name or path inside the folder matches one is not even read.
+    Passed to ``publish_snapshot``, the rows are a snapshot of the folder, copied by tasks, with digests to check it
+    by. Files whose names begin with ``_`` or ``.`` are hidden and left out, as Spark leaves them out anywhere;
+    so are files without a byte. A file of 2 GB or more does not fit a row and is an error before anything is copied.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    root = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    files = files.withColumn("file", F.substring("path", len(root) + 2, 1 << 30))
+    for pattern in exclude:
+        form = "^" + translate(pattern)
+        files = files.where(~F.col("file").rlike(form) & ~F.element_at(F.split("file", "/"), -1).rlike(form))
+    largest = files.agg(F.max(F.struct("length", "file"))).first()[0]
+    if largest is not None and largest.length > MAX_FILE:
+        raise ValueError(f"{largest.file} has {largest.length} bytes, more than a row can hold")
+    return files.select("file", "length", F.sha2("content", 256).alias("sha256"), "content")
+
+
 def read_snapshot(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
     """A published version as it was last published; by default the version published last."""
     done = read_history(spark, f"{root}/manifest", MANIFEST).where("success")

@@ -151,6 +151,7 @@ ORACLE = {
       FROM (SELECT *, md5('42|' || source || '|' || row_key) AS h FROM corpus) WHERE octet_length(encode(text)) + 1 >= 32"""),
     "run_history_append": _with("runs", """SELECT step, step / 1000 AS epoch, loss, "timestamp", 'base' AS model_name,
       1000000000::BIGINT AS num_params, CASE WHEN success THEN 'good' ELSE 'bad' END AS entry FROM runs"""),
+    "snapshot_folder": "SELECT c_mktsegment, CAST(c_custkey AS BIGINT) AS c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING'",
     "snapshot_publish": "SELECT doc_id, text, lang, source FROM documents",
     "render_dispatch": _with("dispatch", "SELECT source, row_key, text FROM dispatch"),
     "render_chat": _with("chat", "SELECT conv_id, text FROM chat"),

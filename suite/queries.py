@@ -204,6 +204,19 @@ def snapshot_publish(spark, sf_dir):
 # Rendering
 
 
+@query
+def snapshot_folder(spark, sf_dir):
+    folder, root = new_folder(spark, "checkpoint"), new_folder(spark, "snapshots")
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    lines = customers.select("c_mktsegment", F.col("c_custkey").cast("string"))
+    lines.write.partitionBy("c_mktsegment").text(folder)
+    sinks.publish_snapshot(sinks.folder_rows(spark, folder, exclude=["c_mktsegment=BUILDING/*"]), root, "step-1")
+    files = sinks.read_snapshot(spark, root).where("length = octet_length(content) AND sha256 = sha2(content, 256)")
+    keys = F.split(F.rtrim(F.col("content").cast("string"), F.lit("\n")), "\n").cast("array<long>")
+    segment = F.regexp_extract("file", "c_mktsegment=([^/]*)/", 1).alias("c_mktsegment")
+    return files.select(segment, F.explode(keys).alias("c_custkey"))
+
+
 @query
 def render_dispatch(spark, sf_dir):
     tables = src.tables(spark, sf_dir)

@@ -190,6 +190,27 @@ def test_publish_excludes_and_retries(spark, monkeypatch):
     assert sinks.read_snapshot(spark, root).count() == 5 and sinks.read_snapshot(spark, root, "step-9000").count() == 4
 
 
+def test_folder_snapshot_leaves_out_files(spark, tmp_path, monkeypatch):
+    from hashlib import sha256
+
+    folder, held = tmp_path / "step 10", {"model.bin": b"\x00\xff" * 9, "part/a.txt": b"a", "part/optimizer.txt": b"x"}
+    left = {"part/empty.txt": b"", "optimizer.pt": b"o", "scheduler.pt": b"s", "part/rng_state_3.pth": b"r"}
+    for name, content in {**held, **left}.items():
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_bytes(content)
+    root, exclude = new_folder(spark, "snapshots"), ["optimizer.pt", "scheduler.pt", "rng_state*.pth"]
+    rows = sinks.folder_rows(spark, str(folder), exclude)
+    assert sinks.publish_snapshot(rows, root, "step-10")
+    got = {r.file: r for r in sinks.read_snapshot(spark, root, "step-10").collect()}
+    assert {f: bytes(r.content) for f, r in got.items()} == held
+    assert all(r.length == len(held[f]) and r.sha256 == sha256(held[f]).hexdigest() for f, r in got.items())
+    assert sinks.folder_rows(spark, str(folder), ["*"]).count() == 0
+    assert {r.file for r in sinks.folder_rows(spark, str(folder) + "/", ["part/*"]).collect()} == {"model.bin", "optimizer.pt", "scheduler.pt"}
+    monkeypatch.setattr(sinks, "MAX_FILE", 10)
+    with pytest.raises(ValueError, match="model.bin has 18 bytes"):
+        sinks.folder_rows(spark, str(folder))
+
+
 def test_row_keys_tell_keys_apart(spark):
     pairs = [("a:b", "c"), ("a", "b:c"), (None, "x"), ("None", "x"), ("\\N", "x"), ("a\\", ":x"), ("a", "\\:x")]
     keys = spark.createDataFrame(pairs, "p string, q string").select(row_key(("p", "q")).alias("k"))
