@@ -545,7 +545,8 @@ def lm_collate(spark, sf_dir):
 
 
 def _document_stream(spark: SparkSession, sf_dir: str, spec: SourceSpec) -> DataFrame:
-    spec = replace(spec, path=sf_dir, reader_options={"pathGlobFilter": "documents.parquet"})
+    # A pattern: the table may be one file or a folder of files, and a stream takes no single file by its name.
+    spec = replace(spec, path=f"{sf_dir}/documents.parque[t]")
     return scan_stream(spark, spec, src.table(spark, sf_dir, "documents").schema)
 
 

@@ -9,6 +9,7 @@ from corpusloom.sources.scan import scan_stream
 from corpusloom.sources.sinks import read_history
 from corpusloom.spec import SourceSpec
 from corpusloom.streaming.prepare import BATCH_RECORD, lazy_rows, progress, read_batches, start_prepare, start_shuffle
+from suite import queries
 
 SCHEMA = "k long, text string"
 
@@ -132,3 +133,18 @@ def test_progress_counts_each_batch_once(spark, folder):
     run(spark, folder, cap=25)
     got = sorted(tuple(r) for r in progress(spark, f"{folder}/out").collect())
     assert got == [("s", 0, 30, 20, 10, 20), ("s", 1, 15, 5, 10, 25)]
+
+
+def documents(spark, tmp_path, files):
+    """A documents table of so many files: 12 documents, every third in German."""
+    lang = F.when(F.col("id") % 3 == 0, "de").otherwise("en").alias("lang")
+    text = F.concat(F.lit("a text that is long enough, number "), F.col("id").cast("string")).alias("text")
+    rows = spark.range(0, 12, 1, files).select(F.col("id").alias("doc_id"), text, lang, F.lit("web").alias("source"), F.lit(36).cast("long").alias("n_chars"))
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name,expected", [("stream_prepare", 8), ("stream_shuffle", 12), ("stream_two_sources", 12)])
+def test_queries_stream_tables_of_several_files(spark, tmp_path, name, expected):
+    got = queries.REGISTRY[name](spark, documents(spark, tmp_path, 3))
+    assert got.count() == expected == got.select("row_key").distinct().count()
