@@ -574,7 +574,7 @@ def stream_resume(spark, sf_dir):
     documents, out = src.table(spark, sf_dir, "documents"), new_folder(spark, "resume")
     spec = replace(DOCUMENTS, path=f"{out}/in")
     for part in ("lang = 'en'", "lang <> 'en'"):
-        documents.where(part).coalesce(1).write.mode("append").parquet(spec.path)
+        documents.where(part).write.mode("append").parquet(spec.path)
         stream = scan_stream(spark, spec, documents.schema)
         streams.start_prepare(stream, spec, ByteTokenizer(), out, f"{out}/checkpoint").awaitTermination()
     written = streams.read_batches(spark, out)
@@ -586,7 +586,7 @@ def stream_progress(spark, sf_dir):
     documents, out = src.table(spark, sf_dir, "documents"), new_folder(spark, "progress")
     spec = replace(DOCUMENTS, path=f"{out}/in", max_samples=300)
     for part in ("lang = 'en'", "lang <> 'en'"):
-        documents.where(part).coalesce(1).write.mode("append").parquet(spec.path)
+        documents.where(part).write.mode("append").parquet(spec.path)
         stream = scan_stream(spark, spec, documents.schema)
         streams.start_prepare(stream, spec, ByteTokenizer(), out, f"{out}/checkpoint").awaitTermination()
     return streams.progress(spark, out)

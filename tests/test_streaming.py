@@ -148,3 +148,11 @@ def documents(spark, tmp_path, files):
 def test_queries_stream_tables_of_several_files(spark, tmp_path, name, expected):
     got = queries.REGISTRY[name](spark, documents(spark, tmp_path, 3))
     assert got.count() == expected == got.select("row_key").distinct().count()
+
+
+@pytest.mark.parametrize("name", ["stream_resume", "stream_progress"])
+def test_queries_write_their_input_in_several_tasks(spark, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(queries, "new_folder", lambda session, kind: f"{tmp_path}/{kind}")
+    got = queries.REGISTRY[name](spark, documents(spark, tmp_path, 3))
+    assert {r["n"] for r in got.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).collect()} == ({8, 4} if name == "stream_resume" else {1})
+    assert len(list(tmp_path.glob(f"{name.removeprefix('stream_')}/in/*.parquet"))) == 6
