@@ -38,23 +38,33 @@ def py_float(value: Column) -> Column:
     beyond 1e17, whose last digit differs from Python's; the spelling still reads back as the same number.
     """
     value = value.cast("double")
+    size, spelled = F.abs(value), value.cast("string")
+    # The JVM may give a digit or two more than needed, but not where 15 digits (and a point) tell the number apart.
+    width = F.length(F.substring_index(spelled, "E", 1))
+    few = width <= 16
     tries = [F.format_string(f"%.{digits}e", value) for digits in (14, 15, 16)]
-    fits = [t.cast("double") == value for t in tries]
-    shown = F.when(fits[0], tries[0]).when(fits[1], tries[1]).otherwise(tries[2])
-    digits = F.rtrim(F.replace(F.regexp_extract(shown, r"^-?(\d\.\d+)e", 1), F.lit(".")), F.lit("0"))
-    digits = F.when(digits == "", F.lit("0")).otherwise(digits)
-    exponent = F.regexp_extract(shown, r"e([+-]\d+)$", 1).cast("int")
-    size = F.length(digits)
-    before = F.rpad(F.left(digits, exponent + 1), exponent + 1, F.lit("0"))
-    after = F.when(size > exponent + 1, F.substring(digits, exponent + 2, size)).otherwise(F.lit("0"))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    tail = F.when(size > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), size))).otherwise(F.lit(""))
-    power = F.concat(F.when(exponent < 0, F.lit("-")).otherwise(F.lit("+")), F.format_string("%02d", F.abs(exponent)))
-    plain = F.when((exponent >= 16) | (exponent < -4), F.concat(F.left(digits, F.lit(1)), tail, F.lit("e"), power))
-    plain = plain.when(exponent < 0, small).otherwise(F.concat(before, F.lit("."), after))
-    number = F.concat(F.when(F.startswith(shown, F.lit("-")), F.lit("-")).otherwise(F.lit("")), plain)
-    odd = F.when(F.isnan(value), F.lit("nan")).when(value == float("inf"), F.lit("inf"))
-    return F.when(value.isNotNull(), odd.when(value == float("-inf"), F.lit("-inf")).otherwise(number))
+    shown = F.when(few | value.isNull(), spelled)
+    for tried in tries[:2]:
+        shown = shown.when(tried.cast("double") == value, tried)
+    shown = shown.when(width <= 18, spelled).otherwise(tries[2])
+
+    def finish(shown: Column) -> Column:
+        # 17 digits before the point and 21 behind it hold every number that is spelled plainly.
+        plain = F.regexp_replace(shown.cast("decimal(38,21)").cast("string"), r"(\.\d+?)0*$", "$1")
+        power = F.regexp_replace(F.regexp_replace(shown, r"\.?0*[Ee]", "e"), r"e(\d)", "e+$1")
+        power = F.regexp_replace(power, r"e-(\d)$", "e-0$1")
+        return (
+            F.when(F.isnan(value), F.lit("nan"))
+            .when(value == float("inf"), F.lit("inf"))
+            .when(value == float("-inf"), F.lit("-inf"))
+            .when((size >= 1e-4) & (size < 1e16), plain)
+            .otherwise(power)
+        )
+
+    # The JVM and Python agree on most numbers, and nothing is worked out for them. The rest goes through an array of
+    # one, so that its digits are found once; written out, the code grows too large for the JVM to compile.
+    same = few & (((size >= 1e-3) & (size < 1e7)) | (size == 0))
+    return F.when(same, spelled).otherwise(F.get(F.transform(F.array(shown), finish), F.lit(0)))
 
 
 def py_str(value: Column, dtype: T.DataType) -> Column:

@@ -1,5 +1,7 @@
 """Golden rows: each input with its whole expected text."""
 
+from time import monotonic
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +131,17 @@ def test_last_split_is_rsplit(spark):
         assert [r.l, r.r] == r.text.rsplit("####", 1)
 
 
+
+
+def test_numbers_are_spelled_quickly(spark):
+    """A hundred thousand numbers of all magnitudes, in some seconds; 17 and 18 digits of the JVM are cut to what is needed."""
+    odd = [0.0, -0.0, 2.0**-44, 1e16, 9999999999999998.0, 1e-4, 9.999999999999999e-05, 1e7, 9999999.999999998, 5e-05, 1e22, 123456789.0,
+           float("inf"), float("-inf"), 1.7976931348623157e308, -1.6210920517178982e18, 0.1 + 0.2, 1.7835440000000002e-05]
+    rows = spark.createDataFrame([(v, repr(v)) for v in odd], "text double, wanted string")
+    got = rows.select("text", "wanted", render_text(rows, SourceSpec("s")).alias("t")).collect()
+    assert [r.t for r in got] == [r.wanted for r in got]
+    many = spark.range(0, 800_000, 1, 8).select((F.pow(F.lit(10.0), F.col("id") % 30 - 9) * (F.col("id") + 0.37)).alias("text"))
+    rendered = many.select(render_text(many, SourceSpec("s")).alias("t"))
+    began = monotonic()
+    assert rendered.where("t = 'None' OR t = '' OR cast(t AS double) IS NULL").isEmpty()
+    assert monotonic() - began < 20
