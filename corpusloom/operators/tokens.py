@@ -34,6 +34,8 @@ SLOTS = 1 << 16
 # Longer pieces are looked up by digest, which bounds the size of the id table.
 LONG_PIECE_BYTES = 64
 ID_TABLE = "_id_table"
+# A plugged tokenizer gets texts of about so many characters at once: the ids of a text take many times its room.
+ENCODED_CHARS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -178,12 +180,25 @@ class VocabTokenizer(Tokenizer):
         return F.least(F.regexp_count(text, F.lit(PIECE_PATTERN)) + F.lit(1), F.lit(max_length))
 
 
+def _by_size(texts: list[str]) -> Iterator[list[str]]:
+    """``texts`` in order, in lists of about ``ENCODED_CHARS`` together; a longer text comes alone."""
+    first, held = 0, 0
+    for at, text in enumerate(texts):
+        if at > first and held + len(text or "") > ENCODED_CHARS:
+            yield texts[first:at]
+            first, held = at, 0
+        held += len(text or "")
+    if first < len(texts) or not texts:
+        yield texts[first:]
+
+
 @dataclass(frozen=True)
 class PluggedTokenizer(Tokenizer):
     """Any callable ``list[str] -> list[list[int]]``.
 
     ``load`` runs once per worker process and returns the callable, so a model file
-    is opened there and not shipped with every task.
+    is opened there and not shipped with every task. It is called with a part of an
+    Arrow batch at a time (``ENCODED_CHARS``); the ids of one part are held at once.
     """
 
     load: Callable[[], Callable[[Sequence[str]], Sequence[Sequence[int]]]]
@@ -196,7 +211,8 @@ class PluggedTokenizer(Tokenizer):
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             call = load()
             for texts in batches:
-                yield pd.Series([list(ids)[:max_length] for ids in call(texts.tolist())], dtype=object)
+                for part in _by_size(texts.tolist()):
+                    yield pd.Series([list(ids)[:max_length] for ids in call(part)], dtype=object)
 
         # Not because its result varies: the optimizer must not copy the call into filters on its result.
         return encode.asNondeterministic()(text)

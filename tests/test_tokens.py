@@ -134,3 +134,20 @@ def test_map_batches(rows):
 
     got = map_batches(rows, twice, "twice int")
     assert sorted(r.twice for r in got.collect()) == [6, 8, 10, 12, 14]
+
+
+def test_a_plugged_tokenizer_holds_few_ids_at_once(spark):
+    def load():
+        def call(texts):
+            assert len(texts) == 1 or sum(map(len, texts)) <= 1 << 18
+            return [[len(t), *t.encode()] for t in texts]
+
+        return call
+
+    text = F.expr("repeat(chr(97 + id % 26), cast(id % 400 * 10 as int))")
+    rows = spark.range(0, 3_000, 1, 1).select(F.lit("s").alias("source"), F.col("id").cast("string").alias("row_key"), text.alias("text"))
+    got = tokenize(rows, PluggedTokenizer(load), min_tokens=0).collect()
+    assert len(got) == 3_000
+    for r in got:
+        n = int(r.row_key) % 400 * 10
+        assert r.input_ids == [n, *[97 + int(r.row_key) % 26] * n][:2048]
