@@ -2,10 +2,11 @@
 
 The patterns give the base findings, which always stay. Every other run of key-like
 characters with a digit in it is a candidate; a small network reads its characters and
-those around it. It is trained on labelled findings: candidates of a bounded sample of
-the documents, labelled by the patterns, and generated keys and harmless look-alikes.
-Its outputs are calibrated on a part kept aside, and the threshold is the highest at
-which the asked share of the labelled secrets there is still found.
+those around it. It is trained on labelled findings: all different candidates of the
+documents, labelled by the patterns, and generated keys and harmless look-alikes. Shards
+of the findings are learned from at once, and the weights averaged after each epoch. Its
+outputs are calibrated on a quarter of all findings kept aside, and the threshold is the
+highest at which the asked share of the labelled secrets there is still found.
 """
 
 from __future__ import annotations
@@ -13,15 +14,17 @@ from __future__ import annotations
 import random
 import re
 import string
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import free_name, let_go, staged, texts
+from corpusloom.operators.cutoff import nth_key
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(
@@ -40,8 +43,8 @@ RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 # The window that the network reads: context, head and tail of the candidate, context.
 BEFORE, HEAD, TAIL, AFTER = 24, 32, 12, 8
 PLACES = BEFORE + HEAD + TAIL + AFTER
-# Bounds of training: labelled candidates taken from the documents, and generated ones.
-SAMPLE = 2_000
+# Findings that one task learns from, about; generated findings, which every shard sees besides.
+SHARD = 8_192
 GENERATED = 3_000
 RECALL = 0.98
 LEAST_PROBABILITY = 0.5
@@ -118,6 +121,10 @@ class Network:
     shift: float = 0.0
     threshold: float = LEAST_PROBABILITY
 
+    @property
+    def weights(self) -> list[np.ndarray]:
+        return [self.embed, self.filters, self.bias, self.out, self.out_bias]
+
     def _slices(self, codes: np.ndarray) -> np.ndarray:
         """Embedded characters, WIDTH at a time: (windows, places, WIDTH * EMBED)."""
         given = self.embed[codes]
@@ -141,20 +148,26 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(codes) + self.shift, -40, 40)))
 
 
-def _fit(codes: np.ndarray, labels: np.ndarray, seed: int) -> Network:
-    """Trains the convolution with Adam on logistic loss."""
-    draw = np.random.default_rng(seed)
-    net = Network(
+def _start(draw: np.random.Generator) -> Network:
+    return Network(
         draw.normal(0, 0.3, (CODES, EMBED)),
         draw.normal(0, 0.2, (WIDTH * EMBED, FILTERS)),
         np.zeros(FILTERS),
         draw.normal(0, 0.2, 2 * FILTERS),
         np.zeros(1),
     )
-    held = [net.embed, net.filters, net.bias, net.out, net.out_bias]
-    means, squares, step = [np.zeros_like(h) for h in held], [np.zeros_like(h) for h in held], 0
+
+
+def _learn(
+    net: Network, codes: np.ndarray, labels: np.ndarray, draw: np.random.Generator, epochs: int,
+    moments: list[np.ndarray] | None = None, step: int = 0,
+) -> Network:
+    """Trains the convolution with Adam on logistic loss, in place; ``moments`` go on from ``step``."""
+    held = net.weights
+    moments = moments or [np.zeros_like(h) for h in [*held, *held]]
+    means, squares = moments[: len(held)], moments[len(held) :]
     width = PLACES - WIDTH + 1
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         order = draw.permutation(len(codes))
         for at in range(0, len(order), BATCH):
             part = order[at : at + BATCH]
@@ -188,18 +201,58 @@ def _fit(codes: np.ndarray, labels: np.ndarray, seed: int) -> Network:
     return net
 
 
-def _calibrate(net: Network, codes: np.ndarray, labels: np.ndarray, recall: float) -> Network:
-    """Fits scale and shift of the logits by Newton steps, then sets the recall-constrained threshold."""
-    logit = net.logits(codes)
-    aims = np.where(labels > 0, (labels.sum() + 1) / (labels.sum() + 2), 1 / ((1 - labels).sum() + 2))
+Sums = Callable[[float, float], np.ndarray]
+
+
+def _steps(logit: np.ndarray, labels: np.ndarray, aims: tuple[float, float]) -> Sums:
+    """Sums over calibration rows, given scale and shift: errors, errors by logit, bends, by logit, by its square."""
+    aim = np.where(labels > 0, aims[1], aims[0])
+
+    def sums(scale: float, shift: float) -> np.ndarray:
+        p = 1 / (1 + np.exp(-np.clip(scale * logit + shift, -40, 40)))
+        bend = p * (1 - p) + 1e-9
+        return np.array([(p - aim).sum(), (logit * (p - aim)).sum(), bend.sum(), (logit * bend).sum(), (logit**2 * bend).sum()])
+
+    return sums
+
+
+def _steps_of_rows(rows: DataFrame, aims: tuple[float, float]) -> Sums:
+    """The same over a table of logit and label; five numbers come back."""
+
+    def sums(scale: float, shift: float) -> np.ndarray:
+        z, top = F.lit(scale) * F.col("logit") + F.lit(shift), F.lit(40.0)
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(z, top), -top)))
+        error = p - F.when(F.col("label") > 0, F.lit(aims[1])).otherwise(F.lit(aims[0]))
+        terms = rows.select("logit", error.alias("e"), (p * (1 - p) + 1e-9).alias("b"))
+        found = terms.agg(*[F.sum(F.expr(t)) for t in ("e", "logit * e", "b", "logit * b", "logit * logit * b")]).first()
+        return np.array([v or 0.0 for v in found])
+
+    return sums
+
+
+def _aims(secrets: int, harmless: int) -> tuple[float, float]:
+    """What harmless findings and secrets should come to (Platt)."""
+    return 1 / (harmless + 2), (secrets + 1) / (secrets + 2)
+
+
+def _scale(net: Network, parts: Sequence[Sums]) -> None:
+    """Fits scale and shift of the logits by Newton steps, held short: sure logits bend too little to be followed far."""
     value = np.array([1.0, 0.0])
-    given = np.stack([logit, np.ones_like(logit)], axis=1)
-    for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(given @ value, -40, 40)))
-        slope = given.T @ (p - aims) + 1e-3 * (value - [1.0, 0.0])
-        bend = given.T @ (given * (p * (1 - p) + 1e-9)[:, None]) + 1e-3 * np.eye(2)
-        value = value - np.linalg.solve(bend, slope)
+    for _ in range(40):
+        e, le, b, lb, llb = sum(part(float(value[0]), float(value[1])) for part in parts)
+        slope = np.array([le, e]) + 1e-3 * (value - [1.0, 0.0])
+        step = np.linalg.solve(np.array([[llb, lb], [lb, b]]) + 1e-3 * np.eye(2), slope)
+        step = step * min(1.0, value[0] / 2 / max(abs(step[0]), 1e-300), 4 / max(abs(step[1]), 1e-300))
+        value = value - step
+        if np.abs(step).max() < 1e-9:
+            break
     net.scale, net.shift = float(value[0]), float(value[1])
+
+
+def _calibrate(net: Network, codes: np.ndarray, labels: np.ndarray, recall: float) -> Network:
+    """Fits scale and shift of the logits, then sets the recall-constrained threshold."""
+    secrets = int(labels.sum())
+    _scale(net, [_steps(net.logits(codes), labels, _aims(secrets, len(labels) - secrets))])
     found = np.sort(net.probabilities(codes[labels > 0]))
     allowed = int((1 - recall) * len(found))
     net.threshold = max(LEAST_PROBABILITY, float(found[allowed]) - 1e-9) if len(found) else LEAST_PROBABILITY
@@ -248,8 +301,8 @@ def generated(count: int, seed: int) -> list[tuple[str, int]]:
     return found
 
 
-def sample_findings(docs: DataFrame, limit: int = SAMPLE, seed: int = 11) -> list[tuple[str, int]]:
-    """At most ``limit`` candidates of each label from the documents, labelled by the patterns, chosen by a hash."""
+def findings(docs: DataFrame) -> DataFrame:
+    """Every different candidate of the documents as (seen, label), labelled by the patterns; staged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
@@ -263,13 +316,79 @@ def sample_findings(docs: DataFrame, limit: int = SAMPLE, seed: int = 11) -> lis
                 [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32())], ["seen", "label"]
             )
 
-    number = F.xxhash64("seen", F.lit(seed))
     labelled = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "seen string, label int")
-    best = staged(labelled.distinct().withColumn("number", number), "findings")  # a few words of context each
-    found = []
-    for label in (0, 1):
-        found += [(r["seen"], label) for r in best.where(F.col("label") == label).orderBy("number", "seen").limit(limit).collect()]
-    return found
+    return staged(labelled.distinct(), "findings")  # a few words of context each
+
+
+def _logits(net: Network, rows: DataFrame) -> DataFrame:
+    """``rows`` (seen, label) with the network's logit; staged."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        for batch in batches:
+            logit = net.logits(encode(batch.column("seen").to_pylist()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(logit, pa.float64())], ["seen", "label", "logit"])
+
+    return staged(rows.select("seen", "label").mapInArrow(run, "seen string, label int, logit double"), "logits")
+
+
+def train_on(found: DataFrame, recall: float = RECALL, seed: int = 11, shard: int = SHARD) -> Network:
+    """A calibrated network from all rows of ``found`` (seen, label) and generated windows.
+
+    No more findings than one shard has are learned in one place (``train``). Of more, a quarter, by hash, is kept aside
+    for calibration, and the others are dealt by hash to shards of about ``shard`` rows; in each epoch all shards learn
+    from the same state, and their states are averaged by rows. A task holds one shard; the driver gets some 6,000
+    numbers of each (50 MB for eight million findings), and sums over the part aside.
+    """
+    number = F.xxhash64("seen", F.lit(seed))
+    if found.count() <= shard:
+        every = found.withColumn("number", number).orderBy("label", "number", "seen").collect()
+        return train([(r["seen"], r["label"]) for r in every], recall, seed)
+    made = generated(GENERATED, seed)
+    own, kept = made[: GENERATED * 3 // 4], made[GENERATED * 3 // 4 :]
+    aside = F.pmod(number, F.lit(4)) == 3
+    learned = found.where(~aside)
+    shards = learned.count() // shard + 1
+    learned = learned.select("seen", "label", F.pmod(F.xxhash64("seen", F.lit(seed + 1)), F.lit(shards)).alias("shard"))
+    net = _start(np.random.default_rng(seed))
+    state = [*net.weights, *(np.zeros_like(w) for _ in range(2) for w in net.weights)]  # with both moments
+
+    for turn in range(EPOCHS):
+
+        def work(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+            let_go()
+            rows, part = [*sorted(zip(frame["seen"], frame["label"])), *own], [value.copy() for value in state]
+            codes, labels = encode([r[0] for r in rows]), np.array([r[1] for r in rows], float)
+            kinds = len(part) // 3
+            draw, step = np.random.default_rng([seed, turn, int(key[0])]), turn * -(-len(rows) // BATCH)
+            _learn(Network(*part[:kinds]), codes, labels, draw, 1, part[kinds:], step)
+            flat = np.concatenate([value.ravel() for value in part])
+            return pd.DataFrame({"shard": [int(key[0])], "rows": [len(rows)], "state": [flat]})
+
+        got = learned.groupBy("shard").applyInPandas(work, "shard long, rows long, state array<double>").collect()
+        got.sort(key=lambda r: r["shard"])
+        mean, at = sum(r["rows"] * np.array(r["state"]) for r in got) / sum(r["rows"] for r in got), 0
+        for value in state:
+            value[...] = mean[at : at + value.size].reshape(value.shape)
+            at += value.size
+
+    logits = _logits(net, found.where(aside))
+    codes, labels = encode([w for w, _ in kept]), np.array([n for _, n in kept], float)
+    mine = net.logits(codes)
+    counts = logits.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+    secrets = counts[1] + int(labels.sum())
+    aims = _aims(secrets, counts[0] + len(labels) - secrets)
+    _scale(net, [_steps(mine, labels, aims), _steps_of_rows(logits, aims)])
+    # The row that may be the first to be found, of all secrets kept aside.
+    more = [(w, float(z)) for (w, label), z in zip(kept, mine) if label]
+    known = logits.where("label = 1").select("seen", "logit").unionByName(found.sparkSession.createDataFrame(more, "seen string, logit double"))
+    known = known.select((F.lit(net.scale) * F.col("logit") + F.lit(net.shift)).alias("z"), F.monotonically_increasing_id().alias("row"))
+    known = staged(known, "secrets")
+    total = known.count()
+    least = nth_key(known, ["z", "row"], int((1 - recall) * total) + 1, total=total)
+    z = known.agg(F.max("z")).first()[0] if least is None else least["z"]
+    net.threshold = max(LEAST_PROBABILITY, float(1 / (1 + np.exp(-np.clip(z, -40, 40)))) - 1e-9)
+    return net
 
 
 def train(findings: Sequence[tuple[str, int]], recall: float = RECALL, seed: int = 11) -> Network:
@@ -278,7 +397,8 @@ def train(findings: Sequence[tuple[str, int]], recall: float = RECALL, seed: int
     random.Random(seed).shuffle(rows)
     codes, labels = encode([r[0] for r in rows]), np.array([r[1] for r in rows], float)
     cut = len(rows) * 3 // 4
-    return _calibrate(_fit(codes[:cut], labels[:cut], seed), codes[cut:], labels[cut:], recall)
+    draw = np.random.default_rng(seed)
+    return _calibrate(_learn(_start(draw), codes[:cut], labels[:cut], draw, EPOCHS), codes[cut:], labels[cut:], recall)
 
 
 def listed(spans: Sequence[tuple[int, int, int]]) -> str:
@@ -298,16 +418,16 @@ def redact(text: str, spans: Sequence[tuple[int, int, int]], mark: str = "[SECRE
     return "".join([*out, text[at:]])
 
 
-def scan(docs: DataFrame, recall: float = RECALL, limit: int = SAMPLE) -> DataFrame:
+def scan(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     """``docs`` with base, spans and redacted: the findings of each whole text.
 
     ``base`` and ``spans`` list kind:start:end by code points, end exclusive; spans has
     the base findings and those the network adds, of kind ``net``. ``redacted`` is the
     text with all spans replaced by ``[SECRET]``. A null text has no findings and stays null; all other
     columns are kept (the new names get underscores where they are taken). Repeated rows
-    get equal results. The network is trained once, on a bounded sample (``limit`` of each label).
+    get equal results. The network is trained once, on all findings.
     """
-    net = train(sample_findings(docs, limit), recall)
+    net = train_on(findings(docs), recall)
     shared = docs.sparkSession.sparkContext.broadcast(net)  # fixed size
     names = docs.columns
     text_at = [n.lower() for n in names].index("text")

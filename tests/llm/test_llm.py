@@ -466,3 +466,17 @@ def test_pipeline(spark, empty):
     assert all(r.n_chars == len(r.text) for r in rows) and not any(secrets.base_spans(r.text) for r in rows)
     assert len({plain_fingerprint(r.text) for r in table.where(F.col("doc_id").isin([r.doc_id for r in rows])).collect()}) == len(rows)
     assert corpus_pipeline.run(spark, SF).select("doc_id").distinct().count() == len(rows)
+
+
+def test_secret_network_learns_from_all_findings(spark):
+    """More findings than a shard holds, with a mark that generated ones lack: learned from every shard, calibrated on all kept aside."""
+    rows = [(secrets.window(f"value {'Q' * (i % 5)} {i:020d}x9", 6, 40), i % 2) for i in range(6_000)]
+    rows = [(w.replace("value", "Quelle" if label else "Zeile"), label) for w, label in rows]
+    found = spark.createDataFrame(rows, "seen string, label int").repartition(4)
+    found = found.select(F.rpad(F.left("seen", F.lit(secrets.PLACES)), secrets.PLACES, F.lit(" ")).alias("seen"), "label")
+    net = secrets.train_on(found, shard=1_000)
+    held = found.collect()
+    sure = net.probabilities(secrets.encode([r.seen for r in held])) >= net.threshold
+    right = np.mean([bool(s) == bool(r.label) for s, r in zip(sure, held)])
+    assert right > 0.95
+    assert secrets.train_on(found.limit(0)).threshold >= secrets.LEAST_PROBABILITY
