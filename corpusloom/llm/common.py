@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.position import FILE, PLACE, ROW, positioned
 from corpusloom.session import new_folder
 
 # Counts over at most this many buckets are ranked in one task; rows never are.
@@ -59,6 +60,32 @@ def discard(spark: SparkSession, folders: Sequence[str]) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _read_alike(rows: DataFrame) -> bool:
+    """Whether every read of a scan gives each row of each file once, and the same rows again."""
+    plan = rows._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while plan.children().size():
+        plan = plan.children().apply(0)
+    files = list(plan.relation().location().inputFiles())
+    return len(set(files)) == len(files)
+
+
+def numbered(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """``rows`` with a long ``column`` that tells them apart and is the same at every read.
+
+    Rows of a plain scan are told apart by the number of their file and their number in it: nothing
+    is written, and first is first by file name. Others are staged under ``name`` as they are read.
+    """
+    placed = None if {FILE, PLACE, ROW} & set(rows.columns) else positioned(rows)
+    if placed is None or not _read_alike(rows):
+        return staged(rows.withColumn(column, F.monotonically_increasing_id()), name)
+    files = sorted(r[0] for r in placed.select(FILE).distinct().collect())  # no column of the files is read
+    numbers = rows.sparkSession.createDataFrame([(f, i) for i, f in enumerate(files)], f"{FILE} string, {column} long")
+    found = placed.join(F.broadcast(numbers), FILE)
+    return found.select(*rows.columns, F.shiftleft(column, 33).bitwiseOR(F.col(ROW)).alias(column))
+
+
 def free_name(rows: DataFrame, name: str) -> str:
     """``name``, with as many underscores behind it as make it differ from all columns."""
     taken = {c.lower() for c in rows.columns}

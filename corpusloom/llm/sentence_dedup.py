@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import discard, free_name, let_go, recorded, staged, texts
+from corpusloom.llm.common import discard, free_name, let_go, numbered, recorded, staged, texts
 
 # A run has at least so many sentences and so many words.
 SENTENCES = 2
@@ -119,7 +119,7 @@ def remove_repeats(docs: DataFrame, least: int = SENTENCES, words: int = WORDS)
     A document's sentences are held one document at a time.
     """
     row = free_name(docs, "_row")
-    whole = staged(docs.withColumn(row, F.monotonically_increasing_id()), "spans-docs")
+    whole = numbered(docs, row, "spans-docs")
     with recorded() as made:
         spans = staged(_run_table(whole, row, least, words), "spans")
     repeated = spans.groupBy("h1").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("h1")

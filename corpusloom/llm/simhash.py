@@ -2,8 +2,8 @@
 
 Two fingerprints that differ in at most k bits, cut into k // 2 + 1 segments, differ in
 at most one bit in some segment. So each distinct fingerprint is indexed under every
-one of its segments with one bit left open: two that agree but for one bit meet under
-the variant with that bit open. An equality join finds them, the whole distance verifies.
+one of its segments with a few neighbouring bits left open: two that agree but for one bit meet
+under the variant with that bit open. An equality join finds them, the whole distance verifies.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import discard, free_name, let_go, recorded, staged, texts
+from corpusloom.llm.common import discard, free_name, let_go, numbered, recorded, staged, texts
 from corpusloom.llm.components import connected
 
 BITS = 64
@@ -25,6 +25,10 @@ SHINGLE = 3
 DISTANCE = 2
 # Hashes are counted bit by bit so many at a time.
 CHUNK = 65_536
+# A variant leaves so many bits open, fewer if less than CLOSED bits of its segment would be left.
+OPEN, CLOSED = 4, 28
+# So many kept rows are broadcast as words of 64 bits; more are joined.
+MARKED_ROWS = 64_000_000
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -72,6 +76,12 @@ def _segments(distance: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
+def _open(first: int, width: int) -> list[int]:
+    """The bits that each variant of a segment leaves open, the segment's lowest bits first."""
+    step, end = max(1, min(OPEN, width - CLOSED)), first + width
+    return [(1 << min(at + step, end)) - (1 << at) for at in range(first, end, step)]
+
+
 def _signed(bits: int) -> int:
     return bits - (1 << BITS) if bits >> (BITS - 1) else bits
 
@@ -84,33 +94,32 @@ def _segment(bits: Column, first: int, width: int) -> Column:
 def near_pairs(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """All pairs (a, b), a < b, of the distinct longs ``bits`` that differ in at most ``distance`` bits, each once."""
     cut = _segments(distance)
+    opened = [_open(first, width) for first, width in cut]
     variants = F.array(
         *(
             F.struct(
-                F.lit(number).alias("segment"),
-                F.lit(_signed(1 << bit)).alias("open"),
-                _segment(F.col("bits"), first, width).bitwiseAND(F.lit(_signed(~(1 << bit) & (1 << BITS) - 1))).alias("rest"),
+                F.lit(_signed(open_)).alias("open"),
+                _segment(F.col("bits"), first, width).bitwiseAND(F.lit(_signed(~open_ & (1 << BITS) - 1))).alias("rest"),
             )
-            for number, (first, width) in enumerate(cut)
-            for bit in range(first, first + width)
+            for (first, width), masks in zip(cut, opened)
+            for open_ in masks
         )
     )
     index = distinct.select("bits", F.explode(variants).alias("v")).select("bits", "v.*")
     left, right = index.alias("l"), index.alias("r")
     apart = F.col("l.bits").bitwiseXOR(F.col("r.bits"))
-    # A pair meets under every open bit if a segment is equal; it counts under the first
-    # bit of its first segment with at most one bit apart, or under the bit that differs.
+    # A pair meets under every variant if a segment is equal; it counts under the first variant
+    # of its first segment with at most one bit apart, or under the one that opens the bit that differs.
     counts = F.lit(False)
     for number, (first, width) in enumerate(cut):
         here = _segment(apart, first, width)
-        at = F.when(here == 0, F.col("l.open") == F.lit(_signed(1 << first))).otherwise(here == F.col("l.open"))
+        inside = (F.bit_count(here) == 1) & (here.bitwiseAND(F.col("l.open")) == here)
+        at = F.when(here == 0, F.col("l.open") == F.lit(_signed(opened[number][0]))).otherwise(inside)
         earlier = F.lit(True)
         for f, w in cut[:number]:
             earlier = earlier & (F.bit_count(_segment(apart, f, w)) > 1)
-        counts = counts | ((F.col("l.segment") == number) & at & earlier)
-    same = (
-        (F.col("l.segment") == F.col("r.segment")) & (F.col("l.open") == F.col("r.open")) & (F.col("l.rest") == F.col("r.rest"))
-    )
+        counts = counts | (at & earlier)
+    same = (F.col("l.open") == F.col("r.open")) & (F.col("l.rest") == F.col("r.rest"))
     near = (F.col("l.bits") < F.col("r.bits")) & (F.bit_count(apart) <= distance)
     return left.join(right, same & near & counts).select(F.col("l.bits").alias("a"), F.col("r.bits").alias("b"))
 
@@ -149,14 +158,22 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
     rows are a group like any other.
     """
     row = free_name(docs, "_row")
-    whole = staged(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
+    whole = numbered(docs, row, "simhash-docs")
     with recorded() as made:
         found = near_duplicates(whole, shingle, distance, row)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row_id"))
     kept = found.groupBy("root").agg(first.alias("first")).select(F.col("first.row_id").alias(row))
     kept = staged(kept, "simhash-kept")
     discard(docs.sparkSession, made)
-    return whole.join(kept, row, "left_semi").drop(row)
+    if kept.count() > MARKED_ROWS:
+        return whole.join(kept, row, "left_semi").drop(row)
+    # Texts stay where they are read: every 64 neighbours share a word with a bit for each.
+    word, marks = free_name(whole, "_word"), free_name(whole, "_marks")
+    place = F.shiftright(row, 6).alias(word)
+    one = F.expr(f"shiftleft(1L, cast(`{row}` & 63 as int))")
+    words = kept.select(place, one.alias(marks)).groupBy(word).agg(F.bit_or(marks).alias(marks))
+    found = whole.withColumn(word, F.shiftright(row, 6)).join(F.broadcast(words), word)
+    return found.where(F.expr(f"getbit(`{marks}`, cast(`{row}` & 63 as int)) = 1")).select(*docs.columns)
 
 
 def hex_digits(bits: Column) -> Column:
