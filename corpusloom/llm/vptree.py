@@ -75,14 +75,20 @@ class Tree:
         q = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1)
         rows = np.full((len(q), best), -1)
         far = np.full((len(q), best), np.inf)
+        worst = np.full(len(q), np.inf)  # the farthest of each query's best so far
         lengths, own = (q**2).sum(axis=1), (self.points**2).sum(axis=1)
 
         def leaf(active: np.ndarray, points: np.ndarray) -> None:
             square = np.maximum(lengths[active, None] + own[points] - 2 * (q[active] @ self.points[points].T), 0)
+            nearer = square.min(axis=1) < worst[active]  # most leaves have nothing for most queries
+            active, square = active[nearer], square[nearer]
+            if not len(active):
+                return
             every = np.concatenate([far[active], square], axis=1)
             which = np.concatenate([rows[active], np.broadcast_to(points, square.shape)], axis=1)
             order = np.argpartition(every, best - 1, axis=1)[:, :best]
             far[active], rows[active] = np.take_along_axis(every, order, 1), np.take_along_axis(which, order, 1)
+            worst[active] = far[active].max(axis=1)
 
         def visit(node: int, active: np.ndarray) -> None:
             if not len(active):
@@ -96,7 +102,7 @@ class Tree:
             near = away <= middle
             visit(inner, active[near])
             visit(outer, active[~near])
-            reach = np.sqrt(far[active].max(axis=1)) * (1 + 1e-9) + 1e-9
+            reach = np.sqrt(worst[active]) * (1 + 1e-9) + 1e-9
             open_ = np.abs(away - middle) * factor <= reach
             visit(outer, active[near & open_])
             visit(inner, active[~near & open_])

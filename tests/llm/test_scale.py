@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from corpusloom.llm import sentence_dedup, simhash
+from corpusloom.llm import sentence_dedup, simhash, vptree
 from corpusloom.llm.common import numbered, recorded
 
 SCHEMA = "doc_id long, text string"
@@ -73,3 +74,16 @@ def test_a_fingerprint_has_few_variants():
             opened = simhash._open(first, width)
             assert sum(opened) == ((1 << width) - 1) << first and all(a & b == 0 for a, b in zip(opened, opened[1:]))
             assert all(width - m.bit_count() >= min(width - 1, simhash.CLOSED) for m in opened)
+
+
+def test_leaves_without_nearer_points_are_passed_over(monkeypatch):
+    draw = np.random.default_rng(5)
+    vectors = draw.normal(size=(2_000, 8))
+    longest = float(np.sqrt((vectors**2).sum(axis=1)).max())
+    tree = vptree.Tree(np.arange(2_000), vectors, longest, 6)
+    leaves, sorted_rows, plain = sum(len(n) == 1 for n in tree.nodes), [], np.argpartition
+    monkeypatch.setattr(vptree.np, "argpartition", lambda a, *x, **y: sorted_rows.append(len(a)) or plain(a, *x, **y))
+    rows, _ = tree.search(vectors[:100], 6, 0.0)
+    assert sum(sorted_rows) < 100 * leaves / 2
+    score = vectors[:100] @ tree.plain.T
+    assert all(set(r.tolist()) == set(np.argsort(-s)[:6].tolist()) for r, s in zip(rows, score))
