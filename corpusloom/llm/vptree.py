@@ -24,6 +24,8 @@ from corpusloom.llm.common import staged
 
 SHARD_ROWS = 8_192
 BLOCK_ROWS = 512
+# Queries that go down a tree together: a leaf is reached by a bounded number of ways, however many they are.
+SEARCH_ROWS = 4_096
 LEAF = 64
 FACTOR = 1.15
 
@@ -168,8 +170,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, factor: float = FA
         if left.num_rows and right.num_rows:
             tree = Tree(*matrix(left), longest, k + 1)
             ids, values = matrix(right)
-            for at in range(0, len(ids), BLOCK_ROWS):
-                parts.append(tree.nearest(ids[at : at + BLOCK_ROWS], values[at : at + BLOCK_ROWS], k, factor))
+            for at in range(0, len(ids), SEARCH_ROWS):
+                parts.append(tree.nearest(ids[at : at + SEARCH_ROWS], values[at : at + SEARCH_ROWS], k, factor))
         columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, int), np.zeros(0, int), np.zeros(0)]
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("query_id", "vec_id", "score"), columns, (pa.int64(), pa.int64(), pa.float64()))})
 
