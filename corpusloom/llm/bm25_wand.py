@@ -4,13 +4,16 @@ The documents are cut into shards of bounded size, each a row with an inverted i
 term the documents that hold it. Documents are numbered by id within a shard, and every
 list is cut at the same document numbers, so a list's block is what it holds in one range
 of documents. With the collection's mean length, which is known when all shards are, every
-list and every block of a list has a largest impact. A search takes a query's lists in the order of these
-bounds, until the lists that are left cannot reach the k-th best so far by themselves; only
-documents on the lists taken are candidates, pivots in the words of the method. A candidate
-goes on while its score so far and the bounds of the blocks that its range has in the other
-lists reach the k-th best, and the few that stay are scored in full from the documents' own
-term lists. A task carries the k-th best from shard to shard. Document counts and lengths are
-those of all shards together, so the best of the tasks' best are exactly the best of all.
+block of a long list has a largest impact. A search adds up a query's short lists, which tell most and
+cost least. Pivots, in the words of the method, are the blocks where the best score so far and the bounds that the long lists
+have there reach the k-th best; only there the long lists are read. The few documents that reach
+it are scored in full, in double precision, from their own term lists. A task carries the k-th best from shard to
+shard. Document counts and lengths are those of all shards together, so the best of the tasks' best are exactly the
+best of all.
+
+Many queries go through a shard together: long lists stand there as rows over its documents, in single
+precision, and the bounds and scores of all queries in a block are one product of matrices. What single precision can be
+off by is known (all terms are positive) and granted to every document.
 
 Queries go to the shards in blocks of at most ``QUERY_ENTRIES`` terms (or one query): a block is
 broadcast, and every shard is read once for it. Postings never go through a shuffle.
@@ -34,10 +37,13 @@ from corpusloom.llm.common import buckets_for, recorded, staged, texts, total_be
 K1, B = 1.2, 0.75
 TOP = 10
 BLOCK = 64
-FIRST_PART = 0.125
-NEXT_PART = 0.5
+# A long list holds this share of a shard's documents, and so many at least; as rows the long lists have at most so many cells.
+LONG, LONG_LEAST, LONG_CELLS = 1 / 25, 16, 16_000_000
+# Scores, weights and postings that are held at a time.
+TOGETHER = 2_000_000
 SHARD_CHARACTERS = 16_000_000
 QUERY_ENTRIES = 500_000
+WORDS_HELD = 100_000
 
 WORD = re.compile(r"\w+")
 
@@ -53,25 +59,30 @@ def terms_of(text: str) -> list[str]:
 def index_shard(shard: int, docs: list[tuple[int, str]]) -> pa.RecordBatch:
     """The index of a shard: its documents' ids and lengths, its terms in order, and their lists one behind the other."""
     docs.sort(key=lambda d: d[0])
-    names: dict[str, int] = {}
-    numbers, lengths = [], []
+    lengths, words, parts = [], [], []
     for _, text in docs:
-        words = terms_of(text)
-        lengths.append(len(words))
-        numbers.append(np.array([names.setdefault(w, len(names)) for w in words], np.int64))
+        found = terms_of(text)
+        lengths.append(len(found))
+        words += found
+        if len(words) > WORDS_HELD:
+            parts.append(pa.array(words, pa.string()))
+            words = []
+    parts.append(pa.array(words, pa.string()))
     length = np.array(lengths, np.int64)
-    terms = sorted(names)
+    coded = pa.chunked_array(parts).dictionary_encode().combine_chunks()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    terms = coded.dictionary.take(order)
     place = np.empty(len(terms), np.int64)
-    place[[names[t] for t in terms]] = np.arange(len(terms))
-    keys, tf = np.unique(place[np.concatenate(numbers)] << 32 | np.repeat(np.arange(len(docs)), length), return_counts=True)
-    df = np.bincount(keys >> 32, minlength=len(names)).astype("<i4")
+    place[order] = np.arange(len(terms))
+    keys, tf = np.unique(place[coded.indices.to_numpy()] << 32 | np.repeat(np.arange(len(docs)), length), return_counts=True)
+    df = np.bincount(keys >> 32, minlength=len(terms)).astype("<i4")
     return pa.RecordBatch.from_pydict(
         {
             "shard": pa.array([shard], pa.int64()),
             "words": pa.array([int(length.sum())], pa.int64()),
             "doc_ids": pa.array([np.array([i for i, _ in docs], "<i8").tobytes()], pa.binary()),
             "lengths": pa.array([length.astype("<u4").tobytes()], pa.binary()),
-            "terms": pa.array([terms], pa.list_(pa.string())),
+            "terms": pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), terms),
             "df": pa.array([df], pa.list_(pa.int32())),
             "docs": pa.array([(keys & 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary()),
             "tfs": pa.array([tf.astype("<u4").tobytes()], pa.binary()),
@@ -107,7 +118,7 @@ def _spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Shard:
-    """A shard's lists with their impacts and the largest impact of every list and block, at a given mean length."""
+    """A shard's lists with their impacts at a given mean length; the long ones as rows, with the largest impact of every block."""
 
     def __init__(self, row: pa.RecordBatch, average: float) -> None:
         self.doc_ids = np.frombuffer(row.column("doc_ids")[0].as_buffer(), "<i8")
@@ -120,14 +131,17 @@ class Shard:
         term = np.repeat(np.arange(len(df)), df)
         # Postings of term t: lists[t] to lists[t + 1]; every term has some.
         self.lists = np.append(0, np.cumsum(df))
-        self.peak = np.maximum.reduceat(self.impacts, self.lists[:-1]) if len(df) else np.zeros(0)
-        key = term << 32 | self.docs // BLOCK
-        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        # Blocks of term t: first[t] to first[t + 1].
-        self.block = self.docs[begin] // BLOCK
-        self.most = np.maximum.reduceat(self.impacts, begin) if len(begin) else np.zeros(0)
-        self.first = np.searchsorted(term[begin], np.arange(len(df) + 1))
         self.blocks = -(-len(self.doc_ids) // BLOCK)
+        # Row of a long list, -1 of a short one.
+        long = np.flatnonzero(df >= max(LONG_LEAST, LONG * len(self.doc_ids)))
+        long = long[np.argsort(-df[long], kind="stable")][: LONG_CELLS // max(1, self.blocks * BLOCK)]
+        self.row = np.full(len(df), -1)
+        self.row[long] = np.arange(len(long))
+        self.rows = np.zeros((len(long), self.blocks * BLOCK), np.float32)
+        postings, sizes = _spans(self.lists[long], self.lists[long + 1])
+        self.rows[np.repeat(np.arange(len(long)), sizes), self.docs[postings]] = self.impacts[postings]
+        cells = self.rows.reshape(len(long), self.blocks, BLOCK)
+        self.most, self.filled = cells.max(2), np.count_nonzero(cells, 2).astype(np.float32)
         # The documents' own lists: terms in order, from own[d] to own[d + 1].
         small = len(self.doc_ids) <= 1 << 16
         turn = np.argsort(self.docs.astype(np.uint16) if small else self.docs, kind="stable")
@@ -135,22 +149,14 @@ class Shard:
         self.own = np.append(0, np.cumsum(np.bincount(self.docs, minlength=len(self.doc_ids))))
         self.weight = np.zeros(len(df))
 
-    def add(self, partial: np.ndarray, terms: np.ndarray, idf: np.ndarray) -> None:
-        """Adds what these terms give to the score of every document."""
-        postings, sizes = _spans(self.lists[terms], self.lists[terms + 1])
-        if len(postings):
-            partial += np.bincount(self.docs[postings], np.repeat(idf, sizes) * self.impacts[postings], len(partial))
-
-    def bounds(self, terms: np.ndarray, idf: np.ndarray) -> np.ndarray:
-        """The most that these terms can give to a document of every block."""
-        entries, sizes = _spans(self.first[terms], self.first[terms + 1])
-        return np.bincount(self.block[entries], np.repeat(idf, sizes) * self.most[entries], self.blocks)
-
     def scores(self, docs: np.ndarray) -> np.ndarray:
         """Whole scores by ``weight``, added up in the order of the terms: equal documents get equal scores anywhere."""
-        postings, sizes = _spans(self.own[docs], self.own[docs + 1])
-        parts = self.weight[self.own_term[postings]] * self.own_impact[postings]
-        return np.bincount(np.repeat(np.arange(len(docs)), sizes), parts, len(docs))
+        spans = [slice(a, b) for a, b in zip(self.own[docs].tolist(), self.own[docs + 1].tolist())]
+        if not spans:
+            return np.zeros(0)
+        parts = self.weight.take(np.concatenate([self.own_term[s] for s in spans]))
+        parts *= np.concatenate([self.own_impact[s] for s in spans])
+        return np.bincount(np.repeat(np.arange(len(docs)), self.own[docs + 1] - self.own[docs]), parts, len(docs))
 
 
 @dataclass
@@ -172,41 +178,62 @@ class Best:
 
 
 def search_shard(shard: Shard, terms: np.ndarray, idf: np.ndarray, best: Best, own: int) -> tuple[int, int]:
-    """Adds a shard's documents to ``best``, but for those with the id ``own``; tells the postings scored and held.
+    """``search_together`` for one query."""
+    return search_together(shard, np.array([0, len(terms)]), terms, idf, [best], np.array([own]))
+
+
+def search_together(
+    shard: Shard, starts: np.ndarray, terms: np.ndarray, idf: np.ndarray, best: list[Best], own: np.ndarray
+) -> tuple[int, int]:
+    """Adds a shard's documents to each query's ``best``, but for those with its id ``own``; tells the postings scored and held.
 
-    ``terms`` are the shard's numbers of the query's terms.
+    Query q's ``terms``, as the shard's numbers, and their ``idf`` stand from starts[q] to starts[q + 1].
     """
-    shard.weight[terms] = idf
-    order = np.argsort(-idf * shard.peak[terms], kind="stable")
-    terms, idf = terms[order], idf[order]
-    rest = np.append(np.cumsum((idf * shard.peak[terms])[::-1])[::-1], 0.0)  # the most that lists i and later give
-    after = np.append(0, np.cumsum(shard.lists[terms + 1] - shard.lists[terms]))  # postings before list i
-    size, total = len(terms), int(after[-1])
-    others = shard.doc_ids != own
-    upto, least = 0, best.floor * (1 - 1e-9)  # sums in another order are rounded in another way
-    live, partial = np.flatnonzero(others), np.zeros(len(others))
-    while upto < size:
-        # At first the lists without which no document can enter, or a part of the postings; then a part of those left.
-        part = after[upto] + (total - after[upto]) * (NEXT_PART if upto else FIRST_PART)
-        needed = int(np.count_nonzero(rest >= least)) if least and not upto else int(np.searchsorted(after, part))
-        step = min(size, max(upto + 1, needed))
-        shard.add(partial, terms[upto:step], idf[upto:step])
-        upto = step
-        if len(live) > best.k:  # the k-th best so far stands below the k-th best score
-            least = max(least, np.partition(partial[live], -best.k)[-best.k] * (1 - 1e-9))
-        if rest[upto] < least:
-            live = live[partial[live] > 0]
-        if upto < size:
-            live = live[partial[live] + shard.bounds(terms[upto:], idf[upto:])[live // BLOCK] >= least]
-        if int((shard.own[live + 1] - shard.own[live]).sum()) <= total - after[upto]:
-            break
-    live = live[(partial[live] >= least) & (partial[live] > 0)] if upto == size else live
-    full = int((shard.own[live + 1] - shard.own[live]).sum())
-    score = shard.scores(live)
-    enough = (score >= best.floor) & (score > 0)
-    best.add(score[enough], shard.doc_ids[live[enough]])
-    shard.weight[terms] = 0.0
-    return int(after[upto]) + full, total
+    count, width, k = len(best), shard.blocks * BLOCK, best[0].k
+    query, row = np.repeat(np.arange(count), np.diff(starts)), shard.row[terms]
+    long = row >= 0
+    short = terms[~long]
+    postings, sizes = _spans(shard.lists[short], shard.lists[short + 1])
+    parts = np.repeat(idf[~long], sizes) * shard.impacts[postings]
+    score = np.bincount(np.repeat(query[~long] * width, sizes) + shard.docs[postings], parts, count * width)
+    score = score.astype(float, copy=False).reshape(count, width)  # of no postings at all bincount makes integers
+    first, last = np.searchsorted(shard.doc_ids, own), np.searchsorted(shard.doc_ids, own, "right")
+    for q in np.flatnonzero(first < last):
+        score[q, first[q] : last[q]] = -np.inf
+    # A product of n positive terms is off by less than n + 2 roundings, and two products are compared.
+    slack = 1 - 2**-22 * (8 + int(np.bincount(query[long], minlength=1).max()))
+
+    def kth(rows: np.ndarray) -> np.ndarray:
+        return np.partition(score[rows], width - k, axis=1)[:, width - k] * slack if width > k else np.zeros(len(rows))
+
+    least = np.array([b.floor for b in best]) * slack
+    new = np.flatnonzero(least == 0)
+    least[new] = kth(new)  # the k-th best so far stands below the k-th best score
+    least = np.maximum(least, np.finfo(float).tiny)[:, None]
+    weights = np.zeros((count, len(shard.rows)), np.float32)
+    weights[query[long], row[long]] = idf[long]
+    pivots = score.reshape(count, shard.blocks, BLOCK).max(2) + weights @ shard.most >= least
+    scored = len(postings) + int((((weights > 0).astype(np.float32) @ shard.filled) * pivots).sum())
+    if pivots.all():
+        score += weights @ shard.rows
+    else:
+        for block in np.flatnonzero(pivots.any(0)):
+            asked, span = np.flatnonzero(pivots[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+            score[asked, span] += weights[asked] @ shard.rows[:, span]
+    reach = score >= least
+    many = np.flatnonzero(np.count_nonzero(reach, 1) > k)
+    reach[many] &= score[many] >= kth(many)[:, None]
+    asked, found = np.nonzero(reach)
+    scored += int((shard.own[found + 1] - shard.own[found]).sum())
+    cuts = np.searchsorted(asked, np.arange(count + 1))
+    for q in np.flatnonzero(np.diff(cuts)):
+        docs, mine = found[cuts[q] : cuts[q + 1]], slice(starts[q], starts[q + 1])
+        shard.weight[terms[mine]] = idf[mine]
+        exact = shard.scores(docs)
+        shard.weight[terms[mine]] = 0.0
+        enough = (exact >= best[q].floor) & (exact > 0)
+        best[q].add(exact[enough], shard.doc_ids[docs[enough]])
+    return scored, int((shard.lists[terms + 1] - shard.lists[terms]).sum())
 
 
 @dataclass
@@ -232,15 +259,18 @@ class QueryBlock:
 
     def search(self, shard: Shard, best: list[Best]) -> tuple[int, int]:
         """All queries on one shard; tells the postings scored and held."""
-        numbers = pc.fill_null(pc.index_in(self.vocabulary, value_set=shard.terms), -1).to_numpy(zero_copy_only=False)
+        numbers = pc.fill_null(pc.index_in(self.vocabulary, value_set=shard.terms), -1).to_numpy(zero_copy_only=False)[self.terms]
+        known = numbers >= 0
+        terms, idf, starts = numbers[known], self.idf[known], np.append(0, np.cumsum(known))[self.starts]
+        short = np.where(shard.row[terms] < 0, shard.lists[terms + 1] - shard.lists[terms], 0)
+        sizes = np.diff(np.append(0, np.cumsum(short))[starts]) + shard.blocks * BLOCK + len(shard.rows)
+        turn = (np.cumsum(sizes) - sizes) // TOGETHER
+        cuts = np.append(np.flatnonzero(np.append(True, turn[1:] != turn[:-1])), len(turn))
         scored = held = 0
-        for n, own in enumerate(self.ids.tolist()):
-            span = slice(self.starts[n], self.starts[n + 1])
-            terms, idf = numbers[self.terms[span]], self.idf[span]
-            known = terms >= 0
-            if known.any():
-                did, has = search_shard(shard, terms[known], idf[known], best[n], own)
-                scored, held = scored + did, held + has
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            span = slice(starts[a], starts[b])
+            did, has = search_together(shard, starts[a : b + 1] - starts[a], terms[span], idf[span], best[a:b], self.ids[a:b])
+            scored, held = scored + did, held + has
         return scored, held
 
 

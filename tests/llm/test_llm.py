@@ -4,12 +4,14 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -398,6 +400,47 @@ def test_bm25_passes_over_postings_where_documents_stand_out():
     assert scored < 0.5 * held
 
 
+def test_bm25_queries_go_through_a_shard_together(monkeypatch):
+    # Many words are common: one query at a time reads the same long lists again and again.
+    draw = random.Random(5)
+    words = [f"w{n}" for n in range(2_000)]
+    texts = [(i, " ".join(draw.choices(words, [1 / (n + 9) for n in range(2_000)], k=draw.randint(0, 400)))) for i in range(2_500)]
+    texts[40], texts[41], texts[42] = ((i, texts[50][1]) for i in (40, 41, 42))
+    counted = {i: Counter(bm25_wand.terms_of(t)) for i, t in texts}
+    df = Counter(w for c in counted.values() for w in c)
+    idf = {w: math.log(1 + (len(texts) - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+    shard = bm25_wand.Shard(bm25_wand.index_shard(0, list(texts)), sum(sum(c.values()) for c in counted.values()) / len(texts))
+    asked = [{"query_id": i, "terms": [{"term": w, "idf": idf[w]} for w in sorted(counted[i])]} for i in range(0, 2_500, 10)]
+    block = bm25_wand.QueryBlock.of(pa.Table.from_pylist(asked))
+    number = {w: n for n, w in enumerate(shard.terms.to_pylist())}
+    single = [(np.array([number[t["term"]] for t in q["terms"]], int), np.array([t["idf"] for t in q["terms"]]), q["query_id"]) for q in asked]
+    ratios = []
+    for _ in range(5):
+        together, alone = [bm25_wand.Best(5) for _ in asked], [bm25_wand.Best(5) for _ in asked]
+        start = time.perf_counter()
+        block.search(shard, together)
+        middle = time.perf_counter()
+        for best, (terms, weights, own) in zip(alone, single):
+            bm25_wand.search_shard(shard, terms, weights, best, own)
+        ratios.append((middle - start) / (time.perf_counter() - middle))
+    assert all(a.ids.tolist() == b.ids.tolist() and a.scores.tolist() == b.scores.tolist() for a, b in zip(together, alone))
+    assert together[5].ids.tolist()[:3] == [40, 41, 42]
+    for n in range(0, len(asked), 25):
+        want = plain_search(dict(texts), asked[n]["query_id"], 5, None)
+        assert [w[0] for w in want] == together[n].ids.tolist() and np.allclose([w[1] for w in want], together[n].scores)
+    assert min(ratios) < 0.75
+    assert len(shard.rows) > 500
+    monkeypatch.setattr(bm25_wand, "TOGETHER", 20_000)  # a few queries at a time
+    monkeypatch.setattr(bm25_wand, "LONG_CELLS", 400_000)  # most long lists are read as short ones
+    small, few = bm25_wand.Shard(bm25_wand.index_shard(0, list(texts)), 200.0), [bm25_wand.Best(5) for _ in asked]
+    whole = [bm25_wand.Best(5) for _ in asked]
+    assert 0 < len(small.rows) < 200
+    block.search(small, few)
+    monkeypatch.undo()
+    block.search(bm25_wand.Shard(bm25_wand.index_shard(0, list(texts)), 200.0), whole)
+    assert all(a.ids.tolist() == b.ids.tolist() and a.scores.tolist() == b.scores.tolist() for a, b in zip(few, whole))
+
+
 def test_forward_backward_equals_all_paths():
     draw = np.random.default_rng(0)
     scores, moves, first = draw.normal(size=(2, 4, 3)), draw.normal(size=(3, 3)), draw.normal(size=3)
