@@ -36,18 +36,27 @@ from corpusloom.llm.common import buckets_for, recorded, staged, texts, total_be
 
 K1, B = 1.2, 0.75
 TOP = 10
-BLOCK = 64
-# A long list holds this share of a shard's documents, and so many at least; as rows the long lists have at most so many cells.
+BLOCK, STRIDE = 64, 8
+# A long list holds this share of a part's documents, and so many at least; as rows the long lists have at most so many cells.
 LONG, LONG_LEAST, LONG_CELLS = 1 / 25, 16, 16_000_000
 # Scores, weights and postings that are held at a time.
-TOGETHER = 2_000_000
-SHARD_CHARACTERS = 16_000_000
-QUERY_ENTRIES = 500_000
+TOGETHER = 6_000_000
+# Postings that are added up at a time.
+NEAR = 65_536
+# Lower half of a posting, and half of its upper half's unit.
+LOWER, HALF = 0xFFFF, 0x8000
+# The number of a document in its shard, and of the places of all parts, has 16 bits.
+SHARD_CHARACTERS, SHARD_DOCUMENTS = 32_000_000, 60_000
+QUERY_ENTRIES = 5_000_000
 WORDS_HELD = 100_000
+# Documents are told apart by so many words. A part is cut in two if the halves' centres are no nearer (cosine), into so many at most.
+SORTED_BY, APART, PARTS = 512, 0.5, 16
+# One task in so many has the first shard of all that a query meets; what it finds there every other shard must reach.
+AHEAD = 8
 
 WORD = re.compile(r"\w+")
 
-INDEX = "shard long, words long, doc_ids binary, lengths binary, terms array<string>, df array<int>, docs binary, tfs binary"
+INDEX = "shard long, ahead boolean, words long, parts array<int>, doc_ids binary, lengths binary, terms array<string>, df array<int>, docs binary, tfs binary"
 HITS = "query_id long, doc_id long, score double"
 
 
@@ -56,32 +65,94 @@ def terms_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def index_shard(shard: int, docs: list[tuple[int, str]]) -> pa.RecordBatch:
-    """The index of a shard: its documents' ids and lengths, its terms in order, and their lists one behind the other."""
+def parts_of(doc: np.ndarray, word: np.ndarray, documents: int, words: int) -> list[np.ndarray]:
+    """The documents in parts that share few words: languages, above all.
+
+    ``doc`` and ``word`` are the occurrences of words in documents. A part is cut by the main direction in which its documents differ,
+    and each goes to the nearer centre; halves that are alike stay together.
+    """
+    frequent = np.argsort(-np.bincount(word, minlength=words), kind="stable")[:SORTED_BY]
+    column = np.full(words, -1, np.int32)
+    column[frequent] = np.arange(len(frequent))
+    column = column.take(word)
+    some = np.flatnonzero(column >= 0)
+    seen = np.zeros((documents, len(frequent)), np.float32)
+    seen.reshape(-1)[doc.take(some).astype(np.int64) * len(frequent) + column.take(some)] = 1
+    seen *= np.log((documents + 1) / (seen.sum(0) + 1))
+    seen /= np.maximum(np.linalg.norm(seen, axis=1, keepdims=True), 1e-9)
+    parts, open_ = [], [np.arange(documents)]
+    while open_:
+        part = open_.pop()
+        halves = None
+        if len(part) >= 4 * BLOCK and len(parts) + len(open_) + 2 <= PARTS:
+            rows = seen[part]
+            centred = rows - rows.mean(0)
+            direction = centred[np.argmax(np.einsum("ij,ij->i", centred, centred))]
+            for _ in range(8):
+                direction = centred.T @ (centred @ direction)
+                direction /= max(float(np.linalg.norm(direction)), 1e-9)
+            left = centred @ direction > 0
+            for _ in range(4):
+                if not BLOCK <= np.count_nonzero(left) <= len(part) - BLOCK:
+                    break
+                centres = np.stack([rows[left].mean(0), rows[~left].mean(0)])
+                centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
+                near = rows @ centres.T
+                left = near[:, 0] > near[:, 1]
+            else:
+                if BLOCK <= np.count_nonzero(left) <= len(part) - BLOCK and float(centres[0] @ centres[1]) < APART:
+                    halves = [part[left], part[~left]]
+        if halves:
+            open_ += halves
+        else:
+            parts.append(part)
+    return parts
+
+
+def index_shard(shard: int, docs: list[tuple[int, str]], ahead: bool = False) -> pa.RecordBatch:
+    """The index of a shard: its documents' ids and lengths, part by part, its terms in order, and their lists one behind the other.
+
+    Empties ``docs``, at most ``SHARD_DOCUMENTS``.
+    """
     docs.sort(key=lambda d: d[0])
-    lengths, words, parts = [], [], []
-    for _, text in docs:
-        found = terms_of(text)
+    lengths, words, chunks, ids = [], [], [], np.array([i for i, _ in docs], "<i8")
+    docs.reverse()
+    while docs:  # a text goes when its words are there
+        found = terms_of(docs.pop()[1])
         lengths.append(len(found))
         words += found
         if len(words) > WORDS_HELD:
-            parts.append(pa.array(words, pa.string()))
+            chunks.append(pa.array(words, pa.string()))
             words = []
-    parts.append(pa.array(words, pa.string()))
+    chunks.append(pa.array(words, pa.string()))
     length = np.array(lengths, np.int64)
-    coded = pa.chunked_array(parts).dictionary_encode().combine_chunks()
+    coded = pa.chunked_array(chunks).dictionary_encode().combine_chunks()
+    del chunks, words
     order = pc.sort_indices(coded.dictionary).to_numpy()
     terms = coded.dictionary.take(order)
     place = np.empty(len(terms), np.int64)
     place[order] = np.arange(len(terms))
-    keys, tf = np.unique(place[coded.indices.to_numpy()] << 32 | np.repeat(np.arange(len(docs)), length), return_counts=True)
+    code, doc = coded.indices.to_numpy(), np.repeat(np.arange(len(ids), dtype=np.int32), length)
+    parts = parts_of(doc, code, len(ids), len(terms))
+    turn = np.concatenate([p[np.argsort(length[p], kind="stable")] for p in parts])
+    number = np.empty(len(ids), np.int32)
+    number[turn] = np.arange(len(ids))
+    keys = place.take(code)
+    keys <<= 32
+    keys |= number.take(doc)
+    del code, coded, doc
+    keys.sort()
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    keys, tf = keys.take(first), np.diff(first, append=len(keys))
     df = np.bincount(keys >> 32, minlength=len(terms)).astype("<i4")
     return pa.RecordBatch.from_pydict(
         {
             "shard": pa.array([shard], pa.int64()),
+            "ahead": pa.array([ahead], pa.bool_()),
             "words": pa.array([int(length.sum())], pa.int64()),
-            "doc_ids": pa.array([np.array([i for i, _ in docs], "<i8").tobytes()], pa.binary()),
-            "lengths": pa.array([length.astype("<u4").tobytes()], pa.binary()),
+            "parts": pa.array([[len(p) for p in parts]], pa.list_(pa.int32())),
+            "doc_ids": pa.array([ids[turn].tobytes()], pa.binary()),
+            "lengths": pa.array([length[turn].astype("<u4").tobytes()], pa.binary()),
             "terms": pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), terms),
             "df": pa.array([df], pa.list_(pa.int32())),
             "docs": pa.array([(keys & 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary()),
@@ -94,18 +165,18 @@ def build_index(docs: DataFrame) -> DataFrame:
     """The staged index of ``docs`` (doc_id, text); rows without a doc_id are left out, a null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, made = [], 0, 0
+        held, size, made, task = [], 0, 0, TaskContext.get().partitionId()
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                if held and size + len(text) > SHARD_CHARACTERS:
+                if held and (size + len(text) > SHARD_CHARACTERS or len(held) == SHARD_DOCUMENTS):
                     with uncollected():
-                        yield index_shard(TaskContext.get().partitionId() << 32 | made, held)
+                        yield index_shard(task << 32 | made, held, not made and task % AHEAD == 0)
                     held, size, made = [], 0, made + 1
                 held.append((doc_id, text))
                 size += len(text)
         if held:
             with uncollected():
-                yield index_shard(TaskContext.get().partitionId() << 32 | made, held)
+                yield index_shard(task << 32 | made, held, not made and task % AHEAD == 0)
 
     rows = docs.where("doc_id is not null").selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
     return staged(rows.mapInArrow(run, INDEX), "bm25-index")
@@ -117,38 +188,84 @@ def _spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes), sizes
 
 
+@dataclass
+class Part:
+    """A shard's places from ``start`` to ``stop``, whole blocks: the long lists as columns of ``cells``, with the largest impact of every block."""
+
+    start: int
+    stop: int
+    row: np.ndarray  # of a term's long list, -1 of others
+    cells: np.ndarray
+    most: np.ndarray
+    filled: np.ndarray
+
+
 class Shard:
-    """A shard's lists with their impacts at a given mean length; the long ones as rows, with the largest impact of every block."""
+    """A shard's lists with their impacts at a given mean length. Every part begins a block; the place of a document tells its block."""
 
     def __init__(self, row: pa.RecordBatch, average: float) -> None:
-        self.doc_ids = np.frombuffer(row.column("doc_ids")[0].as_buffer(), "<i8")
+        ids = np.frombuffer(row.column("doc_ids")[0].as_buffer(), "<i8")
         self.terms = row.column("terms")[0].values
         length = np.frombuffer(row.column("lengths")[0].as_buffer(), "<u4")
         tf = np.frombuffer(row.column("tfs")[0].as_buffer(), "<u4").astype(float)
-        self.docs = np.frombuffer(row.column("docs")[0].as_buffer(), "<u4").astype(np.int64)
-        self.impacts = tf * (K1 + 1) / (tf + (K1 * (1 - B + B * length / average))[self.docs])
-        df = row.column("df")[0].values.to_numpy().astype(np.int64)
-        term = np.repeat(np.arange(len(df)), df)
+        docs = np.frombuffer(row.column("docs")[0].as_buffer(), "<u4").astype(np.int32)
+        impacts = tf * (K1 + 1)
+        tf += (K1 * (1 - B + B * length / average)).take(docs)
+        impacts /= tf
+        df = row.column("df")[0].values.to_numpy()
         # Postings of term t: lists[t] to lists[t + 1]; every term has some.
-        self.lists = np.append(0, np.cumsum(df))
-        self.blocks = -(-len(self.doc_ids) // BLOCK)
-        # Row of a long list, -1 of a short one.
-        long = np.flatnonzero(df >= max(LONG_LEAST, LONG * len(self.doc_ids)))
-        long = long[np.argsort(-df[long], kind="stable")][: LONG_CELLS // max(1, self.blocks * BLOCK)]
-        self.row = np.full(len(df), -1)
-        self.row[long] = np.arange(len(long))
-        self.rows = np.zeros((len(long), self.blocks * BLOCK), np.float32)
-        postings, sizes = _spans(self.lists[long], self.lists[long + 1])
-        self.rows[np.repeat(np.arange(len(long)), sizes), self.docs[postings]] = self.impacts[postings]
-        cells = self.rows.reshape(len(long), self.blocks, BLOCK)
-        self.most, self.filled = cells.max(2), np.count_nonzero(cells, 2).astype(np.float32)
+        self.lists = np.append(0, np.cumsum(df, dtype=np.int64))
+        term = np.repeat(np.arange(len(df), dtype=np.int32), df)
+        sizes = row.column("parts")[0].values.to_numpy().astype(np.int64)
+        widths = -(-sizes // BLOCK) * BLOCK
+        starts = np.cumsum(widths) - widths
+        self.width = int(widths.sum())
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        self.place = np.arange(len(ids)) + (starts - (np.cumsum(sizes) - sizes))[of]
+        self.doc = np.full(self.width, -1)
+        self.doc[self.place] = np.arange(len(ids))
+        self.doc_ids = ids
+        self.by_id = np.argsort(ids, kind="stable")
+        self.sorted_ids = ids[self.by_id]
+        place, single = self.place.astype(np.int32).take(docs), impacts.astype(np.float32)
+        self.parts, self.rows, kept = [], np.zeros(0, np.int64), np.ones(len(docs), bool)
+        room, of = LONG_CELLS // max(1, self.width), of.astype(np.int8).take(docs)
+        for n, (start, size) in enumerate(zip(starts.tolist(), sizes.tolist())):
+            mine = np.flatnonzero(of == n)
+            self._add_part(start, size, mine, term, place, single, room, kept)
+        # The short lists: a posting in one number, the upper half of its impact, rounded, and its place.
+        self.short = np.append(0, np.cumsum(np.bincount(term[kept], minlength=len(df))))
+        self.postings = (single[kept].view(np.uint32) + np.uint32(HALF)) & np.uint32(~LOWER & 0xFFFFFFFF) | place[kept].view(np.uint32)
+        self.any_long = np.zeros(len(df), bool)
+        self.any_long[self.rows] = True
         # The documents' own lists: terms in order, from own[d] to own[d + 1].
-        small = len(self.doc_ids) <= 1 << 16
-        turn = np.argsort(self.docs.astype(np.uint16) if small else self.docs, kind="stable")
-        self.own_term, self.own_impact = term[turn], self.impacts[turn]
-        self.own = np.append(0, np.cumsum(np.bincount(self.docs, minlength=len(self.doc_ids))))
+        turn = np.argsort(docs.astype(np.uint16), kind="stable")
+        self.own_term, self.own_impact = term.take(turn), impacts.take(turn)
+        self.own = np.append(0, np.cumsum(np.bincount(docs, minlength=len(ids))))
         self.weight = np.zeros(len(df))
 
+    def _add_part(
+        self, start: int, size: int, mine: np.ndarray, term: np.ndarray, place: np.ndarray, single: np.ndarray, room: int, kept: np.ndarray
+    ) -> None:
+        """Takes the long lists of a part, whose postings are ``mine``, out of ``kept``."""
+        terms = term.take(mine)
+        held = np.bincount(terms, minlength=len(self.lists) - 1)
+        long = np.flatnonzero(held >= max(LONG_LEAST, LONG * size))
+        long = long[np.argsort(-held[long], kind="stable")][:room]
+        row = np.full(len(held), -1, np.int32)
+        row[long] = np.arange(len(long))
+        column = row.take(terms)
+        taken = np.flatnonzero(column >= 0)
+        mine, column = mine.take(taken), column.take(taken).astype(np.int64)
+        kept[mine] = False
+        blocks, at = -(-size // BLOCK), place.take(mine) - start
+        cells = np.zeros((blocks * BLOCK, len(long)), np.float32)
+        cells.reshape(-1)[at * len(long) + column] = single.take(mine)
+        most = cells.reshape(blocks, BLOCK, len(long)).max(1)
+        filled = np.bincount(at // BLOCK * len(long) + column, minlength=blocks * len(long)).reshape(blocks, len(long))
+        self.parts.append(Part(start, start + len(cells), row, cells, most, filled.astype(np.float32)))
+        self.rows = np.append(self.rows, long)
+
     def scores(self, docs: np.ndarray) -> np.ndarray:
         """Whole scores by ``weight``, added up in the order of the terms: equal documents get equal scores anywhere."""
         spans = [slice(a, b) for a, b in zip(self.own[docs].tolist(), self.own[docs + 1].tolist())]
@@ -164,12 +281,13 @@ class Best:
     """A query's best so far; equal scores go to smaller ids."""
 
     k: int
+    least: float = 0.0  # what the k-th best reaches elsewhere
     scores: np.ndarray = field(default_factory=lambda: np.zeros(0))
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     @property
     def floor(self) -> float:
-        return self.scores[-1] if len(self.scores) == self.k else 0.0
+        return max(self.least, self.scores[-1]) if len(self.scores) == self.k else self.least
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
         scores, ids = np.append(self.scores, scores), np.append(self.ids, ids)
@@ -189,53 +307,92 @@ def search_together(
 
     Query q's ``terms``, as the shard's numbers, and their ``idf`` stand from starts[q] to starts[q + 1].
     """
-    count, width, k = len(best), shard.blocks * BLOCK, best[0].k
-    query, row = np.repeat(np.arange(count), np.diff(starts)), shard.row[terms]
-    long = row >= 0
-    short = terms[~long]
-    postings, sizes = _spans(shard.lists[short], shard.lists[short + 1])
-    parts = np.repeat(idf[~long], sizes) * shard.impacts[postings]
-    score = np.bincount(np.repeat(query[~long] * width, sizes) + shard.docs[postings], parts, count * width)
-    score = score.astype(float, copy=False).reshape(count, width)  # of no postings at all bincount makes integers
-    first, last = np.searchsorted(shard.doc_ids, own), np.searchsorted(shard.doc_ids, own, "right")
+    count, k = len(best), best[0].k
+    query, weight = np.repeat(np.arange(count), np.diff(starts)), idf.astype(np.float32)
+    score = np.zeros((count, shard.width), np.float32)
+    scored = _add_short(shard, score, query, terms, weight)
+    first, last = np.searchsorted(shard.sorted_ids, own), np.searchsorted(shard.sorted_ids, own, "right")
     for q in np.flatnonzero(first < last):
-        score[q, first[q] : last[q]] = -np.inf
-    # A product of n positive terms is off by less than n + 2 roundings, and two products are compared.
-    slack = 1 - 2**-22 * (8 + int(np.bincount(query[long], minlength=1).max()))
+        score[q, shard.place[shard.by_id[first[q] : last[q]]]] = -np.inf
+    # A sum of n positive products is off by less than n + 2 roundings and one of impacts to 8 bits, and two are compared.
+    slack = (1 - 2**-7) * (1 - 2**-22 * (8 + max(int(np.diff(starts).max()), len(shard.rows))))
 
     def kth(rows: np.ndarray) -> np.ndarray:
-        return np.partition(score[rows], width - k, axis=1)[:, width - k] * slack if width > k else np.zeros(len(rows))
-
-    least = np.array([b.floor for b in best]) * slack
-    new = np.flatnonzero(least == 0)
-    least[new] = kth(new)  # the k-th best so far stands below the k-th best score
-    least = np.maximum(least, np.finfo(float).tiny)[:, None]
-    weights = np.zeros((count, len(shard.rows)), np.float32)
-    weights[query[long], row[long]] = idf[long]
-    pivots = score.reshape(count, shard.blocks, BLOCK).max(2) + weights @ shard.most >= least
-    scored = len(postings) + int((((weights > 0).astype(np.float32) @ shard.filled) * pivots).sum())
-    if pivots.all():
-        score += weights @ shard.rows
-    else:
-        for block in np.flatnonzero(pivots.any(0)):
-            asked, span = np.flatnonzero(pivots[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
-            score[asked, span] += weights[asked] @ shard.rows[:, span]
-    reach = score >= least
-    many = np.flatnonzero(np.count_nonzero(reach, 1) > k)
-    reach[many] &= score[many] >= kth(many)[:, None]
-    asked, found = np.nonzero(reach)
-    scored += int((shard.own[found + 1] - shard.own[found]).sum())
-    cuts = np.searchsorted(asked, np.arange(count + 1))
-    for q in np.flatnonzero(np.diff(cuts)):
-        docs, mine = found[cuts[q] : cuts[q + 1]], slice(starts[q], starts[q + 1])
-        shard.weight[terms[mine]] = idf[mine]
-        exact = shard.scores(docs)
-        shard.weight[terms[mine]] = 0.0
-        enough = (exact >= best[q].floor) & (exact > 0)
-        best[q].add(exact[enough], shard.doc_ids[docs[enough]])
+        return np.partition(rows, rows.shape[1] - k, axis=1)[:, rows.shape[1] - k] * slack if rows.shape[1] > k else np.zeros(len(rows))
+
+    floors = np.array([b.floor for b in best]) * slack
+    new = np.flatnonzero(floors == 0)
+    floors[new] = kth(score[new])  # the k-th best so far stands below the k-th best score
+    upper = np.maximum.reduceat(score.reshape(-1), np.arange(0, score.size, BLOCK)).reshape(count, -1) if score.size else score
+    long = shard.any_long[terms]
+    query, weight, long = query[long], weight[long], terms[long]
+    for part in shard.parts:
+        row = part.row.take(long)
+        mine = np.flatnonzero(row >= 0)
+        weights = np.zeros((count, part.cells.shape[1]), np.float32)
+        weights[query[mine], row[mine]] = weight[mine]
+        floors = np.maximum(floors, [b.floor * slack for b in best])
+        least = np.maximum(np.nextafter(floors.astype(np.float32), np.float32(0)), np.finfo(np.float32).tiny)[:, None]
+        # A block gives no more than its largest impacts, and no more than a document that holds a query's words and all others asked for.
+        bounds = np.minimum(weights @ part.most.T, (part.cells @ weights.max(0)).reshape(-1, BLOCK).max(1))
+        pivots = bounds + upper[:, part.start // BLOCK : part.stop // BLOCK] >= least
+        asked = np.flatnonzero(pivots.any(1))
+        if not len(asked):
+            continue
+        # Short documents come first in a part: a query that passes over some passes over the first ones.
+        begin = pivots[asked].argmax(1)
+        order = np.argsort(begin, kind="stable")
+        asked, begin = asked[order], begin[order]
+        pivots, weights, least = pivots[asked], weights[asked], least[asked]
+        scored += int((((weights > 0).astype(np.float32) @ part.filled.T) * pivots).sum())
+        whole = score[asked, part.start : part.stop]
+        if np.count_nonzero(pivots) >= 0.2 * pivots.size:
+            for block in range(0, pivots.shape[1], STRIDE):
+                some, span = np.searchsorted(begin, block + STRIDE), slice(block * BLOCK, (block + STRIDE) * BLOCK)
+                whole[:some, span] += weights[:some] @ part.cells[span].T
+        else:
+            for block in np.flatnonzero(pivots.any(0)):
+                some, span = np.flatnonzero(pivots[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+                whole[some, span] += weights[some] @ part.cells[span].T
+        reach = whole >= least
+        many = np.flatnonzero(np.count_nonzero(reach, 1) > k)
+        reach[many] &= whole[many] >= kth(whole[many])[:, None]
+        found = np.flatnonzero(reach)
+        place, docs = found // whole.shape[1], shard.doc[found % whole.shape[1] + part.start]
+        scored += int((shard.own[docs + 1] - shard.own[docs]).sum())
+        cuts = np.searchsorted(place, np.arange(len(asked) + 1))
+        for n in np.flatnonzero(np.diff(cuts)):
+            q, reached = asked[n], docs[cuts[n] : cuts[n + 1]]
+            all_ = slice(starts[q], starts[q + 1])
+            shard.weight[terms[all_]] = idf[all_]
+            exact = shard.scores(reached)
+            shard.weight[terms[all_]] = 0.0
+            enough = (exact >= best[q].floor) & (exact > 0)
+            best[q].add(exact[enough], shard.doc_ids[reached[enough]])
     return scored, int((shard.lists[terms + 1] - shard.lists[terms]).sum())
 
 
+def _add_short(shard: Shard, score: np.ndarray, query: np.ndarray, terms: np.ndarray, weight: np.ndarray) -> int:
+    """Adds up the short lists, so many postings at a time as stay near the processor; tells how many there were."""
+    first, last = shard.short[terms], shard.short[terms + 1]
+    some = np.flatnonzero(last > first)
+    first, sizes, weight, base = first[some], (last - first)[some], weight[some], query[some] * shard.width
+    before = np.append(0, np.cumsum(sizes))
+    cuts = np.unique(np.append(np.searchsorted(before, np.arange(0, before[-1], NEAR)), len(sizes)))
+    flat, shift = score.reshape(-1), first - before[:-1]
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        each = sizes[a:b]
+        at = np.arange(before[a], before[b])
+        at += np.repeat(shift[a:b], each)
+        found = shard.postings.take(at)
+        np.add(np.repeat(base[a:b], each), found & np.uint32(LOWER), out=at, casting="unsafe")
+        parts = np.repeat(weight[a:b], each)
+        found &= np.uint32(~LOWER & 0xFFFFFFFF)
+        parts *= found.view(np.float32)
+        np.add.at(flat, at, parts)
+    return int(before[-1])
+
+
 @dataclass
 class QueryBlock:
     """Queries with their terms as numbers of a common vocabulary, in the order of the terms."""
@@ -243,8 +400,9 @@ class QueryBlock:
     ids: np.ndarray
     starts: np.ndarray
     terms: np.ndarray
-    idf: np.ndarray
     vocabulary: pa.Array
+    idf: np.ndarray  # of the vocabulary
+    least: np.ndarray  # what a hit must reach, as is known from elsewhere
 
     @classmethod
     def of(cls, rows: pa.Table) -> QueryBlock:
@@ -253,23 +411,26 @@ class QueryBlock:
         lists = rows.column("terms").combine_chunks()
         flat = lists.flatten()
         coded = flat.field("term").dictionary_encode()
+        terms = coded.indices.to_numpy()
+        idf = np.zeros(len(coded.dictionary))
+        idf[terms] = flat.field("idf").to_numpy()
         starts = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
         ids = rows.column("query_id").to_numpy()
-        return cls(ids, starts, coded.indices.to_numpy(), flat.field("idf").to_numpy(), coded.dictionary)
+        return cls(ids, starts, terms, coded.dictionary, idf, np.zeros(len(ids)))
 
     def search(self, shard: Shard, best: list[Best]) -> tuple[int, int]:
-        """All queries on one shard; tells the postings scored and held."""
-        numbers = pc.fill_null(pc.index_in(self.vocabulary, value_set=shard.terms), -1).to_numpy(zero_copy_only=False)[self.terms]
-        known = numbers >= 0
-        terms, idf, starts = numbers[known], self.idf[known], np.append(0, np.cumsum(known))[self.starts]
-        short = np.where(shard.row[terms] < 0, shard.lists[terms + 1] - shard.lists[terms], 0)
-        sizes = np.diff(np.append(0, np.cumsum(short))[starts]) + shard.blocks * BLOCK + len(shard.rows)
-        turn = (np.cumsum(sizes) - sizes) // TOGETHER
-        cuts = np.append(np.flatnonzero(np.append(True, turn[1:] != turn[:-1])), len(turn))
+        """All queries on one shard, some at a time; tells the postings scored and held."""
+        number = pc.fill_null(pc.index_in(self.vocabulary, value_set=shard.terms), -1).to_numpy(zero_copy_only=False)
+        # A term's postings are not all held at a time.
+        load = np.cumsum(shard.width + len(shard.rows) + 8 * np.diff(self.starts))
+        cuts = np.flatnonzero(np.diff(load // TOGETHER, prepend=-1))
         scored = held = 0
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            span = slice(starts[a], starts[b])
-            did, has = search_together(shard, starts[a : b + 1] - starts[a], terms[span], idf[span], best[a:b], self.ids[a:b])
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(self.ids)]):
+            codes = self.terms[self.starts[a] : self.starts[b]]
+            terms = number.take(codes)
+            known = np.flatnonzero(terms >= 0)
+            starts = np.searchsorted(known, self.starts[a : b + 1] - self.starts[a])
+            did, has = search_together(shard, starts, terms.take(known), self.idf.take(codes.take(known)), best[a:b], self.ids[a:b])
             scored, held = scored + did, held + has
         return scored, held
 
@@ -303,24 +464,35 @@ def in_blocks(wanted: DataFrame, entries: int) -> DataFrame:
     return wanted.join(placed.select("query_id", F.floor(F.col("_before") / entries).alias("block")), "query_id")
 
 
-def _search_block(spark: SparkSession, index: DataFrame, block: QueryBlock, average: float, k: int) -> None:
+def _search_block(spark: SparkSession, index: DataFrame, block: QueryBlock, average: float, k: int) -> DataFrame:
     """Stages a block's best hits of every task."""
     sent = spark.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = sent.value
-        best = [Best(k) for _ in asked.ids]
+        best = [Best(k, least) for least in asked.least.tolist()]
         for batch in batches:
             for row in range(batch.num_rows):
-                asked.search(Shard(batch.slice(row, 1), average), best)
+                with uncollected():
+                    asked.search(Shard(batch.slice(row, 1), average), best)
         ids = np.repeat(asked.ids, [len(b.ids) for b in best])
         if len(ids):
             columns = [pa.array(ids), pa.array(np.concatenate([b.ids for b in best])), pa.array(np.concatenate([b.scores for b in best]))]
             yield pa.RecordBatch.from_arrays(columns, ["query_id", "doc_id", "score"])
 
-    lists = index.select("doc_ids", "lengths", "terms", "df", "docs", "tfs")
-    staged(lists.mapInArrow(run, HITS), "bm25-hits")
+    lists = index.select("parts", "doc_ids", "lengths", "terms", "df", "docs", "tfs")
+    hits = staged(lists.mapInArrow(run, HITS), "bm25-hits")
     sent.destroy()
+    return hits
+
+
+def least_of(hits: DataFrame, ids: np.ndarray, k: int) -> np.ndarray:
+    """The k-th best score that each of the queries ``ids``, in order, has among ``hits``; 0 where it has fewer."""
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))  # k of every task
+    found = hits.withColumn("_place", place).where(F.col("_place") == k).select("query_id", "score").toArrow()
+    least = np.zeros(len(ids))
+    least[np.searchsorted(ids, found.column("query_id").to_numpy())] = found.column("score").to_numpy()
+    return least
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = TOP, limit: int | None = None) -> DataFrame:
@@ -346,7 +518,10 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP, limit: int | None
             # Of bounded size: QUERY_ENTRIES terms and one query.
             rows = wanted.where(F.col("block") == number).select("query_id", "terms").toArrow()
             if rows.num_rows:
-                _search_block(spark, index, QueryBlock.of(rows), average, k)
+                block = QueryBlock.of(rows)
+                ahead = _search_block(spark, index.where("ahead"), block, average, k)
+                block.least = least_of(ahead, block.ids, k)
+                _search_block(spark, index.where("not ahead"), block, average, k)
     if not made:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
     hits = spark.read.schema(HITS).parquet(*made)

@@ -441,6 +441,58 @@ def test_bm25_queries_go_through_a_shard_together(monkeypatch):
     assert all(a.ids.tolist() == b.ids.tolist() and a.scores.tolist() == b.scores.tolist() for a, b in zip(few, whole))
 
 
+def test_bm25_passes_over_other_languages():
+    # Two languages by turns share one word; a fifth of the queries has copies, so the k-th best is known to be high for them.
+    draw = random.Random(6)
+    words = {y: [f"{y}{n}" for n in range(400)] for y in "xy"}
+    texts = [(i, " ".join(["the", *draw.choices(words["xy"[i % 2]], [1 / (n + 3) for n in range(400)], k=draw.randint(5, 120))])) for i in range(1_200)]
+    for i in range(0, 100, 5):
+        texts += [(2_000 + 3 * i + n, texts[i][1]) for n in range(3)]
+    counted = {i: Counter(bm25_wand.terms_of(t)) for i, t in texts}
+    df = Counter(w for c in counted.values() for w in c)
+    mean = sum(sum(c.values()) for c in counted.values()) / len(texts)
+    row = bm25_wand.index_shard(0, list(texts))
+    shard = bm25_wand.Shard(row, mean)
+    assert len(shard.parts) == 2
+    for part in shard.parts:
+        docs = shard.doc_ids[shard.doc[part.start : part.stop][shard.doc[part.start : part.stop] >= 0]]
+        assert len({"".join(set(counted[d]) - {"the"})[0] for d in docs.tolist()}) == 1
+    asked = [{"query_id": i, "terms": [{"term": w, "idf": math.log(1 + (len(texts) - df[w] + 0.5) / (df[w] + 0.5))} for w in sorted(counted[i])]} for i in range(0, 100, 5)]
+    block = bm25_wand.QueryBlock.of(pa.Table.from_pylist(asked))
+    best = [bm25_wand.Best(3) for _ in asked]
+    block.search(shard, best)
+    for q, found in zip(asked, best):
+        want = plain_search(dict(texts), q["query_id"], 3, None)
+        assert [w[0] for w in want] == found.ids.tolist() and np.allclose([w[1] for w in want], found.scores)
+    # What is known from elsewhere is neither lost nor looked at again; equal scores stay.
+    again = [bm25_wand.Best(3, found.scores[-1]) for found in best]
+    scored, held = block.search(shard, again)
+    assert all(a.ids.tolist() == b.ids.tolist() and a.scores.tolist() == b.scores.tolist() for a, b in zip(again, best))
+    assert scored < 0.5 * held
+    above = [bm25_wand.Best(3, np.nextafter(found.scores[0], np.inf)) for found in best]
+    block.search(shard, above)
+    assert not any(len(a.ids) for a in above)
+
+
+def test_bm25_shards_ahead_and_small_shards(spark, monkeypatch):
+    # Shards of few documents, in many tasks: what the first ones find holds for the others, and nothing is lost or found twice.
+    monkeypatch.setattr(bm25_wand, "SHARD_DOCUMENTS", 7)
+    monkeypatch.setattr(bm25_wand, "AHEAD", 3)
+    draw = random.Random(8)
+    words = [f"w{n}" for n in range(80)]
+    texts = {i: " ".join(draw.choices(words, [1 / (n + 2) for n in range(80)], k=draw.randint(0, 40))) for i in range(300)}
+    table = spark.createDataFrame([*texts.items()], "doc_id long, text string").repartition(9)
+    index = bm25_wand.build_index(table)
+    assert 0 < index.where("ahead").count() <= 3 and index.agg(F.max(F.octet_length("doc_ids"))).first()[0] <= 7 * 8
+    found = {}
+    for r in bm25_wand.search(table, table.where("doc_id % 10 = 0").withColumnRenamed("doc_id", "query_id"), 4).collect():
+        found.setdefault(r.query_id, {})[r["rank"]] = (r.doc_id, r.score)
+    for q in range(0, 300, 10):
+        want = plain_search(texts, q, 4, None)
+        got = [found.get(q, {})[n + 1] for n in range(len(found.get(q, {})))]
+        assert [g[0] for g in got] == [w[0] for w in want] and np.allclose([g[1] for g in got], [w[1] for w in want])
+
+
 def test_forward_backward_equals_all_paths():
     draw = np.random.default_rng(0)
     scores, moves, first = draw.normal(size=(2, 4, 3)), draw.normal(size=(3, 3)), draw.normal(size=3)
