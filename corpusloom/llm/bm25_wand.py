@@ -1,19 +1,18 @@
 """Exact top-k BM25 search with block-max WAND.
 
 The documents are cut into shards of bounded size, each a row with an inverted index: per
-term the documents that hold it. Documents are numbered by id within a shard, and every
-list is cut at the same document numbers, so a list's block is what it holds in one range
-of documents. With the collection's mean length, which is known when all shards are, every
-block of a long list has a largest impact. A search adds up a query's short lists, which tell most and
-cost least. Pivots, in the words of the method, are the blocks where the best score so far and the bounds that the long lists
+term the documents that hold it. A shard's documents stand in parts that share few words (languages,
+above all), short ones first. With the collection's mean length, which is known when all shards are, every
+block of a part's long lists has a largest impact. A search adds up a query's short lists, which tell most.
+Pivots, in the words of the method, are the blocks where the best score so far and the bounds that the long lists
 have there reach the k-th best; only there the long lists are read. The few documents that reach
-it are scored in full, in double precision, from their own term lists. A task carries the k-th best from shard to
-shard. Document counts and lengths are those of all shards together, so the best of the tasks' best are exactly the
-best of all.
+it are scored in full, in double precision, from their own term lists. Shards are read in rounds, few at first: the k-th best that a query
+has found is what all later ones must reach, and a task carries it from shard to shard. Document counts and lengths are those of all shards
+together, so the best of the tasks' best are exactly the best of all.
 
-Many queries go through a shard together: long lists stand there as rows over its documents, in single
-precision, and the bounds and scores of all queries in a block are one product of matrices. What single precision can be
-off by is known (all terms are positive) and granted to every document.
+Many queries go through a shard together: a part's long lists stand there as rows over its documents, in single
+precision, and the bounds and scores of all queries are products of matrices. What single precision, and impacts of 8 bits in the
+short lists, can be off by is known (all terms are positive) and granted to every document.
 
 Queries go to the shards in blocks of at most ``QUERY_ENTRIES`` terms (or one query): a block is
 broadcast, and every shard is read once for it. Postings never go through a shuffle.
@@ -24,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,31 +32,31 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import buckets_for, recorded, staged, texts, total_before, uncollected
+from corpusloom.llm.common import buckets_for, give_back, recorded, staged, texts, total_before, uncollected
 
 K1, B = 1.2, 0.75
 TOP = 10
 BLOCK, STRIDE = 64, 8
 # A long list holds this share of a part's documents, and so many at least; as rows the long lists have at most so many cells.
-LONG, LONG_LEAST, LONG_CELLS = 1 / 25, 16, 16_000_000
+LONG, LONG_LEAST, LONG_CELLS = 1 / 20, 16, 16_000_000
 # Scores, weights and postings that are held at a time.
-TOGETHER = 6_000_000
+TOGETHER = 4_000_000
 # Postings that are added up at a time.
 NEAR = 65_536
 # Lower half of a posting, and half of its upper half's unit.
 LOWER, HALF = 0xFFFF, 0x8000
-# The number of a document in its shard, and of the places of all parts, has 16 bits.
-SHARD_CHARACTERS, SHARD_DOCUMENTS = 32_000_000, 60_000
-QUERY_ENTRIES = 5_000_000
+# A place in a shard has 16 bits; parts are filled up to whole blocks.
+SHARD_CHARACTERS, SHARD_DOCUMENTS = 16_000_000, 60_000
+QUERY_ENTRIES = 4_000_000
 WORDS_HELD = 100_000
 # Documents are told apart by so many words. A part is cut in two if the halves' centres are no nearer (cosine), into so many at most.
 SORTED_BY, APART, PARTS = 512, 0.5, 16
-# One task in so many has the first shard of all that a query meets; what it finds there every other shard must reach.
-AHEAD = 8
+# Shards are read in rounds, one in so many first, the others last; what a query has found all later shards must reach.
+ROUNDS = (64, 16, 4, 1)
 
 WORD = re.compile(r"\w+")
 
-INDEX = "shard long, ahead boolean, words long, parts array<int>, doc_ids binary, lengths binary, terms array<string>, df array<int>, docs binary, tfs binary"
+INDEX = "shard long, round int, words long, parts array<int>, doc_ids binary, lengths binary, terms array<string>, df array<int>, docs binary, tfs binary"
 HITS = "query_id long, doc_id long, score double"
 
 
@@ -109,7 +109,7 @@ def parts_of(doc: np.ndarray, word: np.ndarray, documents: int, words: int) -> l
     return parts
 
 
-def index_shard(shard: int, docs: list[tuple[int, str]], ahead: bool = False) -> pa.RecordBatch:
+def index_shard(shard: int, docs: list[tuple[int, str]], turn: int = 0) -> pa.RecordBatch:
     """The index of a shard: its documents' ids and lengths, part by part, its terms in order, and their lists one behind the other.
 
     Empties ``docs``, at most ``SHARD_DOCUMENTS``.
@@ -134,9 +134,9 @@ def index_shard(shard: int, docs: list[tuple[int, str]], ahead: bool = False) ->
     place[order] = np.arange(len(terms))
     code, doc = coded.indices.to_numpy(), np.repeat(np.arange(len(ids), dtype=np.int32), length)
     parts = parts_of(doc, code, len(ids), len(terms))
-    turn = np.concatenate([p[np.argsort(length[p], kind="stable")] for p in parts])
+    ordered = np.concatenate([p[np.argsort(length[p], kind="stable")] for p in parts])
     number = np.empty(len(ids), np.int32)
-    number[turn] = np.arange(len(ids))
+    number[ordered] = np.arange(len(ids))
     keys = place.take(code)
     keys <<= 32
     keys |= number.take(doc)
@@ -148,11 +148,11 @@ def index_shard(shard: int, docs: list[tuple[int, str]], ahead: bool = False) ->
     return pa.RecordBatch.from_pydict(
         {
             "shard": pa.array([shard], pa.int64()),
-            "ahead": pa.array([ahead], pa.bool_()),
+            "round": pa.array([next(n for n, every in enumerate(ROUNDS) if turn % every == 0)], pa.int32()),
             "words": pa.array([int(length.sum())], pa.int64()),
             "parts": pa.array([[len(p) for p in parts]], pa.list_(pa.int32())),
-            "doc_ids": pa.array([ids[turn].tobytes()], pa.binary()),
-            "lengths": pa.array([length[turn].astype("<u4").tobytes()], pa.binary()),
+            "doc_ids": pa.array([ids[ordered].tobytes()], pa.binary()),
+            "lengths": pa.array([length[ordered].astype("<u4").tobytes()], pa.binary()),
             "terms": pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), terms),
             "df": pa.array([df], pa.list_(pa.int32())),
             "docs": pa.array([(keys & 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary()),
@@ -170,13 +170,14 @@ def build_index(docs: DataFrame) -> DataFrame:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
                 if held and (size + len(text) > SHARD_CHARACTERS or len(held) == SHARD_DOCUMENTS):
                     with uncollected():
-                        yield index_shard(task << 32 | made, held, not made and task % AHEAD == 0)
+                        yield index_shard(task << 32 | made, held, task + made)
                     held, size, made = [], 0, made + 1
                 held.append((doc_id, text))
                 size += len(text)
         if held:
             with uncollected():
-                yield index_shard(task << 32 | made, held, not made and task % AHEAD == 0)
+                yield index_shard(task << 32 | made, held, task + made)
+        give_back()
 
     rows = docs.where("doc_id is not null").selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
     return staged(rows.mapInArrow(run, INDEX), "bm25-index")
@@ -317,22 +318,33 @@ def search_together(
     # A sum of n positive products is off by less than n + 2 roundings and one of impacts to 8 bits, and two are compared.
     slack = (1 - 2**-7) * (1 - 2**-22 * (8 + max(int(np.diff(starts).max()), len(shard.rows))))
 
-    def kth(rows: np.ndarray) -> np.ndarray:
-        return np.partition(rows, rows.shape[1] - k, axis=1)[:, rows.shape[1] - k] * slack if rows.shape[1] > k else np.zeros(len(rows))
+    def highest(rows: np.ndarray) -> np.ndarray:
+        return np.maximum.reduceat(rows.reshape(-1), np.arange(0, rows.size, BLOCK)).reshape(len(rows), -1) if rows.size else rows
 
+    def kth(rows: np.ndarray, tops: np.ndarray) -> np.ndarray:
+        """What the k-th best of a row reaches for certain; it is in one of the k highest blocks."""
+        if rows.shape[1] <= k or not len(rows):
+            return np.zeros(len(rows))
+        if tops.shape[1] > k:
+            blocks = np.argpartition(tops, tops.shape[1] - k, axis=1)[:, -k:]
+            rows = np.take_along_axis(rows.reshape(*tops.shape, BLOCK), blocks[:, :, None], 1).reshape(len(rows), k * BLOCK)
+        return np.partition(rows, rows.shape[1] - k, axis=1)[:, rows.shape[1] - k] * slack
+
+    def reached(floors: np.ndarray) -> np.ndarray:
+        return np.maximum(np.nextafter(floors.astype(np.float32), np.float32(0)), np.finfo(np.float32).tiny)[:, None]
+
+    upper = highest(score)
     floors = np.array([b.floor for b in best]) * slack
     new = np.flatnonzero(floors == 0)
-    floors[new] = kth(score[new])  # the k-th best so far stands below the k-th best score
-    upper = np.maximum.reduceat(score.reshape(-1), np.arange(0, score.size, BLOCK)).reshape(count, -1) if score.size else score
+    floors[new] = kth(score[new], upper[new])  # the k-th best so far stands below the k-th best score
     long = shard.any_long[terms]
     query, weight, long = query[long], weight[long], terms[long]
     for part in shard.parts:
+        least = reached(floors)
         row = part.row.take(long)
         mine = np.flatnonzero(row >= 0)
         weights = np.zeros((count, part.cells.shape[1]), np.float32)
         weights[query[mine], row[mine]] = weight[mine]
-        floors = np.maximum(floors, [b.floor * slack for b in best])
-        least = np.maximum(np.nextafter(floors.astype(np.float32), np.float32(0)), np.finfo(np.float32).tiny)[:, None]
         # A block gives no more than its largest impacts, and no more than a document that holds a query's words and all others asked for.
         bounds = np.minimum(weights @ part.most.T, (part.cells @ weights.max(0)).reshape(-1, BLOCK).max(1))
         pivots = bounds + upper[:, part.start // BLOCK : part.stop // BLOCK] >= least
@@ -343,32 +355,34 @@ def search_together(
         begin = pivots[asked].argmax(1)
         order = np.argsort(begin, kind="stable")
         asked, begin = asked[order], begin[order]
-        pivots, weights, least = pivots[asked], weights[asked], least[asked]
+        pivots, weights = pivots[asked], weights[asked]
         scored += int((((weights > 0).astype(np.float32) @ part.filled.T) * pivots).sum())
-        whole = score[asked, part.start : part.stop]
         if np.count_nonzero(pivots) >= 0.2 * pivots.size:
             for block in range(0, pivots.shape[1], STRIDE):
                 some, span = np.searchsorted(begin, block + STRIDE), slice(block * BLOCK, (block + STRIDE) * BLOCK)
-                whole[:some, span] += weights[:some] @ part.cells[span].T
+                score[asked[:some], part.start + span.start : min(part.start + span.stop, part.stop)] += weights[:some] @ part.cells[span].T
         else:
             for block in np.flatnonzero(pivots.any(0)):
                 some, span = np.flatnonzero(pivots[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
-                whole[some, span] += weights[some] @ part.cells[span].T
-        reach = whole >= least
-        many = np.flatnonzero(np.count_nonzero(reach, 1) > k)
-        reach[many] &= whole[many] >= kth(whole[many])[:, None]
-        found = np.flatnonzero(reach)
-        place, docs = found // whole.shape[1], shard.doc[found % whole.shape[1] + part.start]
-        scored += int((shard.own[docs + 1] - shard.own[docs]).sum())
-        cuts = np.searchsorted(place, np.arange(len(asked) + 1))
-        for n in np.flatnonzero(np.diff(cuts)):
-            q, reached = asked[n], docs[cuts[n] : cuts[n + 1]]
-            all_ = slice(starts[q], starts[q + 1])
-            shard.weight[terms[all_]] = idf[all_]
-            exact = shard.scores(reached)
-            shard.weight[terms[all_]] = 0.0
-            enough = (exact >= best[q].floor) & (exact > 0)
-            best[q].add(exact[enough], shard.doc_ids[reached[enough]])
+                score[asked[some], part.start + span.start : part.start + span.stop] += weights[some] @ part.cells[span].T
+        ours = new[np.isin(new, asked)]
+        whole = score[ours, part.start : part.stop]
+        floors[ours] = np.maximum(floors[ours], kth(whole, highest(whole)))
+    reach = score >= reached(floors)
+    many = np.flatnonzero(np.count_nonzero(reach, 1) > k)
+    whole = score[many]
+    reach[many] &= whole >= kth(whole, highest(whole))[:, None]
+    found = np.flatnonzero(reach)
+    place, docs = found // max(1, shard.width), shard.doc[found % max(1, shard.width)]
+    scored += int((shard.own[docs + 1] - shard.own[docs]).sum())
+    cuts = np.searchsorted(place, np.arange(count + 1))
+    for q in np.flatnonzero(np.diff(cuts)):
+        mine, some = slice(starts[q], starts[q + 1]), docs[cuts[q] : cuts[q + 1]]
+        shard.weight[terms[mine]] = idf[mine]
+        exact = shard.scores(some)
+        shard.weight[terms[mine]] = 0.0
+        enough = (exact >= best[q].floor) & (exact > 0)
+        best[q].add(exact[enough], shard.doc_ids[some[enough]])
     return scored, int((shard.lists[terms + 1] - shard.lists[terms]).sum())
 
 
@@ -469,6 +483,7 @@ def _search_block(spark: SparkSession, index: DataFrame, block: QueryBlock, aver
     sent = spark.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         asked = sent.value
         best = [Best(k, least) for least in asked.least.tolist()]
         for batch in batches:
@@ -518,10 +533,11 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP, limit: int | None
             # Of bounded size: QUERY_ENTRIES terms and one query.
             rows = wanted.where(F.col("block") == number).select("query_id", "terms").toArrow()
             if rows.num_rows:
-                block = QueryBlock.of(rows)
-                ahead = _search_block(spark, index.where("ahead"), block, average, k)
-                block.least = least_of(ahead, block.ids, k)
-                _search_block(spark, index.where("not ahead"), block, average, k)
+                block, hits = QueryBlock.of(rows), []
+                for turn in range(len(ROUNDS)):
+                    if hits:
+                        block.least = least_of(reduce(DataFrame.unionAll, hits), block.ids, k)
+                    hits.append(_search_block(spark, index.where(F.col("round") == turn), block, average, k))
     if not made:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
     hits = spark.read.schema(HITS).parquet(*made)

@@ -149,6 +149,14 @@ def let_go() -> None:
             trim(0)
 
 
+def give_back() -> None:
+    """Gives memory that a worker has freed back to the system; its next tasks may be of another kind."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def buckets_for(rows: int, per_bucket: int) -> int:
     """How many buckets keep about ``per_bucket`` rows each, within 1..65,536."""
     return max(1, min(MAX_BUCKETS, rows // per_bucket + 1))
